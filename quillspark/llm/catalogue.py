@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import secrets
 from .neardup import near_duplicates
+from .pieces import encode_documents
+from .quality import judge_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_secret_scans, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
+ORACLES = {"op3_secret_scans": secrets.report_sql()}

@@ -78,14 +78,20 @@ class Grid:
     def n_words(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def word_hashes(self, stream: int = 0, lower: bool = False) -> np.ndarray:
-        """A mixed 64-bit hash of each word; ``lower`` folds A-Z to a-z."""
-        if not len(self.start):
-            return np.zeros(0, U64)
+    def span_hashes(self, start: np.ndarray, end: np.ndarray, stream: int = 0, lower: bool = False) -> np.ndarray:
+        """A mixed 64-bit hash of the bytes start[i]:end[i]; ``lower`` folds A-Z to a-z."""
         up, down = _powers.upto(len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, U64)
         np.cumsum(_byte_values(stream, lower)[self.data] * up[:-1], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start])
+        return mix((sums[end] - sums[start]) * down[start])
+
+    def word_hashes(self, stream: int = 0, lower: bool = False) -> np.ndarray:
+        return self.span_hashes(self.start, self.end, stream, lower)
+
+    def count(self, flags: np.ndarray) -> np.ndarray:
+        """How many of the flagged bytes each text has."""
+        sums = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+        return sums[self.text_at[1:]] - sums[self.text_at[:-1]]
 
     def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all windows of k words within one text, and the word each starts at."""
