@@ -8,6 +8,7 @@ from . import secrets
 from .neardup import near_duplicates
 from .pieces import encode_documents
 from .quality import judge_quality
+from .repeats import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,5 +35,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scans, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op3_secret_scans, op4_substring_dedup, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
 ORACLES = {"op3_secret_scans": secrets.report_sql()}
