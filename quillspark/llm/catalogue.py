@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import secrets
+from .mixing import mix_documents
 from .neardup import near_duplicates
 from .pieces import encode_documents
 from .quality import judge_quality
@@ -15,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -35,5 +40,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scans, op4_substring_dedup, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_substring_dedup, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
 ORACLES = {"op3_secret_scans": secrets.report_sql()}
