@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import chat, secrets, topk
 from .mixing import mix_documents
 from .neardup import near_duplicates
 from .pieces import encode_documents
@@ -28,10 +28,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -40,5 +48,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_substring_dedup, op6_quality_rules, op8_sentencepiece, op10_minhash_near_dedup)}
-ORACLES = {"op3_secret_scans": secrets.report_sql()}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_source_mixing, op3_secret_scans, op4_substring_dedup, op5_exact_topk, op6_quality_rules, op7_chat_formatting, op8_sentencepiece, op10_minhash_near_dedup)
+}
+ORACLES = {"op3_secret_scans": secrets.report_sql(), "op5_exact_topk": topk.TOP_SQL, "op7_chat_formatting": chat.CHAT_SQL}
