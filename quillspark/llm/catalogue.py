@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, secrets, topk
+from . import chat, pii, secrets, topk, warc
 from .mixing import mix_documents
 from .neardup import near_duplicates
 from .pieces import encode_documents
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive_records(table(spark, sf_dir, "pages"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
@@ -44,12 +48,16 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_pii_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_source_mixing, op3_secret_scans, op4_substring_dedup, op5_exact_topk, op6_quality_rules, op7_chat_formatting, op8_sentencepiece, op10_minhash_near_dedup)
+    for f in (op1_warc_derivatives, op2_source_mixing, op3_secret_scans, op4_substring_dedup, op5_exact_topk, op6_quality_rules, op7_chat_formatting, op8_sentencepiece, op9_pii_semi_crf, op10_minhash_near_dedup)
 }
-ORACLES = {"op3_secret_scans": secrets.report_sql(), "op5_exact_topk": topk.TOP_SQL, "op7_chat_formatting": chat.CHAT_SQL}
+ORACLES = {"op1_warc_derivatives": warc.derivative_sql(), "op3_secret_scans": secrets.report_sql(), "op5_exact_topk": topk.TOP_SQL, "op7_chat_formatting": chat.CHAT_SQL}
