@@ -82,7 +82,21 @@ def test_sketch_fills_and_estimates(spark):
     assert np.array_equal(bins, neardup.sketch(values.copy(), at))
 
 
-def test_star_rounds_do_not_matter(spark, monkeypatch):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    monkeypatch.setattr(neardup, "STAR_ROUNDS", 0)
-    assert got(neardup.near_duplicates(docs, k=4)) == brute([(r.doc_id, r.text) for r in docs.collect()], 4)
+def test_one_large_family(spark):
+    """Copies at every distance from one text, some linked only by way of others."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for d in range(150):
+        words = list(rows[rnd.randrange(len(rows))][1].split()) if rows and d % 5 == 0 else list(base)
+        for _ in range(rnd.randrange(12)):
+            at = rnd.randrange(len(words))
+            if rnd.random() < 0.5:
+                del words[at]
+            else:
+                words[at] = f"x{rnd.randrange(9)}"
+        rows.append((d, " ".join(words)))
+    df = spark.createDataFrame([(d, t, "z") for d, t in rows], SCHEMA)
+    want = brute(rows, 4)
+    assert len({c for _, _, c, _ in want}) > 3
+    assert got(neardup.near_duplicates(df, k=4)) == want
