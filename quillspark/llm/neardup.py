@@ -11,12 +11,18 @@
    with the concentration of t independent ones.
 3. Bands of ``ROWS`` coordinates are hashed to buckets. At similarity 0.8 the
    chance that no band of 32 agrees is (1 - 0.8^4)^32 < 5e-8.
-4. Classes that share a bucket are compared on their full sets, never all pairs
-   of a bucket: each class first meets the smallest class of its buckets, then
-   (while that merges anything) the smallest class of each bucket whose members
-   still lie in several components; at last only pairs of *different*
-   components in one bucket are compared, less those that set sizes rule out.
-   A pair inside one component cannot change the result, so no link is lost.
+4. Classes that share a bucket are compared on their full sets, but never all
+   pairs of a bucket. First each class meets the smallest class of each of its
+   buckets. Where a bucket's members then still lie in several components, all
+   of them are measured against one reference R, the smallest class of the
+   component of the bucket's smallest member. For members x and y,
+   |x and y| <= min(|x and R|, |y and R|) + |(x - R) and (y - R)|, so a link
+   that is still missing needs either both overlaps with R large enough by
+   themselves or enough shared shingles outside R; a prefix filter over the
+   rarest of those (per R) finds the pairs for which that can hold, and only
+   they are compared. Pairs inside one component cannot change the result.
+   So no link between components is lost, and near copies of one text, which
+   differ from it in their own ways, do not meet each other.
 5. Components grow by alternating large-star and small-star steps over the
    confirmed links, in DataFrames, checkpointed each turn.
 
@@ -32,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import release, settle
@@ -40,7 +46,6 @@ from .textgrid import U64, Grid, blocks, grid_of, long_lists, mix, per_text
 
 COORDINATES = 128
 ROWS = 4
-STAR_ROUNDS = 3
 MEMBERS_PER_CHUNK = 64
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -117,43 +122,81 @@ def sign_texts(k: int):
     return run
 
 
-def compare_texts(k: int, percent: int):
-    """Rows sorted by (lead, chunk, the lead's own text first): confirmed (a, b) links out.
+MEASURED = "a long, b long, c long, na long, n long, shared long, rest array<long>"
 
-    Only one lead's set is held at a time.
+
+def measure_texts(k: int, percent: int, rest: bool):
+    """Rows sorted by (a, chunk, the text of a first): sizes and overlap of a with each b out.
+
+    Only one lead's set is held at a time. Without ``rest`` only linked pairs
+    come out, else all, with the shingles of b outside a.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, lead = None, None
+        key, lead = None, np.zeros(0, U64)
         for block in blocks(batches):
             values, at = shingle_sets(grid_of(block.column("text")), k)
-            found = []
-            for i, (a, chunk, b) in enumerate(zip(*(block.column(c).to_pylist() for c in ("a", "chunk", "b")))):
+            out, outside = [], []
+            for i, (a, chunk, b, c) in enumerate(zip(*(block.column(x).to_pylist() for x in ("a", "chunk", "b", "c")))):
                 own = values[at[i] : at[i + 1]]
                 if b is None:
                     key, lead = (a, chunk), own
                 elif key == (a, chunk) and len(lead) and len(own):
-                    spot = np.minimum(np.searchsorted(lead, own), len(lead) - 1)
-                    both = int((lead[spot] == own).sum())
-                    if 100 * both >= percent * (len(lead) + len(own) - both):
-                        found.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
+                    hit = lead[np.minimum(np.searchsorted(lead, own), len(lead) - 1)] == own
+                    both = int(hit.sum())
+                    if rest or 100 * both >= percent * (len(lead) + len(own) - both):
+                        out.append((a, b, c, len(lead), len(own), both))
+                        outside.append(own[~hit] if rest else own[:0])
+            bounds = np.concatenate(([0], np.cumsum([len(x) for x in outside]))).astype(np.int64)
+            columns = [pa.array([x[j] for x in out], pa.int64()) for j in range(6)]
+            yield pa.RecordBatch.from_arrays([*columns, long_lists(np.concatenate([*outside, np.zeros(0, U64)]), bounds)], names=["a", "b", "c", "na", "n", "shared", "rest"])
 
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of distinct pairs (a, b), those whose full sets are similar enough.
+def measure(pairs: DataFrame, texts: DataFrame, k: int, percent: int, rest: bool = False) -> DataFrame:
+    """Distinct pairs (a, b, c) compared on the full sets of a and b; c is passed through.
 
     A lead with many partners is dealt out in chunks, its text repeated per chunk.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_CHUNK).alias("chunks"))
-    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
-    members = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "text")
-    leads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
+    dealt = pairs.join(sizes, "a").select("a", "b", "c", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+    members = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "c", "text")
+    none = F.lit(None).cast("long")
+    leads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", none.alias("b"), none.alias("c"), "text")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = leads.unionByName(members).repartition(n, "a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(compare_texts(k, percent), "a long, b long")
+    return rows.mapInArrow(measure_texts(k, percent, rest), MEASURED)
+
+
+def linked(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("n") - F.col("shared"))).select("a", "b")
+
+
+def possible_pairs(measured: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of different components that their overlaps with a common reference do not rule out.
+
+    ``measured``: reference a, member b of component c, sizes, overlap, shingles outside a.
+    """
+    needed = lambda n: F.ceil(percent * n / (100 + percent))
+    least = measured.groupBy("a").agg(F.min("n").alias("least"))
+    own = measured.join(least, "a").withColumn("lack", needed(F.col("n") + F.col("least")) - F.col("shared"))
+    # rarest shingles first: those that only one member has come before all others and find nobody
+    words = own.select("a", "b", "c", "lack", F.size("rest").alias("size"), F.explode("rest").alias("h"))
+    often = words.groupBy("a", "h").agg(F.count("*").alias("often")).where("often > 1")
+    common = words.join(often, ["a", "h"])
+    each = Window.partitionBy("a", "b")
+    common = common.withColumn("place", F.col("size") - F.count("*").over(each) + F.row_number().over(each.orderBy("often", "h")))
+    index = settle(common.where(F.col("place") <= F.col("size") - F.greatest("lack", F.lit(1)) + 1).select("a", "h", "b", "c"))
+    far = (F.col("cx") != F.col("a")) & (F.col("cx") != F.col("cy"))
+    x, y = (index.select("a", "h", F.col("b").alias(f"b{s}"), F.col("c").alias(f"c{s}")) for s in "xy")
+    by_rest = x.where("cx <> a").join(y, ["a", "h"]).where(far)
+    # members that could reach some other by what they share with the reference alone
+    near = settle(own.where("lack <= 0").select("a", "b", "c", "n", "shared"))
+    x, y = (near.select("a", *(F.col(v).alias(f"{v}{s}") for v in ("b", "c", "n", "shared"))) for s in "xy")
+    by_core = x.where("cx <> a").join(y, "a").where(far & (F.least("sharedx", "sharedy") >= needed(F.col("nx") + F.col("ny"))))
+    both = by_rest.select("bx", "by").union(by_core.select("bx", "by"))
+    return both.select(F.least("bx", "by").alias("a"), F.greatest("bx", "by").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -207,32 +250,17 @@ def _link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: i
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = settle(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"))
     release(spark)
-    pairs = settle(members.where("lead <> rep").groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b")))
-    tested, links = pairs, settle(confirm(pairs, texts, k, percent))
+    none = F.lit(None).cast("long").alias("c")
+    pairs = settle(members.where("lead <> rep").select(F.col("lead").alias("a"), F.col("rep").alias("b"), none).distinct())
+    links = settle(linked(measure(pairs, texts, k, percent), percent))
     found = settle(components(links))
-    stars = STAR_ROUNDS
-    while True:
-        placed = members.join(found, members["rep"] == found["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        split = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("rep", "c")).alias("first")).where("low <> high")
-        members = settle(placed.join(split.select("bucket", "first"), "bucket"))
-        if members.isEmpty():
-            break
-        if last := not stars:
-            a, b = (members.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "c"))) for s in "ab")
-            fits = (F.col("rep_a") < F.col("rep_b")) & (F.col("c_a") != F.col("c_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            pairs = a.join(b, "bucket").where(fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-        else:
-            pairs = members.where(F.col("c") != F.col("first.c")).select(F.col("first.rep").alias("a"), F.col("rep").alias("b"))
-        pairs = settle(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-        members = members.select("bucket", "rep", "n")
-        fresh = settle(confirm(pairs, texts, k, percent))
-        tested = tested.union(pairs)
-        merged = not fresh.isEmpty()
-        if merged:
-            links = links.union(fresh)
-            found = settle(components(links))
-        release(spark)
-        if last:
-            break
-        stars = stars - 1 if merged else 0
-    return found
+    release(spark)
+    placed = members.join(found, members["rep"] == found["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("c"))
+    split = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("rep", "c")).alias("first")).where("low <> high")
+    pairs = placed.join(split.select("bucket", F.col("first.c").alias("a")), "bucket").where("a <> rep").select("a", F.col("rep").alias("b"), "c").distinct()
+    measured = settle(measure(settle(pairs), texts, k, percent, rest=True))
+    release(spark)
+    more = settle(possible_pairs(measured, percent).withColumn("c", none))
+    fresh = settle(linked(measured, percent).union(linked(measure(more, texts, k, percent), percent)))
+    release(spark)
+    return settle(components(links.union(fresh)))
