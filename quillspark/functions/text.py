@@ -17,10 +17,15 @@ WS_NOT_NEWLINE = WS.replace(r"\n", "")
 # Letters that mark Vietnamese text.
 VIETNAMESE = "àáảãạăắằẳẵặâấầẩẫậđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
 
-LONG_DATE = rf"(?i)ngày{WS}+([0-9]{{1,2}}){WS}+tháng{WS}+([0-9]{{1,2}}){WS}+năm{WS}+([0-9]{{4}})"
+LONG_DATE = rf"(?iu)ngày{WS}+([0-9]{{1,2}}){WS}+tháng{WS}+([0-9]{{1,2}}){WS}+năm{WS}+([0-9]{{4}})"
 SHORT_DATE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z"
 
 
+def locate(part: Column, text: Column, start: Column) -> Column:
+    """The place (from 1) of ``part`` at or after ``start``, 0 if there is none."""
+    return F.call_function("locate", part, text, start)
+
+
 def strip_ws(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, rf"^{WS}+|{WS}+\z", "")

@@ -27,7 +27,7 @@ class HashLabeler:
     def label(self, tokens: DataFrame, key: str) -> DataFrame:
         u = uniform(self.seed, F.col(key), F.col("tok_idx"), "label")
         label = F.element_at(F.array(*map(F.lit, self.labels)), (F.floor(u * len(self.labels)) + 1).cast("int"))
-        return tokens.withColumn("label", label).withColumn("conf", F.round(uniform(self.seed, F.col(key), F.col("tok_idx"), "conf"), 4))
+        return tokens.withColumn("label", label).withColumn("conf", F.floor(uniform(self.seed, F.col(key), F.col("tok_idx"), "conf") * 64) / 64)
 
 
 class RuleLabeler:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domain as D
-from ..functions.text import pick, uniform
+from ..functions.text import locate, pick, uniform
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -61,7 +61,7 @@ def add_noise_tokens(records: DataFrame, key: str, level: float, seed: int = 42,
     start = F.struct(F.lit(1).alias("pos"), F.array().cast("array<struct<label:string,start:int,end:int,value:string>>").alias("out"))
 
     def step(acc: Column, e: Column) -> Column:
-        at = F.locate(e["value"], F.col("__new"), acc["pos"])
+        at = locate(e["value"], F.col("__new"), acc["pos"])
         moved = F.when(at > 0, F.struct(e["label"].alias("label"), (at - 1).alias("start"), (at - 1 + F.length(e["value"])).alias("end"), e["value"].alias("value"))).otherwise(e)
         return F.struct(F.when(at > 0, at + F.length(e["value"])).otherwise(acc["pos"]).alias("pos"), F.concat(acc["out"], F.array(moved)).alias("out"))
 

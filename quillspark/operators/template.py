@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import locate
+
 PLACEHOLDER = re.compile(r"\{\{\s*(\w+)\s*(\.upper\(\))?\s*\}\}")
 
 
@@ -61,7 +63,7 @@ def locate_spans(text: Column, labels: dict[str, str], values: dict[str, Column]
     out = []
     for field, label in labels.items():
         at = F.locate(label, text)
-        value_at = F.locate(values[field], text, at + len(label))
+        value_at = locate(values[field], text, at + len(label))
         span = lambda start, size, role, ok: F.when(ok, F.struct(F.lit(field).alias("label"), (start - 1).alias("start"), (start - 1 + size).alias("end"), F.lit(role).alias("role")))  # noqa: B023, E731
         out += [span(at, F.lit(len(label)), "LABEL", at > 0), span(value_at, F.length(values[field]), "VALUE", (at > 0) & (value_at > 0) & (values[field] != ""))]
     return F.array_compact(F.array(*out))
