@@ -212,14 +212,18 @@ def _profiled(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataF
     alive = owners.groupBy("doc_id", "d1").agg(F.collect_set("seed").alias("alive")).join(reps.select(F.col("rep").alias("doc_id"), "d1"), ["doc_id", "d1"], "left_semi")
     alive = settle(alive)
     release(docs.sparkSession)
+    profile = settle(profile.drop("seeds"))
+    del full, seen, owners, repeated
+    release(docs.sparkSession)
     texts = settle(docs.join(alive.hint("shuffle_hash"), "doc_id"))
+    del alive
     release(docs.sparkSession)
     return docs, profile, reps, texts
 
 
 def _level(texts: DataFrame, window: int, length: int, first: bool) -> DataFrame:
     """(doc_id, d1, start, low) of the pieces of this length that repeat across documents."""
-    keys = settle(texts.mapInArrow(window_keys(window, length, first), KEYS))
+    keys = texts.mapInArrow(window_keys(window, length, first), KEYS)  # made twice: cheaper than keeping them
     rows = keys.select("doc_id", "d1", F.explode(F.arrays_zip("start", "k1", "k2")).alias("x")).select("doc_id", "d1", "x.start", "x.k1", "x.k2")
     shared = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
     return rows.join(shared.select("k1", "k2", "low"), ["k1", "k2"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,12 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files and checkpoints that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files and checkpoints that nothing refers to any more.
+
+    Python's references to JVM objects are dropped by a thread of their own, a
+    moment after its garbage collection, so the JVM's collection comes after that.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
