@@ -55,7 +55,7 @@ def bio_tags(tokens: Column, entities: Column, ranked: bool = False) -> Column:
 
 def bio_samples(records: DataFrame, ranked: bool = False) -> DataFrame:
     """tokens and ner_tags added to records of (text, entities); empty texts go."""
-    out = records.withColumn("__t", tokens_with_offsets("text")).where(F.size("__t") > 0)
+    out = records.where(token_count(F.col("text")) > 0).withColumn("__t", tokens_with_offsets("text"))
     out = out.withColumn("ner_tags", bio_tags(F.col("__t"), F.col("entities"), ranked))
     return out.withColumn("tokens", F.transform("__t", lambda t: t["token"])).drop("__t")
 

@@ -19,7 +19,7 @@ def build_dataset(spark: SparkSession, doc_type: str, bodies: list[str], fields:
     records = render_any(generate_records(spark, doc_type, n, seed), bodies, fields, F.col("row_id")).select("row_id", "template_idx", "text", "entities")
     noisy = add_noise_tokens(add_noise(records, "row_id", noise, seed), "row_id", noise, seed)
     split = exact_split(bio_samples(noisy), "row_id", [("train", 1 - test_share), ("test", test_share)], seed)
-    return split, label_list(split.select(F.explode("ner_tags").alias("label")))
+    return split, label_list(split.select(F.explode_outer("ner_tags").alias("label")))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -42,7 +42,7 @@ def test_text_functions(spark):
     dates = ["1/2/2024", "99/99/2024", "x NGÀY 3  tháng 4 năm 2020.", "2024-01-02", " 01/02/2003 ", "ngày 13 tháng 12 năm 1999"]
     assert column(spark, dates, X.normalize_date) == ["01/02/2024", "99/99/2024", "03/04/2020", "2024-01-02", "01/02/2003", "13/12/1999"]
     assert column(spark, ["căn cước", "plain", "Đ"], X.is_vietnamese) == [True, False, True]
-    assert X.is_hub_id("owner/name") and not X.is_hub_id("/tmp/x") and not X.is_hub_id("one")
+    assert X.is_hub_id("owner/name") and not X.is_hub_id("/tmp/x/y") and not X.is_hub_id("one")
 
 
 def test_tokens_and_tags(spark):
