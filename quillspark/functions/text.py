@@ -26,6 +26,11 @@ def locate(part: Column, text: Column, start: Column) -> Column:
     return F.call_function("locate", part, text, start)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_ws(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, rf"^{WS}+|{WS}+\z", "")
@@ -71,8 +76,7 @@ def title_case(text: Column) -> Column:
 
 def normalize_name(name: Column) -> Column:
     """A stripped name, title-cased if it is all upper or all lower case."""
-    name = strip_ws(name)
-    return F.when((name == F.upper(name)) | (name == F.lower(name)), title_case(name)).otherwise(name)
+    return let(strip_ws(name), lambda n: F.when((n == F.upper(n)) | (n == F.lower(n)), title_case(n)).otherwise(n))
 
 
 def capitalize_words(text: Column) -> Column:
@@ -82,13 +86,12 @@ def capitalize_words(text: Column) -> Column:
 
 def normalize_date(text: Column) -> Column:
     """dd/mm/yyyy of the forms known, else the stripped text; days and months are not checked."""
-    text = strip_ws(text)
 
-    def padded(pattern: str) -> Column:
-        day, month, year = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3))
+    def padded(t: Column, pattern: str) -> Column:
+        day, month, year = (F.regexp_extract(t, pattern, i) for i in (1, 2, 3))
         return F.concat(F.lpad(day, 2, "0"), F.lit("/"), F.lpad(month, 2, "0"), F.lit("/"), year)
 
-    return F.when(text.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"), text).when(text.rlike(LONG_DATE), padded(LONG_DATE)).when(text.rlike(SHORT_DATE), padded(SHORT_DATE)).otherwise(text)
+    return let(strip_ws(text), lambda t: F.when(t.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"), t).when(t.rlike(LONG_DATE), padded(t, LONG_DATE)).when(t.rlike(SHORT_DATE), padded(t, SHORT_DATE)).otherwise(t))
 
 
 def is_vietnamese(text: Column) -> Column:

@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, capitalize_words, strip_ws, word_count
+from ..functions.text import WS, capitalize_words, let, strip_ws, word_count
 
 # Gender spellings, labels that bleed into values, and markers at which free text is cut.
 GENDERS = {"NỮ": "Nữ", "NU": "Nữ", "NO": "Nữ", "N0": "Nữ", "NƯ": "Nữ", "NỪ": "Nữ", "NAM": "Nam"}
@@ -38,15 +38,20 @@ def trim_bleed(etype: Column, text: Column) -> Column:
     for pattern in LEADING_LABELS:
         text = F.regexp_replace(text, pattern, "")
     address = F.contains(etype, F.lit("ADDRESS"))
-    mended = trim_edges(F.regexp_replace(F.regexp_replace(text, CLASS_VALUE, " "), rf"{WS}{{2,}}", " "))
-    text = F.when(address, mended).otherwise(text)
 
-    def cut(markers: tuple[str, ...]) -> Column:
-        # a marker at the very start is no cut
-        first = F.array_min(F.filter(F.array(*(F.locate(m, F.lower(text)) for m in markers)), lambda p: p > 1))
-        return F.when(first.isNotNull(), trim_edges(F.substr(text, F.lit(1), first - 1))).otherwise(text)
+    def mended(t: Column) -> Column:
+        return trim_edges(F.regexp_replace(F.regexp_replace(t, CLASS_VALUE, " "), rf"{WS}{{2,}}", " "))
 
-    return strip_ws(F.when(address, cut(CUT_MARKERS)).when(any_of(etype, FREE_TEXT), cut(CLASS_MARKERS + CUT_MARKERS)).otherwise(text))
+    def cut(t: Column) -> Column:
+        # a marker at the very start is no cut; class markers were mended in addresses
+        place = lambda low, markers: F.array(*(F.locate(m, low) for m in markers))
+        every = let(F.lower(t), lambda low: F.when(address, place(low, CUT_MARKERS)).otherwise(place(low, CLASS_MARKERS + CUT_MARKERS)))
+        return let(F.array_min(F.filter(every, lambda p: p > 1)), lambda first: F.when(first.isNotNull(), trim_edges(F.substr(t, F.lit(1), first - 1))).otherwise(t))
+
+    def trimmed(t: Column) -> Column:
+        return strip_ws(let(F.when(address, mended(t)).otherwise(t), lambda x: F.when(any_of(etype, FREE_TEXT), cut(x)).otherwise(x)))
+
+    return let(text, trimmed)
 
 
 def normalize_gender(text: Column) -> Column:
