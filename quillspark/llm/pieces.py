@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-RECENT_CUTS = 150_000
+RECENT_CUTS = 250_000
 RECENT_PAIRS = 300_000
 LONGEST_CACHED = 40
+SHORT = 32
+NEVER = float("-inf")
 
 
 class Recent(dict):
@@ -77,6 +79,8 @@ class PieceTable:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of ``text`` by repeated merging of the best pair, leftmost first among equals."""
+        if len(text) <= SHORT:
+            return self._merge_short(text)
         n = len(text)
         part, right = list(text), [*range(1, n), -1]
         left = list(range(-1, n - 1))
@@ -103,19 +107,33 @@ class PieceTable:
             offer(left[i])
         return [p for p in part if p is not None]
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        a, b = self.rows[pair[0]][0], self.rows[pair[1]][0]
+    def _merge_short(self, text: str) -> list[str]:
+        part, score = list(text), self.score
+        pairs = [score.get(a + b, NEVER) for a, b in zip(part, part[1:])]
+        while pairs and (best := max(pairs)) > NEVER:
+            i = pairs.index(best)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score.get(part[i - 1] + part[i], NEVER)
+            if i < len(pairs):
+                pairs[i] = score.get(part[i] + part[i + 1], NEVER)
+        return part
+
+    def _fits(self, pair: int) -> bool:
+        a, b = self.rows[pair >> 32][0], self.rows[pair & 0xFFFFFFFF][0]
         return self.merge(a + b) == [a, b]
 
     def ids_of(self, cut: str) -> list[int]:
         """The ids of one cut by the prefix table."""
         last: list[int | None] = [None] * (len(cut) + 1)
+        fits = self.fits
         for end, (size, token) in self.automaton.iter(cut):
             end += 1
             if last[end] is None:
                 start = end - size
                 before = last[start] if start else None
-                if before is None or self.fits[before, token]:
+                if before is None or fits[before << 32 | token]:
                     last[end] = token
         out, end = [], len(cut)
         while end:
@@ -188,6 +206,13 @@ def table_of(model_path: str) -> PieceTable:
     return _loaded[model_path]
 
 
+def worker_table(model_path: str, shared) -> PieceTable:
+    """The table of a Python worker; module state, so one worker's tasks share its caches."""
+    if model_path not in _loaded:
+        _loaded[model_path] = PieceTable(*shared.value)
+    return _loaded[model_path]
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -205,9 +230,7 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, keep_ids: b
     shared = docs.sparkSession.sparkContext.broadcast((table.rows, table.reachable))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _loaded:
-            _loaded[path] = PieceTable(*shared.value)
-        encode = _loaded[path].run
+        encode = worker_table(path, shared).run
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
