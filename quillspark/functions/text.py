@@ -68,10 +68,16 @@ def segments(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n", -1), strip_ws), lambda s: s != "")
 
 
+def capital(word: Column) -> Column:
+    """First character in upper case (of a letter that becomes two, only the first of them), the rest in lower."""
+    first = F.upper(F.substring(word, 1, 1))
+    return F.concat(F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))), F.lower(F.substr(word, F.lit(2))))
+
+
 def title_case(text: Column) -> Column:
     """Every run of letters with its first letter in upper and the rest in lower case."""
     runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), "")
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def normalize_name(name: Column) -> Column:
@@ -81,7 +87,7 @@ def normalize_name(name: Column) -> Column:
 
 def capitalize_words(text: Column) -> Column:
     """White space collapsed, each word with only its first character in upper case."""
-    return F.array_join(F.transform(word_list(text), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), " ")
+    return F.array_join(F.transform(word_list(text), capital), " ")
 
 
 def normalize_date(text: Column) -> Column:

@@ -29,7 +29,7 @@ def words(x: str) -> str:
 
 
 def capital(w: str) -> str:
-    return f"upper({w}[1:1]) || lower({w}[2:])"
+    return f"CASE WHEN {w}[1:1] = 'ß' THEN 'Ss' ELSE upper({w}[1:1]) END || lower({w}[2:])"
 
 
 def title(x: str) -> str:
