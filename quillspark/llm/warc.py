@@ -28,29 +28,36 @@ CRLF = "\r\n"
 
 # Elements that end a line, and entities.
 BLOCK_TAGS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-ENTITIES = (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("apos", "'"), ("copy", "©"), ("reg", "®"), ("middot", "·"), ("hellip", "…"), ("mdash", "—"), ("ndash", "–"), ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"), ("rdquo", "”"), ("amp", "&"))
+ENTITIES = (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("copy", "©"), ("middot", "·"))
+RARE_ENTITIES = (("apos", "'"), ("reg", "®"), ("hellip", "…"), ("mdash", "—"), ("ndash", "–"), ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"), ("rdquo", "”"))
+LAST_ENTITIES = (("amp", "&"),)
 #: Applied in turn: (pattern, replacement); RE2 and Java read them alike.
 CLEANING = (
-    (r"(?s)<!--.*?-->", " "),
-    (r"(?is)<script\b[^>]*>.*?</script\s*>", " "),
-    (r"(?is)<style\b[^>]*>.*?</style\s*>", " "),
-    (r"(?is)<noscript\b[^>]*>.*?</noscript\s*>", " "),
-    (r"[\t\n\x0B\f\r ]+", " "),
+    (r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>", " "),
+    (r"[\t\n\x0B\f\r]", " "),
     (rf"(?i)</?({BLOCK_TAGS})(\s[^>]*)?/?>", "\n"),
     (r"<[/!?a-zA-Z][^>]*>", ""),
 )
-TIDYING = ((r" *\n[ \n]*", "\n"), (r" +", " "), (r"^[ \n]+", ""), (r"[ \n]+$", ""))
+TIDYING = ((r" +\n[ \n]*|\n[ \n]+", "\n"), (r" {2,}", " "))
 
 
 def visible_text(html: Column) -> Column:
     """The visible text of HTML; a block element starts and ends a line."""
     for pattern, by in CLEANING:
         html = F.regexp_replace(html, pattern, by)
-    for name, by in ENTITIES:
-        html = F.replace(html, F.lit(f"&{name};"), F.lit(by))
+
+    def decoded(text: Column, entities: tuple) -> Column:
+        for name, by in entities:
+            text = F.replace(text, F.lit(f"&{name};"), F.lit(by))
+        return text
+
+    rare = "&(" + "|".join(name for name, _ in RARE_ENTITIES) + ");"
+    # bound once: named three times, the text so far would be worked out three times
+    html = F.get(F.transform(F.array(decoded(html, ENTITIES)), lambda t: F.when(t.rlike(rare), decoded(t, RARE_ENTITIES)).otherwise(t)), F.lit(0))
+    html = decoded(html, LAST_ENTITIES)
     for pattern, by in TIDYING:
         html = F.regexp_replace(html, pattern, by)
-    return html
+    return F.trim(html, F.lit(" \n"))
 
 
 def record_id(*parts: Column) -> Column:
@@ -123,10 +130,11 @@ def derivative_sql(date: str = "2024-01-01T00:00:00Z") -> str:
     text = "html"
     for pattern, by in CLEANING:
         text = f"regexp_replace({text}, {q(pattern)}, {q(by)}, 'g')"
-    for name, by in ENTITIES:
+    for name, by in ENTITIES + RARE_ENTITIES + LAST_ENTITIES:
         text = f"replace({text}, {q(f'&{name};')}, {q(by)})"
     for pattern, by in TIDYING:
         text = f"regexp_replace({text}, {q(pattern)}, {q(by)}, 'g')"
+    text = f"trim({text}, ' ' || chr(10))"
     crlf = "chr(13) || chr(10)"
     uuid = lambda h: f"'<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-' || {h}[13:16] || '-' || {h}[17:20] || '-' || {h}[21:32] || '>'"
     names = (("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "source_id"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", q(date)), ("WARC-Block-Digest", "block_digest"), ("WARC-Source-Payload-Digest", "source_digest"), ("Software", q(SOFTWARE)), ("Content-Type", "content_type"), ("Content-Length", "CAST(content_length AS VARCHAR)"))
