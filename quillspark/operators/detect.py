@@ -57,35 +57,45 @@ def template_corpus(templates: DataFrame, fields: DataFrame) -> DataFrame:
     return bodies.join(names, "doc_type", "left").select("doc_type", F.trim(F.regexp_replace(F.concat_ws(" ", "body", "names", "names", "names"), r"\s+", " ")).alias("corpus"))
 
 
-def terms(corpora: DataFrame, key: str, text: str, bigrams: bool = True) -> DataFrame:
-    """key, term, n: words of two or more letters, digits or underscores in lower case, and their bigrams.
+def term_rows(corpora: DataFrame, key: str, text: str, bigrams: bool = True) -> DataFrame:
+    """key, term of every occurrence: words of two or more letters, digits or underscores in lower case, and their bigrams.
 
     The words stay in one array per text; nothing is sorted or windowed over rows.
     """
     words = corpora.select(key, F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)).alias("w"))
     both = F.concat("w", F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))) if bigrams else F.col("w")
-    return words.select(key, F.explode(both).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    return words.select(key, F.explode(both).alias("term"))
 
 
 def tfidf_index(corpora: DataFrame, key: str = "doc_type", text: str = "corpus", most_terms: int = MOST_TERMS) -> DataFrame:
-    """key, term, weight, idf: (1 + ln n) * (ln((1 + N) / (1 + df)) + 1), rows of length 1; the most frequent terms only."""
-    counts = terms(corpora, key, text)
-    total = corpora.select(F.count("*").alias("docs"))
-    by_term = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("all")).orderBy(F.desc("all"), "term").limit(most_terms)
-    idf = by_term.crossJoin(F.broadcast(total)).select("term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = counts.join(idf, "term").withColumn("raw", (1 + F.log("n")) * F.col("idf"))
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return weighted.join(norms, key).select(key, "term", (F.col("raw") / F.col("norm")).alias("weight"), "idf")
+    """key, term, weight, idf: (1 + ln n) * (ln((1 + N) / (1 + df)) + 1), rows of length 1; the most frequent terms only.
+
+    A key's corpus may come as many rows: their terms are counted together, bigrams do not go from one row to the next.
+    """
+    corpora = corpora.where(F.col(key).isNotNull())
+    keys = [r[0] for r in corpora.select(key).distinct().orderBy(key).collect()]  # one per document type: few
+    # a term's counts stay on one row, so that the texts are read, counted and dealt once
+    counts = term_rows(corpora, key, text).groupBy("term").agg(F.count("*").alias("all"), *(F.count_if(F.col(key) == F.lit(k)).alias(f"n{i}") for i, k in enumerate(keys)))
+    top = counts.orderBy(F.desc("all"), "term").limit(most_terms)
+    kind = corpora.schema[key].dataType.simpleString()
+    found = F.filter(F.array(*(F.struct(F.lit(k).cast(kind).alias(key), F.col(f"n{i}").alias("n")) for i, k in enumerate(keys))) if keys else F.lit(None).cast(f"array<struct<{key}:{kind},n:bigint>>"), lambda x: x["n"] > 0)
+    idf = top.select("term", (F.log((1 + F.lit(len(keys))) / (1 + F.size(found))) + 1).alias("idf"), F.inline(found))
+    weighted = idf.withColumn("raw", (1 + F.log("n")) * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", (F.col("raw") / norm).alias("weight"), "idf")
 
 
 def tfidf_scores(texts: DataFrame, key: str, text: str, index: DataFrame, doc_type: str = "doc_type") -> DataFrame:
     """key, doc_type, score: the cosine of a text's white-space words (lower case) with every indexed type that shares one."""
     words = texts.select(key, F.explode(F.filter(F.split(F.lower(text), r"\s+", -1), lambda w: w != "")).alias("term"))
-    idf = index.select("term", "idf").distinct()
-    query = words.groupBy(key, "term").agg(F.count("*").alias("n")).join(idf, "term").withColumn("q", (1 + F.log("n")) * F.col("idf"))
-    norms = query.groupBy(key).agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
-    dots = query.join(index.select(F.col(doc_type).alias("doc_type"), "term", "weight"), "term").groupBy(key, "doc_type").agg(F.sum(F.col("q") * F.col("weight")).alias("dot"))
-    return dots.join(norms, key).select(key, "doc_type", (F.col("dot") / F.col("norm")).alias("score"))
+    by_term = index.groupBy("term").agg(F.first("idf").alias("idf"), F.collect_list(F.struct(F.col(doc_type).alias("doc_type"), "weight")).alias("in"))
+    # dealt by key alone: counting, products and norms then need no further exchange
+    query = words.repartition(key).groupBy(key, "term").agg(F.count("*").alias("n")).join(F.broadcast(by_term), "term").withColumn("q", (1 + F.log("n")) * F.col("idf"))
+    # the text itself goes as one more type, without a name: its product with itself is the squared norm
+    own = F.array(F.struct(F.lit(None).cast("string").alias("doc_type"), F.col("q").alias("weight")))
+    dots = query.select(key, "q", F.inline(F.concat("in", own))).groupBy(key, "doc_type").agg(F.sum(F.col("q") * F.col("weight")).alias("dot"))
+    norm = F.sqrt(F.max(F.when(F.col("doc_type").isNull(), F.col("dot"))).over(Window.partitionBy(key)))
+    return dots.withColumn("norm", norm).where("doc_type IS NOT NULL").select(key, "doc_type", (F.col("dot") / F.col("norm")).alias("score"))
 
 
 def keyword_scores(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]]) -> DataFrame:

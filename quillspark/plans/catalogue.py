@@ -225,6 +225,24 @@ def tfidf_detect(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("doc_id", "doc_type", F.round("score", 4).alias("score"))
 
 
+def _lang_corpora(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents, one row each, by language; a document without a language belongs to no corpus."""
+    return table(spark, sf, "documents").where("lang IS NOT NULL").select(F.col("lang").alias("doc_type"), F.col("text").alias("corpus"))
+
+
+def _turns(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text")
+
+
+def tfidf_weights_lang(spark: SparkSession, sf: str) -> DataFrame:
+    return detect.tfidf_index(_lang_corpora(spark, sf)).select("doc_type", "term", F.round("weight", 4).alias("weight"), F.round("idf", 4).alias("idf"))
+
+
+def tfidf_detect_lang(spark: SparkSession, sf: str) -> DataFrame:
+    scores = detect.tfidf_scores(_turns(spark, sf), "key", "text", detect.tfidf_index(_lang_corpora(spark, sf)))
+    return scores.select("key", "doc_type", F.round("score", 4).alias("score"))
+
+
 def keyword_detect(spark: SparkSession, sf: str) -> DataFrame:
     return detect.detect_by_keywords(table(spark, sf, "documents"), "doc_id", "text", RULES).drop("scores")
 
@@ -339,7 +357,7 @@ QUERIES = {
     for f in (
         token_offsets, token_stats, clean_text, clean_pages, segment_lines, normalize_text, vietnamese_flag, normalize_name, normalize_date, model_names, span_locate, bio_assign, bio_role_ranked, label_list,
         split_train_test, oversample_union, window_spans_infer, window_spans_train, label_align, overlap_merge, word_from_subword, bio_decode, bio_decode_values, bleed_trim, dedup_entities, merge_entities_fold,
-        first_valid_entities, validate_entities, validate_entities_repo, schema_map, schema_map_conf, tfidf_weights, tfidf_detect, keyword_detect, detect_topn, cosine_topk, rules_build, entity_f1, field_accuracy, quality_gate,
+        first_valid_entities, validate_entities, validate_entities_repo, schema_map, schema_map_conf, tfidf_weights, tfidf_detect, tfidf_weights_lang, tfidf_detect_lang, keyword_detect, detect_topn, cosine_topk, rules_build, entity_f1, field_accuracy, quality_gate,
         run_summary, dataset_card_stats, label_table, registry_merge, registry_ttl, gen_cccd, gen_gplx, gen_giay_khai_sinh, gen_vehicle_registration, gen_giay_ra_vien, render_template, ocr_noise, ocr_noise_tokens, extract_auto,
     )
 }

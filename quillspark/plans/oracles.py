@@ -151,6 +151,23 @@ raw AS (SELECT doc_type, term, (1 + ln(n)) * idf AS r, idf FROM counts JOIN idfs
 idx AS (SELECT doc_type, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_type)) AS weight, idf FROM raw)"""
 
 
+def lang_corpus_sql() -> str:
+    return rf"""text AS (SELECT lang AS doc_type, regexp_extract_all(lower(text), {q(WORD)}) AS w FROM documents WHERE lang IS NOT NULL),
+grams AS (SELECT doc_type, unnest(list_concat(w, list_transform(list_zip(w, w[2:], true), lambda x: x[1] || ' ' || x[2]))) AS term FROM text),
+counts AS (SELECT doc_type, term, count(*) AS n FROM grams GROUP BY ALL),
+top AS (SELECT term, count(*) AS df, sum(n) AS a FROM counts GROUP BY term ORDER BY a DESC, term LIMIT 8000),
+idfs AS (SELECT term, ln((1 + (SELECT count(DISTINCT doc_type) FROM text)) / (1 + df)) + 1 AS idf FROM top),
+raw AS (SELECT doc_type, term, (1 + ln(n)) * idf AS r, idf FROM counts JOIN idfs USING (term)),
+idx AS (SELECT doc_type, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_type)) AS weight, idf FROM raw)"""
+
+
+TURNS = "turns AS (SELECT conv_id || '-' || turn AS key, text FROM conversations)"
+TURN_SCORES = r"""qw AS (SELECT key, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '')) AS term FROM turns),
+qn AS (SELECT key, term, (1 + ln(count(*))) * any_value(idf) AS v FROM qw JOIN idfs USING (term) GROUP BY key, term),
+norms AS (SELECT key, sqrt(sum(v * v)) AS norm FROM qn GROUP BY key),
+cosines AS (SELECT key, doc_type, sum(v * weight) / any_value(norm) AS score FROM qn JOIN idx USING (term) JOIN norms USING (key) GROUP BY key, doc_type)"""
+
+
 def keyword_sql(key: str, source: str) -> str:
     from ..functions.text import keyword_form_of
 
@@ -284,6 +301,8 @@ SELECT doc_id, len(l) AS n, len(list_filter(l, lambda x: x = 1)) AS n_names, len
 qn AS (SELECT doc_id, term, (1 + ln(count(*))) * any_value(idf) AS v FROM qw JOIN idfs USING (term) GROUP BY doc_id, term),
 norms AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM qn GROUP BY doc_id)
 SELECT doc_id, doc_type, round(sum(v * weight) / any_value(norm), 4) AS score FROM qn JOIN idx USING (term) JOIN norms USING (doc_id) GROUP BY doc_id, doc_type""",
+    "tfidf_weights_lang": f"WITH {lang_corpus_sql()} SELECT doc_type, term, round(weight, 4) AS weight, round(idf, 4) AS idf FROM idx",
+    "tfidf_detect_lang": f"WITH {lang_corpus_sql()}, {TURNS}, {TURN_SCORES} SELECT key, doc_type, round(score, 4) AS score FROM cosines",
     "keyword_detect": f"""WITH {keyword_sql('doc_id', 'documents')}, b AS (SELECT doc_id, sum(score) AS total, arg_min(doc_type, struct_pack(a := -score, b := ord)) AS best, max(score) AS top FROM scores GROUP BY doc_id),
 s AS (SELECT *, CASE WHEN total > 0 THEN round(top / total, 4) ELSE 0 END AS share FROM b)
 SELECT doc_id, CASE WHEN total > 0 AND share >= 0.25 THEN best END AS doc_type, share AS confidence, total > 0 AND share >= 0.25 AS is_confident, CASE WHEN total > 0 THEN 'keyword' ELSE 'none' END AS method FROM s""",
