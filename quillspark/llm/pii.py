@@ -9,10 +9,10 @@ segments of at most ``MOST_TOKENS`` tokens. Regions are the neighbourhoods of
 tokens with a digit or an at sign; no personal data of these kinds lies outside.
 
 Training is log-likelihood over segmentations (forward-backward) on at most
-``TRAIN_REGIONS`` regions, the smallest by hash over the whole corpus, labelled by
-the base patterns. Half of the regions are rewritten to the looser spellings
-the model is to learn (phones without plus sign, spelt-out at signs), labels
-kept, with the rest as they are. A model span counts if its marginal probability is
+``TRAIN_REGIONS`` regions with base spans and as many without, the smallest of each
+by hash over the whole corpus, labelled by the base patterns. Half of the regions
+with base spans are rewritten to the looser spellings the model is to learn (phones
+without plus sign, spelt-out at signs), labels kept, with the rest as they are. A model span counts if its marginal probability is
 at least ``SURE`` and it touches no base span; base spans always stay.
 
 Nulls and odd rows: a null text counts as empty; null and repeated doc_ids keep
@@ -211,15 +211,15 @@ def _log_add(a: float, b: float) -> float:
 
 
 def region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Regions of the texts that hold a base span, and as many that hold none, cut out as texts of their own."""
+    """Regions of the texts, cut out as texts of their own, with their hash and whether they hold a base span."""
     for batch in batches:
         out = []
         for text in batch.column("text").to_pylist():
             for tokens in regions(text):
                 part = text[tokens[0][0] : tokens[-1][1]]
                 if len(part) <= 2000:
-                    out.append((hashlib.md5(part.encode()).hexdigest(), part))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["draw", "part"])
+                    out.append((hashlib.md5(part.encode()).hexdigest(), part, bool(base_spans(part))))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.bool_()))], names=["draw", "part", "held"])
 
 
 def loosened(part: str, spans: list[tuple[str, int, int]], rnd: random.Random) -> tuple[str, dict[tuple[int, int], int]]:
@@ -244,12 +244,14 @@ def loosened(part: str, spans: list[tuple[str, int, int]], rnd: random.Random) -
 def train_model(docs: DataFrame, most: int = TRAIN_REGIONS) -> SemiCRF:
     """The model of a corpus, from at most ``most`` regions of it with base spans and as many without."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    drawn = texts.mapInArrow(region_texts, "draw string, part string").distinct().orderBy("draw").limit(2 * most).collect()
+    parts = texts.mapInArrow(region_texts, "draw string, part string, held boolean").distinct()
+    held, bare = (parts.where(c).orderBy("draw").limit(most).collect() for c in ("held", "NOT held"))
     rnd, examples = random.Random(3), []
-    for i, (_, part) in enumerate(drawn):
+    for i, (_, part, _) in enumerate(held):
         base = base_spans(part)
         own = {core(part, a, b): KINDS.index(k) + 1 for k, a, b in base}
-        examples.append(loosened(part, base, rnd) if i % 2 and base else (part, own))
+        examples.append(loosened(part, base, rnd) if i % 2 else (part, own))
+    examples += [(r.part, {}) for r in bare]
     model = SemiCRF()
     model.train(examples)
     return model
