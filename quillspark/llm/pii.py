@@ -6,7 +6,8 @@ same things): it scores whole candidate segments, not single tokens, by features
 of the span (shape, digits, length, Luhn and range tests, the words before it),
 and one dynamic program over a region chooses boundaries and types jointly, with
 segments of at most ``MOST_TOKENS`` tokens. Regions are the neighbourhoods of
-tokens with a digit or an at sign; no personal data of these kinds lies outside.
+tokens with a digit, an at sign or a spelt-out sign (``at``, ``[at]``, ``(at)``,
+``dot``, ``[dot]``, ``(dot)``).
 
 Training is log-likelihood over segmentations (forward-backward) on at most
 ``TRAIN_REGIONS`` regions with base spans and as many without, the smallest of each
@@ -48,6 +49,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 HOT = re.compile(r"[0-9@]")
+# What opens a region: also a spelt-out sign, bare ones as tokens of their own.
+OPENS = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]|(?<![^\x20\x09-\x0D])(?:at|dot)(?![^\x20\x09-\x0D])", re.IGNORECASE | re.ASCII)
 
 
 def luhn(digits: str) -> bool:
@@ -87,9 +90,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans of the stretches around tokens with a digit or an at sign, each at most LONGEST_REGION tokens."""
+    """Token spans of the stretches around tokens with a digit, an at sign or a spelt-out sign, each at most LONGEST_REGION tokens."""
     tokens = [m.span() for m in TOKEN.finditer(text)]
-    hot = [i for i, (a, b) in enumerate(tokens) if HOT.search(text, a, b)]
+    hot = [i for i, (a, b) in enumerate(tokens) if OPENS.search(text, a, b)]
     out: list[list[int]] = []
     for i in hot:
         a, b = max(0, i - CONTEXT), min(len(tokens), i + CONTEXT + 1)
@@ -243,7 +246,7 @@ def loosened(part: str, spans: list[tuple[str, int, int]], rnd: random.Random) -
 
 def train_model(docs: DataFrame, most: int = TRAIN_REGIONS) -> SemiCRF:
     """The model of a corpus, from at most ``most`` regions of it with base spans and as many without."""
-    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
+    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("(?i)" + OPENS.pattern))
     parts = texts.mapInArrow(region_texts, "draw string, part string, held boolean").distinct()
     held, bare = (parts.where(c).orderBy("draw").limit(most).collect() for c in ("held", "NOT held"))
     rnd, examples = random.Random(3), []
@@ -287,7 +290,7 @@ def personal_data(docs: DataFrame, model: SemiCRF | None = None) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                base, more = find_spans(own, text) if text and HOT.search(text) else ([], [])
+                base, more = find_spans(own, text) if text and OPENS.search(text) else ([], [])
                 kinds = [k for k, _, _ in base]
                 listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
                 everything = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(base + more, key=lambda s: (place[s[0]], s[1])))

@@ -1,5 +1,7 @@
 """What the model is trained on and where it looks."""
 
+import numpy as np
+
 from quillspark.llm import pii
 
 
@@ -10,3 +12,23 @@ def test_sample_holds_base_spans_in_a_corpus_of_plain_numbers(spark, monkeypatch
     monkeypatch.setattr(pii.SemiCRF, "train", lambda self, examples: seen.extend(examples))
     pii.train_model(docs, 20)
     assert sum(bool(spans) for _, spans in seen) == 5 and len(seen) == 25
+
+
+def test_spelt_out_signs_open_a_region(spark):
+    """A model that knows the spelling gets to see it, wherever digits are."""
+    names = ["spelt=True&True", "tokens=5"]
+    weights = np.zeros((3, 5))
+    weights[:2, 1], weights[2, 1:], weights[2, 0] = 200, -20, 1
+    model = pii.SemiCRF(names, weights)
+    text = "we ask you to write to jane [at] example [dot] com about the matter"
+    assert pii.find_spans(model, text) == ([], [("email", 23, 50)])
+    docs = spark.createDataFrame([(1, text), (2, "nothing of the kind")], "doc_id long, text string")
+    assert {r.doc_id: r.n_added for r in pii.personal_data(docs, model).collect()} == {1: 1, 2: 0}
+    assert all(pii.regions(f"a {sign} b") for sign in ("at", "AT", "(at)", "[at]", "dot", "[dot]", "(dot)", "x[at]y"))
+    assert not pii.regions("that dotted attic is at-tic")
+
+
+def test_ordinary_words_between_signs_stay(spark):
+    model = pii.train_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for clean in ("look at the dot on the map", "she was at home and at work", "AT last"):
+        assert pii.regions(clean) and pii.find_spans(model, clean) == ([], [])
