@@ -7,7 +7,8 @@ of the span (shape, digits, length, Luhn and range tests, the words before it),
 and one dynamic program over a region chooses boundaries and types jointly, with
 segments of at most ``MOST_TOKENS`` tokens. Regions are the neighbourhoods of
 tokens with a digit, an at sign or a spelt-out sign (``at``, ``[at]``, ``(at)``,
-``dot``, ``[dot]``, ``(dot)``).
+``dot``, ``[dot]``, ``(dot)``), however long; only those of the training sample are
+cut, after ``LONGEST_REGION`` tokens.
 
 Training is log-likelihood over segmentations (forward-backward) on at most
 ``TRAIN_REGIONS`` regions with base spans and as many without, the smallest of each
@@ -89,14 +90,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans of the stretches around tokens with a digit, an at sign or a spelt-out sign, each at most LONGEST_REGION tokens."""
+def regions(text: str, longest: float = math.inf) -> list[list[tuple[int, int]]]:
+    """Token spans of the whole stretches around tokens with a digit, an at sign or a spelt-out sign, or cut after ``longest`` tokens."""
     tokens = [m.span() for m in TOKEN.finditer(text)]
     hot = [i for i, (a, b) in enumerate(tokens) if OPENS.search(text, a, b)]
     out: list[list[int]] = []
     for i in hot:
         a, b = max(0, i - CONTEXT), min(len(tokens), i + CONTEXT + 1)
-        if out and a <= out[-1][1] and b - out[-1][0] <= LONGEST_REGION:
+        if out and a <= out[-1][1] and b - out[-1][0] <= longest:
             out[-1][1] = b
         else:
             out.append([max(a, out[-1][1]) if out else a, b])
@@ -142,6 +143,13 @@ class SemiCRF:
         self.ids = {x: i for i, x in enumerate(names or [])}
         self.w = np.zeros((len(self.ids) + 1, len(KINDS) + 1)) if weights is None else weights  # the last row: features never seen
 
+    def scored(self, text: str, tokens: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """All segments by end, and the rows of their features, whose names are not kept."""
+        segments = [(i, j) for j in range(1, len(tokens) + 1) for i in range(max(0, j - MOST_TOKENS), j)]
+        none = len(self.ids)
+        rows = np.fromiter((self.ids.get(x, none) for i, j in segments for x in features(text, tokens, i, j)), np.int32)
+        return segments, rows.reshape(len(segments), -1)
+
     def lattice(self, text: str, tokens: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[list[str]]]:
         """All segments (i, j) by end, and their features."""
         segments = [(i, j) for j in range(1, len(tokens) + 1) for i in range(max(0, j - MOST_TOKENS), j)]
@@ -155,7 +163,9 @@ class SemiCRF:
 
         One bounded dynamic program each way: a place is reached by segments of at most MOST_TOKENS tokens.
         """
-        scores = self.w[rows].sum(axis=1)
+        scores = np.zeros((len(rows), self.w.shape[1]))
+        for column in rows.T:  # one feature at a time: a long region's weights are not all held at once
+            scores += self.w[column]
         first, last = np.array(segments).T
         scores[last - first > 1, 0] = -np.inf
         top = scores.max(axis=1)
@@ -202,8 +212,8 @@ class SemiCRF:
                 np.add.at(self.w, rows, (rate / (1 + 0.2 * turn) * (wanted - p))[:, None, :])
 
     def spans(self, text: str, tokens: list[tuple[int, int]], sure: float = SURE) -> list[tuple[str, int, int]]:
-        segments, names = self.lattice(text, tokens)
-        p, path = self.marginals(segments, self.rows(names))
+        segments, rows = self.scored(text, tokens)
+        p, path = self.marginals(segments, rows)
         return [(KINDS[y - 1], *core(text, tokens[segments[k][0]][0], tokens[segments[k][1] - 1][1])) for k, y in path if y and p[k, y] >= sure]
 
 
@@ -218,7 +228,7 @@ def region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for text in batch.column("text").to_pylist():
-            for tokens in regions(text):
+            for tokens in regions(text, LONGEST_REGION):
                 part = text[tokens[0][0] : tokens[-1][1]]
                 if len(part) <= 2000:
                     out.append((hashlib.md5(part.encode()).hexdigest(), part, bool(base_spans(part))))

@@ -32,3 +32,15 @@ def test_ordinary_words_between_signs_stay(spark):
     model = pii.train_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     for clean in ("look at the dot on the map", "she was at home and at work", "AT last"):
         assert pii.regions(clean) and pii.find_spans(model, clean) == ([], [])
+
+
+def test_spans_across_the_old_cut_are_found():
+    """The same span at every place of a number-dense text, also where tokens 48, 96, ... end."""
+    weights = np.zeros((4, 5))
+    weights[:3, 4], weights[3, 1:], weights[3, 0] = 100, -20, 1
+    model = pii.SemiCRF(["phone=True&True&3", "digits=10", "tokens=3"], weights)
+    for before in range(120):
+        text = "7 x " * (before // 2) + "y " * (before % 2) + "938 555 0822" + " 7 x" * 60
+        at = text.index("938")
+        assert ("phone", at, at + 12) in pii.find_spans(model, text)[1], before
+    assert len(pii.regions("7 x " * 500)) == 1
