@@ -115,12 +115,12 @@ def keyword_scores(texts: DataFrame, key: str, text: str, rules: dict[str, dict[
 
 
 def shares(scores: DataFrame, key: str) -> DataFrame:
-    """key, total, best (first of equals), its share, all shares rounded to 4 places."""
+    """key, total, best (first of equals), its share, all shares rounded to 4 places, first and second score."""
     listed = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "ord", "doc_type")))
     out = scores.groupBy(key).agg(listed.alias("s"), F.sum("score").alias("total"))
     share = lambda x: F.round(-x["neg"] / F.col("total"), 4)
     every = F.map_from_entries(F.transform("s", lambda x: F.struct(x["doc_type"], F.when(F.col("total") > 0, share(x)).otherwise(F.lit(0.0)))))
-    return out.select(key, "total", F.col("s")[0]["doc_type"].alias("best"), F.when(F.col("total") > 0, share(F.col("s")[0])).otherwise(0.0).alias("share"), every.alias("scores"))
+    return out.select(key, "total", F.col("s")[0]["doc_type"].alias("best"), F.when(F.col("total") > 0, share(F.col("s")[0])).otherwise(0.0).alias("share"), every.alias("scores"), (-F.col("s")[0]["neg"]).alias("first"), (-F.get("s", F.lit(1))["neg"]).alias("second"))
 
 
 def detect_by_keywords(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]] = BUILT_IN_RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -134,15 +134,14 @@ def detect(texts: DataFrame, key: str, text: str, index: DataFrame | None, rules
     """The TF-IDF decision where the best score is high and clear enough, the keyword decision elsewhere."""
     if index is None:
         return detect_by_keywords(texts, key, text, rules, threshold)
-    ranked = tfidf_scores(texts, key, text, index).withColumn("ord", F.lit(0))
-    best = ranked.groupBy(key).agg(F.max("score").alias("first"), F.get(F.sort_array(F.collect_list("score"), asc=False), F.lit(1)).alias("second"))
+    s = shares(tfidf_scores(texts, key, text, index).withColumn("ord", F.lit(0)).withColumn("score", F.greatest("score", F.lit(0.0))), key)
     second = F.coalesce("second", F.lit(0.0))
-    clear = best.where((F.col("first") >= LEAST_SCORE) & ~((second > 0) & (F.col("first") / (second + 1e-9) < LEAST_MARGIN))).select(key)
-    s = shares(ranked.join(clear, key, "left_semi").withColumn("score", F.greatest("score", F.lit(0.0))), key)
+    clear = s.where((F.col("first") >= LEAST_SCORE) & ~((second > 0) & (F.col("first") / (second + 1e-9) < LEAST_MARGIN)))
     sure = F.col("share") >= threshold
-    by_terms = s.select(key, F.when(sure, F.col("best")).alias("doc_type"), F.col("share").alias("confidence"), sure.alias("is_confident"), F.lit("tfidf").alias("method"), "scores")
-    rest = texts.select(key, text).join(clear, key, "left_anti")
-    return by_terms.unionByName(detect_by_keywords(rest, key, text, rules, threshold))
+    by_terms = clear.select(key, F.struct(F.when(sure, F.col("best")).alias("doc_type"), F.col("share").alias("confidence"), sure.alias("is_confident"), F.lit("tfidf").alias("method"), "scores").alias("by_terms"))
+    # the index is computed once: the keyword decision, one projection, is made for all texts and used where nothing is clear
+    found = detect_by_keywords(texts, key, text, rules, threshold).join(by_terms, key, "left")
+    return found.select(key, *(F.when(F.col("by_terms").isNotNull(), F.col(f"by_terms.{c}")).otherwise(F.col(c)).alias(c) for c in ("doc_type", "confidence", "is_confident", "method", "scores")))
 
 
 def top_n(scores: DataFrame, key: str, n: int) -> DataFrame:

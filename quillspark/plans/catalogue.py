@@ -243,6 +243,11 @@ def tfidf_detect_lang(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("key", "doc_type", F.round("score", 4).alias("score"))
 
 
+def detect_lang(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole decision: TF-IDF where it is high and clear enough, keywords elsewhere."""
+    return detect.detect(_turns(spark, sf), "key", "text", detect.tfidf_index(_lang_corpora(spark, sf)), RULES).drop("scores")
+
+
 def keyword_detect(spark: SparkSession, sf: str) -> DataFrame:
     return detect.detect_by_keywords(table(spark, sf, "documents"), "doc_id", "text", RULES).drop("scores")
 
@@ -357,7 +362,7 @@ QUERIES = {
     for f in (
         token_offsets, token_stats, clean_text, clean_pages, segment_lines, normalize_text, vietnamese_flag, normalize_name, normalize_date, model_names, span_locate, bio_assign, bio_role_ranked, label_list,
         split_train_test, oversample_union, window_spans_infer, window_spans_train, label_align, overlap_merge, word_from_subword, bio_decode, bio_decode_values, bleed_trim, dedup_entities, merge_entities_fold,
-        first_valid_entities, validate_entities, validate_entities_repo, schema_map, schema_map_conf, tfidf_weights, tfidf_detect, tfidf_weights_lang, tfidf_detect_lang, keyword_detect, detect_topn, cosine_topk, rules_build, entity_f1, field_accuracy, quality_gate,
+        first_valid_entities, validate_entities, validate_entities_repo, schema_map, schema_map_conf, tfidf_weights, tfidf_detect, tfidf_weights_lang, tfidf_detect_lang, detect_lang, keyword_detect, detect_topn, cosine_topk, rules_build, entity_f1, field_accuracy, quality_gate,
         run_summary, dataset_card_stats, label_table, registry_merge, registry_ttl, gen_cccd, gen_gplx, gen_giay_khai_sinh, gen_vehicle_registration, gen_giay_ra_vien, render_template, ocr_noise, ocr_noise_tokens, extract_auto,
     )
 }

@@ -303,6 +303,13 @@ norms AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM qn GROUP BY doc_id)
 SELECT doc_id, doc_type, round(sum(v * weight) / any_value(norm), 4) AS score FROM qn JOIN idx USING (term) JOIN norms USING (doc_id) GROUP BY doc_id, doc_type""",
     "tfidf_weights_lang": f"WITH {lang_corpus_sql()} SELECT doc_type, term, round(weight, 4) AS weight, round(idf, 4) AS idf FROM idx",
     "tfidf_detect_lang": f"WITH {lang_corpus_sql()}, {TURNS}, {TURN_SCORES} SELECT key, doc_type, round(score, 4) AS score FROM cosines",
+    "detect_lang": f"""WITH {lang_corpus_sql()}, {TURNS}, {TURN_SCORES}, {keyword_sql('key', 'turns')},
+kb AS (SELECT key, sum(score) AS total, arg_min(doc_type, struct_pack(a := -score, b := ord)) AS best, max(score) AS top FROM scores GROUP BY key),
+ks AS (SELECT *, CASE WHEN total > 0 THEN round(top / total, 4) ELSE 0 END AS share FROM kb),
+tb AS (SELECT key, sum(score) AS total, arg_min(doc_type, struct_pack(a := -score, b := doc_type)) AS best, max(score) AS first, coalesce(list_reverse_sort(list(score))[2], 0) AS second FROM cosines GROUP BY key),
+ts AS (SELECT *, round(first / total, 4) AS share FROM tb WHERE first >= 0.10 AND NOT (second > 0 AND first / (second + 1e-9) < 1.03))
+SELECT key, CASE WHEN ts.key IS NOT NULL THEN CASE WHEN ts.share >= 0.25 THEN ts.best END WHEN ks.total > 0 AND ks.share >= 0.25 THEN ks.best END AS doc_type, CASE WHEN ts.key IS NOT NULL THEN ts.share ELSE ks.share END AS confidence,
+CASE WHEN ts.key IS NOT NULL THEN ts.share >= 0.25 ELSE ks.total > 0 AND ks.share >= 0.25 END AS is_confident, CASE WHEN ts.key IS NOT NULL THEN 'tfidf' WHEN ks.total > 0 THEN 'keyword' ELSE 'none' END AS method FROM ks LEFT JOIN ts USING (key)""",
     "keyword_detect": f"""WITH {keyword_sql('doc_id', 'documents')}, b AS (SELECT doc_id, sum(score) AS total, arg_min(doc_type, struct_pack(a := -score, b := ord)) AS best, max(score) AS top FROM scores GROUP BY doc_id),
 s AS (SELECT *, CASE WHEN total > 0 THEN round(top / total, 4) ELSE 0 END AS share FROM b)
 SELECT doc_id, CASE WHEN total > 0 AND share >= 0.25 THEN best END AS doc_type, share AS confidence, total > 0 AND share >= 0.25 AS is_confident, CASE WHEN total > 0 THEN 'keyword' ELSE 'none' END AS method FROM s""",
