@@ -1,21 +1,27 @@
 """Quality rules whose cutoffs carry a risk guarantee.
 
 Every rule scores a document (larger is worse) against a ladder of cutoffs from
-lax to strict. On the labelled holdout, per stratum, the rule's cutoffs are
-tested in that order: the null hypothesis "this cutoff rejects more than
-``risk`` of the good documents" is rejected at level delta / (rules * strata) if
-the exact binomial upper bound on the false rejection rate (Clopper-Pearson) is
-at most ``risk``. Testing stops at the first cutoff that fails, so the ladder
-needs no further correction (fixed-sequence testing); the Bonferroni division
-covers rules and strata. With probability 1 - delta no rule of any stratum
-falsely rejects more than ``risk`` of that stratum's good documents.
-
-Among the cutoffs that passed, a rule takes the one that rejects most bad minus
-``GOOD_COST`` times good holdout documents, the laxer one of equals, and abstains
-if none gains. A stratum with too few labels for any bound abstains entirely.
+lax to strict. A setting holds one cutoff (or none) per rule and rejects what any
+of them rejects. Per stratum, settings are put into a sequence, each stricter
+than the one before: the next one tightens the rule that adds the most bad
+labelled documents for the unlabelled ones it adds. The good labelled documents
+have no part in that order, so on them the settings can be tested one after the
+other: the null hypothesis "this setting rejects more than ``risk`` of the
+stratum's good documents" is rejected if the exact binomial tail (the
+Clopper-Pearson bound) allows it at level delta / (strata tested), and testing
+stops at the first setting that fails (fixed-sequence testing needs no further
+correction; Bonferroni covers the strata). Strata whose good labels are too few
+for any setting to pass are not tested and do not count. So with probability
+1 - delta the verdict of all rules together falsely rejects more than ``risk`` of
+the good documents in no stratum.
+
+Of the settings that passed, the one counts that rejects most bad minus
+``GOOD_COST`` times good holdout documents, the laxer one of equals; if none
+gains, the stratum's rules abstain.
 
 Nulls and odd rows: a null text has no words; a null stratum is a stratum of its
-own; repeated labels of one document count once and as good if any says so;
+own; repeated labels of one document count once and as good if any says so, and
+so do repeated rows of a labelled doc_id, at the worst score of each rule;
 labels that are null, or of documents that are not there, do not count.
 """
 
@@ -27,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import settle
@@ -36,6 +42,7 @@ from .textgrid import Grid, blocks, grid_of
 RISK = 0.01
 DELTA = 0.05
 GOOD_COST = 10
+LEAST_LIFT = 2.0
 BROADCAST_STRATA = 10_000
 
 #: Cutoffs of each rule, lax to strict; a document is rejected if its score is above.
@@ -94,7 +101,7 @@ def repeat_words(grid: Grid, k: int = 3) -> np.ndarray:
 
 
 def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of each text and, per rule, how many cutoffs of the ladder it is above."""
+    """The counts of each text and, per rule, how many cutoffs of the ladder it is above; a column ``row`` is passed through."""
     for block in blocks(batches):
         grid = grid_of(block.column("text"))
         data = grid.data
@@ -113,9 +120,10 @@ def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "long_words": counts["word_chars"] / some,
         }
         levels = [(scores[r][:, None] > np.array(ladder)).sum(axis=1).astype(np.int32) for r, ladder in LADDERS.items()]
+        carried = ["row"] if "row" in block.schema.names else []
         yield pa.RecordBatch.from_arrays(
-            [block.column("doc_id"), block.column("stratum"), *(pa.array(np.asarray(v, np.int64)) for v in counts.values()), *map(pa.array, levels)],
-            names=["doc_id", "stratum", *COUNTS, *LADDERS],
+            [block.column("doc_id"), block.column("stratum"), *(pa.array(np.asarray(v, np.int64)) for v in counts.values()), *map(pa.array, levels), *map(block.column, carried)],
+            names=["doc_id", "stratum", *COUNTS, *LADDERS, *carried],
         )
 
 
@@ -132,47 +140,100 @@ def binomial_below(k: int, n: int, p: float) -> float:
     return math.exp(top) * math.fsum(math.exp(x - top) for x in total)
 
 
-def choose_cutoff(good: list[int], bad: list[int], risk: float, level: float) -> int | None:
-    """good[i], bad[i]: holdout documents above exactly i cutoffs. The chosen cutoff's number from 1, or None."""
-    n, best, chosen = sum(good), 0, None
-    for cut in range(1, len(good)):
-        false, true = sum(good[cut:]), sum(bad[cut:])
+def setting_path(levels: np.ndarray, bad: np.ndarray, other: np.ndarray) -> list[np.ndarray]:
+    """Settings from lax to strict. Row i of ``levels``: how many cutoffs of each rule the documents are above that bad[i] and other[i] count.
+
+    A setting holds each rule's cutoff number from 1; one past the ladder's end is none.
+    """
+    cuts = np.array([len(ladder) + 1 for ladder in LADDERS.values()])
+    n_bad, n_other, out = int(bad.sum()), int(other.sum()), []
+    while True:
+        best, step = (0.0, 0), None
+        for r in range(len(cuts)):
+            # documents not rejected yet, from the rule's strictest used cutoff downwards
+            more_bad = np.bincount(levels[:, r], bad, cuts[r])[::-1].cumsum()[::-1]
+            more_other = np.bincount(levels[:, r], other, cuts[r])[::-1].cumsum()[::-1]
+            for cut in range(int(cuts[r]) - 1, 0, -1):
+                lift = (more_bad[cut] / max(n_bad, 1)) / ((more_other[cut] + 1) / (n_other + 1))
+                if more_bad[cut] and lift >= LEAST_LIFT and (lift, more_bad[cut]) > best:
+                    best, step = (lift, more_bad[cut]), (r, cut)
+        if step is None:
+            return out
+        cuts = cuts.copy()
+        cuts[step[0]] = step[1]
+        out.append(cuts)
+        stay = levels[:, step[0]] < step[1]
+        levels, bad, other = levels[stay], bad[stay], other[stay]
+
+
+def choose_setting(levels: np.ndarray, good: np.ndarray, bad: np.ndarray, other: np.ndarray, risk: float, level: float) -> np.ndarray | None:
+    """The setting that counts, or None: see the module."""
+    n, best, chosen = int(good.sum()), 0, None
+    for cuts in setting_path(levels, bad, other):
+        out = (levels >= cuts).any(axis=1)
+        false, true = int(good[out].sum()), int(bad[out].sum())
         if not n or binomial_below(false, n, risk) > level:
             break
         if true - GOOD_COST * false > best:
-            best, chosen = true - GOOD_COST * false, cut
+            best, chosen = true - GOOD_COST * false, cuts
     return chosen
 
 
 def cutoffs(scored: DataFrame, labels: DataFrame, risk: float, delta: float) -> DataFrame:
-    """One row per stratum of the holdout: the chosen cutoff's number of each rule (null: abstains)."""
-    holdout = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q")).where("doc_id IS NOT NULL AND q IS NOT NULL").groupBy("doc_id").agg((F.max("q") > 0).alias("good"))
-    marked = holdout.join(scored, "doc_id").select("stratum", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("level")) for r in LADDERS))).alias("x"))
-    counts = settle(marked.groupBy("stratum", "x.rule", "x.level").agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad")))
-    tests = max(1, counts.select("stratum").distinct().count()) * len(LADDERS)
+    """One row per stratum of the holdout: the chosen cutoff's number of each rule (null: abstains).
+
+    Rows are counted by their levels before anything else; a stratum has at most
+    as many kinds of rows as there are settings, whatever the documents.
+    """
+    rules = list(LADDERS)
+    held = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q")).where("doc_id IS NOT NULL AND q IS NOT NULL").groupBy("doc_id").agg((F.max("q") > 0).alias("good"))
+    marked = scored.select("doc_id", "stratum", *rules).join(held, "doc_id", "left")
+    one = marked.where("good IS NOT NULL").groupBy("doc_id", "stratum").agg(F.first("good").alias("good"), *(F.max(r).alias(r) for r in rules))
+    rows = one.unionByName(marked.where("good IS NULL"))
+    counts = settle(rows.groupBy("stratum", *rules).agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"), F.count_if(F.col("good").isNull()).alias("n_other")))
+    # strata by their good labels: as many are tested as could pass without any false rejection
+    strata = counts.groupBy("stratum").agg(F.sum("n_good").alias("n")).where("n > 0").withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "stratum")))
+    tested = strata.where(F.col("n") * math.log1p(-risk) <= F.log(F.lit(delta)) - F.log("place"))
+    most = tested.agg(F.max("place")).first()[0] or 0
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, object] = {"stratum": rows["stratum"].iloc[0]}
-        for rule, ladder in LADDERS.items():
-            good, bad = [0] * (len(ladder) + 1), [0] * (len(ladder) + 1)
-            for r in rows[rows["rule"] == rule].itertuples():
-                good[r.level] += r.n_good
-                bad[r.level] += r.n_bad
-            out[f"cut_{rule}"] = choose_cutoff(good, bad, risk, delta / tests)
-        return pd.DataFrame([out]).astype({f"cut_{r}": "Int32" for r in LADDERS})
+        found = choose_setting(*(rows[c].to_numpy() for c in (rules, "n_good", "n_bad", "n_other")), risk, delta / most)
+        cuts = [None if found is None or found[i] > len(LADDERS[r]) else int(found[i]) for i, r in enumerate(rules)]
+        return pd.DataFrame([[rows["stratum"].iloc[0], *cuts]], columns=["stratum", *(f"cut_{r}" for r in rules)]).astype({f"cut_{r}": "Int32" for r in rules})
 
-    return counts.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"cut_{r} int" for r in LADDERS))
+    return counts.join(strata.where(F.col("place") <= most).select("stratum"), "stratum").groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"cut_{r} int" for r in rules))
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """doc_id, the counts, base_failed, kept, and rejected_by (rules that rejected it) per document."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null")).alias("stratum"), F.col("text").cast("string").alias("text"))
-    scored = settle(own.mapInArrow(score_texts, SCORED))
-    chosen = settle(cutoffs(scored, labels, risk, delta))
+def _verdict(scored: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``base_failed``, ``rejected_by`` and ``kept`` added to scored rows."""
     if chosen.count() <= BROADCAST_STRATA:
         chosen = F.broadcast(chosen)
-    hits = [F.when(F.col(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in LADDERS]
-    rejected = F.array_compact(F.array(*hits))
+    rejected = F.array_compact(F.array(*(F.when(F.col(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in LADDERS)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = scored.join(chosen, "stratum", "left").select("doc_id", *COUNTS, failed.alias("base_failed"), rejected.alias("rejected_by"))
+    out = scored.join(chosen, "stratum", "left").withColumn("base_failed", failed).withColumn("rejected_by", rejected)
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+
+
+def _inputs(docs: DataFrame, stratum: str) -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null")).alias("stratum"), F.col("text").cast("string").alias("text")]
+
+
+def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """doc_id, the counts, base_failed, kept, and rejected_by (rules that rejected it) per document."""
+    scored = settle(docs.select(*_inputs(docs, stratum)).mapInArrow(score_texts, SCORED))
+    chosen = settle(cutoffs(scored, labels, risk, delta))
+    return _verdict(scored, chosen).select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    The rows are scored a second time, with themselves beside the scores: no text
+    is shuffled or joined, and every row has its own verdict, repeated and null
+    doc_ids included.
+    """
+    own = docs.select(*_inputs(docs, stratum))
+    chosen = settle(cutoffs(own.mapInArrow(score_texts, SCORED), labels, risk, delta))
+    whole = docs.select(*_inputs(docs, stratum), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kind = whole.schema["row"].dataType.simpleString()
+    return _verdict(whole.mapInArrow(score_texts, f"{SCORED}, row {kind}"), chosen).where("kept").select("row.*")
