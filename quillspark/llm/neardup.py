@@ -12,15 +12,17 @@
 3. Bands of ``ROWS`` coordinates are hashed to buckets. At similarity 0.8 the
    chance that no band of 32 agrees is (1 - 0.8^4)^32 < 5e-8.
 4. Classes that share a bucket are compared on their full sets, but never all
-   pairs of a bucket. First each class meets the smallest class of each of its
+   pairs of a bucket. First each class meets the first class of each of its
    buckets. Where a bucket's members then still lie in several components, all
-   of them are measured against one reference R, the smallest class of the
-   component of the bucket's smallest member. For members x and y,
+   of them are measured against one reference R, the first class of the
+   component of the bucket's first member. For members x and y,
    |x and y| <= min(|x and R|, |y and R|) + |(x - R) and (y - R)|, so a link
    that is still missing needs either both overlaps with R large enough by
-   themselves or enough shared shingles outside R; a prefix filter over the
-   rarest of those (per R) finds the pairs for which that can hold, and only
-   they are compared. Pairs inside one component cannot change the result.
+   themselves or enough shared shingles outside R. For the second, a prefix
+   filter over the rarest shingles outside R finds the pairs for which it can
+   hold; for the first, members of fitting sizes go through a prefix filter over
+   the rarest of all their shingles. Only pairs found so are compared.
+   Pairs inside one component cannot change the result.
    So no link between components is lost, and near copies of one text, which
    differ from it in their own ways, do not meet each other.
 5. Components grow by alternating large-star and small-star steps over the
@@ -28,8 +30,9 @@
 
 Nulls and odd rows: a null or empty text has no shingles and is linked with
 nothing; rows with a null doc_id take no part and form their own (null)
-component, kept; repeated rows of one doc_id are one document. Extra columns of
-the input are ignored.
+component, kept; repeated rows of one doc_id have the same result if their texts
+are equal, and each that of its own text if not. Extra columns of the input are
+ignored by ``near_duplicates`` and carried by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import release, settle
@@ -103,7 +106,7 @@ def bands(bins: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return out
 
 
-SIGNED = "doc_id long, n long, d1 long, d2 long, buckets array<long>"
+SIGNED = "doc_id long, text_key long, n long, d1 long, d2 long, buckets array<long>"
 
 
 def sign_texts(k: int):
@@ -114,9 +117,9 @@ def sign_texts(k: int):
             d1 = per_text(mix(values + U64(11)), at, np.add)
             d2 = per_text(mix(values + U64(29)), at, np.bitwise_xor)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(np.diff(at)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                [block.column("doc_id"), block.column("text_key"), pa.array(np.diff(at)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                  long_lists(keys.reshape(-1), np.arange(len(keys) + 1) * keys.shape[1])],
-                names=["doc_id", "n", "d1", "d2", "buckets"],
+                names=["doc_id", "text_key", "n", "d1", "d2", "buckets"],
             )
 
     return run
@@ -161,9 +164,9 @@ def measure(pairs: DataFrame, texts: DataFrame, k: int, percent: int, rest: bool
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_CHUNK).alias("chunks"))
     dealt = pairs.join(sizes, "a").select("a", "b", "c", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
-    members = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "c", "text")
+    members = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "c", "text")
     none = F.lit(None).cast("long")
-    leads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", none.alias("b"), none.alias("c"), "text")
+    leads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "chunk", none.alias("b"), none.alias("c"), "text")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = leads.unionByName(members).repartition(n, "a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
     return rows.mapInArrow(measure_texts(k, percent, rest), MEASURED)
@@ -173,28 +176,52 @@ def linked(measured: DataFrame, percent: int) -> DataFrame:
     return measured.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("n") - F.col("shared"))).select("a", "b")
 
 
-def possible_pairs(measured: DataFrame, percent: int) -> DataFrame:
+def list_shingles(k: int):
+    """The set of each row's text, the other columns passed through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            values, at = shingle_sets(grid_of(block.column("text")), k)
+            names = [c for c in block.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*map(block.column, names), long_lists(values, at.astype(np.int64))], names=[*names, "rest"])
+
+    return run
+
+
+def rarest(members: DataFrame, size: Column, length: Column) -> DataFrame:
+    """(a, h, and the members' other columns) of the first ``length`` of a member's ``size`` shingles in ``rest``.
+
+    Per reference a the rare ones come first; those that only one member has come
+    before all others and find nobody, so they are left out.
+    """
+    words = members.withColumn("__size", size.cast("long")).withColumn("__most", length.cast("long")).withColumn("h", F.explode("rest")).drop("rest")
+    often = words.groupBy("a", "h").agg(F.count("*").alias("__often")).where("__often > 1")
+    each = Window.partitionBy("a", "b")
+    place = F.col("__size") - F.count("*").over(each) + F.row_number().over(each.orderBy("__often", "h"))
+    return settle(words.join(often, ["a", "h"]).withColumn("__place", place).where("__place <= __most").drop("__place", "__often", "__size", "__most"))
+
+
+def possible_pairs(measured: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) of members of different components that their overlaps with a common reference do not rule out.
 
     ``measured``: reference a, member b of component c, sizes, overlap, shingles outside a.
     """
     needed = lambda n: F.ceil(percent * n / (100 + percent))
+    far = (F.col("cx") != F.col("a")) & (F.col("cx") != F.col("cy"))
     least = measured.groupBy("a").agg(F.min("n").alias("least"))
     own = measured.join(least, "a").withColumn("lack", needed(F.col("n") + F.col("least")) - F.col("shared"))
-    # rarest shingles first: those that only one member has come before all others and find nobody
-    words = own.select("a", "b", "c", "lack", F.size("rest").alias("size"), F.explode("rest").alias("h"))
-    often = words.groupBy("a", "h").agg(F.count("*").alias("often")).where("often > 1")
-    common = words.join(often, ["a", "h"])
-    each = Window.partitionBy("a", "b")
-    common = common.withColumn("place", F.col("size") - F.count("*").over(each) + F.row_number().over(each.orderBy("often", "h")))
-    index = settle(common.where(F.col("place") <= F.col("size") - F.greatest("lack", F.lit(1)) + 1).select("a", "h", "b", "c"))
-    far = (F.col("cx") != F.col("a")) & (F.col("cx") != F.col("cy"))
+    index = rarest(own.select("a", "b", "c", "lack", "rest"), F.size("rest"), F.size("rest") - F.greatest("lack", F.lit(1)) + 1)
     x, y = (index.select("a", "h", F.col("b").alias(f"b{s}"), F.col("c").alias(f"c{s}")) for s in "xy")
     by_rest = x.where("cx <> a").join(y, ["a", "h"]).where(far)
-    # members that could reach some other by what they share with the reference alone
-    near = settle(own.where("lack <= 0").select("a", "b", "c", "n", "shared"))
-    x, y = (near.select("a", *(F.col(v).alias(f"{v}{s}") for v in ("b", "c", "n", "shared"))) for s in "xy")
-    by_core = x.where("cx <> a").join(y, "a").where(far & (F.least("sharedx", "sharedy") >= needed(F.col("nx") + F.col("ny"))))
+    # members that could reach some other by what they share with the reference alone, of sizes that fit
+    near = own.where("lack <= 0").select("a", "b", "c", "n", "shared")
+    sizes = near.where("c <> a").groupBy("a").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    fits = (100 * F.col("n") >= percent * F.col("lo")) & (100 * F.col("hi") >= percent * F.col("n")) & (F.col("shared") >= needed(F.col("n") + F.col("lo")))
+    near = settle(near.join(sizes, "a").where(fits).select("a", "b", "c", "n", "shared"))
+    listed = near.join(texts.withColumnRenamed("node", "b"), "b").mapInArrow(list_shingles(k), "b long, a long, c long, n long, shared long, rest array<long>")
+    index = rarest(listed, F.col("n"), F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
+    x, y = (index.select("a", "h", *(F.col(v).alias(f"{v}{s}") for v in ("b", "c", "n", "shared"))) for s in "xy")
+    by_core = x.where("cx <> a").join(y, ["a", "h"]).where(far & (F.least("sharedx", "sharedy") >= needed(F.col("nx") + F.col("ny"))))
     both = by_rest.select("bx", "by").union(by_core.select("bx", "by"))
     return both.select(F.least("bx", "by").alias("a"), F.greatest("bx", "by").alias("b")).distinct()
 
@@ -214,7 +241,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x")).select(F.col("x.v").alias("u"), F.col("x.m").alias("v"))
-        links = settle(small.where("u <> v").distinct())
+        links = settle(small.where("u <> v").distinct(), 2 * before[0])
         after = mark(links)
         if after == before:
             break
@@ -222,33 +249,59 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select(F.col("v"), F.col("v")).distinct())
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; with ``keyed`` also its text_key and the number of its group.
 
     Two documents are linked if 100 * |A and B| >= percent * |A or B| for their
     sets of k-word shingles (A-Z lower-cased); component_id is the smallest
     doc_id reachable over links.
     """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
+    signed = settle(own.mapInArrow(sign_texts(k), SIGNED))
+    # numbered once, in what is written: a class's number never changes afterwards
+    classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("buckets").alias("buckets"))
+    classes = settle(classes.select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "buckets", F.monotonically_increasing_id().alias("node")))
+    found = _link_classes(own, classes, k, percent)
+    named = classes.select("node", "doc_id").join(found, "node")
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    placed = found.join(smallest, "component").select("node", "component", "smallest")
+    mine = classes.select("d1", "d2", "n", "doc_id", "node").join(placed, "node", "left").select("d1", "d2", "n", F.coalesce("smallest", "doc_id").alias("component_id"), F.coalesce("component", "node").alias("group"))
+    rows = signed.select("doc_id", "text_key", "n", "d1", "d2")
+    linked = rows.where("n > 0 AND doc_id IS NOT NULL").join(mine, ["d1", "d2", "n"]).select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", "group")
+    alone = rows.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
+    out = linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out if keyed else out.drop("text_key", "group")
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when each group of near-duplicates keeps one.
+
+    A group keeps one row of its smallest doc_id, of that doc_id's texts in the
+    group the one with the smallest key, of rows equal in both any one. Rows
+    with a null doc_id or without a word are near nothing and all stay.
+    """
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    judged = F.col("doc_id").isNotNull() & F.coalesce(F.col("row.text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = near_duplicates(docs, k, percent, keyed=True).where("kept AND group IS NOT NULL").groupBy("group").agg(F.first("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
+    # repeated rows meet in a partial aggregate before the shuffle
+    once = whole.where(judged).groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
+    stay = once.join(chosen, ["doc_id", "text_key"], "left_semi")
+    return stay.select("row.*").unionByName(whole.where(~judged).select("row.*"))
+
+
+def _link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) for classes that have a partner."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = settle(docs.mapInArrow(sign_texts(k), SIGNED))
-    classes = settle(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets")))
-    found = _link_classes(spark, docs, classes, k, percent)
-    own = classes.select("d1", "d2", "n", "rep")
-    own = own.join(found, own["rep"] == found["node"], "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component"))
-    rows = signed.select("doc_id", "n", "d1", "d2")
-    linked = rows.where("n > 0 AND doc_id IS NOT NULL").join(own, ["d1", "d2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
-    alone = rows.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def _link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, component) for class representatives that have a partner."""
-    rows = classes.select("rep", "n", F.explode("buckets").alias("bucket"))
+    rows = classes.select(F.col("node").alias("rep"), F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     members = settle(rows.join(shared.select("bucket", "lead"), "bucket"))
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = settle(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"))
+    wanted = members.select(F.col("rep").alias("node")).distinct().join(classes.select("node", "doc_id", "text_key"), "node")
+    once = docs.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
+    texts = settle(once.join(wanted, ["doc_id", "text_key"]).select("node", "text"))
     release(spark)
     none = F.lit(None).cast("long").alias("c")
     pairs = settle(members.where("lead <> rep").select(F.col("lead").alias("a"), F.col("rep").alias("b"), none).distinct())
@@ -260,7 +313,7 @@ def _link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: i
     pairs = placed.join(split.select("bucket", F.col("first.c").alias("a")), "bucket").where("a <> rep").select("a", F.col("rep").alias("b"), "c").distinct()
     measured = settle(measure(settle(pairs), texts, k, percent, rest=True))
     release(spark)
-    more = settle(possible_pairs(measured, percent).withColumn("c", none))
+    more = settle(possible_pairs(measured, texts, k, percent).withColumn("c", none))
     fresh = settle(linked(measured, percent).union(linked(measure(more, texts, k, percent), percent)))
     release(spark)
     return settle(components(links.union(fresh)))

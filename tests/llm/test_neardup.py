@@ -100,3 +100,49 @@ def test_one_large_family(spark):
     want = brute(rows, 4)
     assert len({c for _, _, c, _ in want}) > 3
     assert got(neardup.near_duplicates(df, k=4)) == want
+
+
+def test_parts_of_one_long_text(spark):
+    """Members that lie wholly inside a longer reference: linked by what they share with it alone."""
+    rnd = random.Random(3)
+    base = [f"b{i}" for i in range(240)]
+    rows = [(0, " ".join(base))]
+    for d in range(1, 90):
+        a = rnd.randrange(100)
+        rows.append((d, " ".join(base[a : a + rnd.randrange(70, 230)])))
+    df = spark.createDataFrame([(d, t, "z") for d, t in rows], SCHEMA)
+    want = brute(rows, 4)
+    assert len({c for _, _, c, _ in want}) > 1
+    assert got(neardup.near_duplicates(df, k=4)) == want
+
+
+def test_possible_pairs_miss_no_link(spark):
+    """Members of one reference, all taken as unlinked: every true link is among the pairs left to compare."""
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, base)]
+    for d in range(1, 60):
+        a = rnd.randrange(110)
+        words = base[a : a + rnd.randrange(60, 90)] + [f"x{rnd.randrange(40)}" for _ in range(rnd.randrange(25))]
+        rows.append((d, words))
+    texts = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "node long, text string")
+    pairs = spark.createDataFrame([(0, d, d) for d, _ in rows[1:]], "a long, b long, c long")
+    measured = neardup.measure(pairs, texts, 4, 80, rest=True)
+    found = {tuple(r) for r in neardup.possible_pairs(measured, texts, 4, 80).collect()}
+    sets = {d: brute_set(" ".join(w), 4) for d, w in rows}
+    links = {(a, b) for a in sets for b in sets if 0 < a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert links and links <= found and len(found) < 59 * 58 // 2
+
+
+def test_keep_one_keeps_rows_and_columns(spark):
+    schema = "doc_id long, text string, kept string, row int"
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long + " tail"
+    rows = [(None, long, "n", 1), (None, long, "n", 1), (7, long, "a", 2), (7, long, "a", 2), (3, near, "b", 3), (3, long, "c", 4), (3, "other words that stand alone here", "d", 5), (5, "", "e", 6), (5, "", "e", 6), (6, None, "f", 7)]
+    docs = spark.createDataFrame(rows, schema)
+    out = sorted(map(tuple, neardup.keep_one(docs).collect()), key=str)
+    group = [r for r in out if r in ((3, near, "b", 3), (3, long, "c", 4))]
+    assert len(group) == 1
+    assert sorted([r for r in out if r not in group], key=str) == sorted([rows[0], rows[1], rows[6], rows[7], rows[8], rows[9]], key=str)
+    assert neardup.keep_one(docs).schema.names == docs.columns
+    assert neardup.keep_one(docs.where("false")).collect() == []
