@@ -17,9 +17,16 @@
 
 The same rows and seed give the same mix, however rows are partitioned.
 
+The dynamic program sees the last ``EXACT_WORDS`` words (or one longest document)
+of a source's budget, so its memory is bounded whatever the corpus; everything
+before is a proportional share of every length. What a source takes stays below
+its target by less than its longest document, and by 0 wherever some sum of the
+lengths left meets the remainder.
+
 Nulls and odd rows: a null source is a source of its own, last in order; null and
 empty texts have size 0 and take 0 words; repeated rows count as often as they
-occur; extra columns are ignored.
+occur, each with copies of its own; extra columns are ignored by
+``mix_documents`` and carried by ``repeat_taken``.
 """
 
 from __future__ import annotations
@@ -29,6 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .neardup import text_key
 from .storage import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -108,9 +116,10 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int, ex
     return take
 
 
-def mix_documents(docs: DataFrame, source: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken per document; taken is a multiple of size."""
-    rows = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col(source)).alias("source_key"), word_count(F.col("text").cast("string")).alias("size")))
+def mix_documents(docs: DataFrame, source: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = MOST_PASSES, seed: int = SEED, keyed: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies per document; taken is copies * size. ``keyed``: also source_key, text_key."""
+    text = F.col("text").cast("string")
+    rows = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col(source)).alias("source_key"), text_key(text).alias("text_key"), word_count(text).alias("size")))
     lengths = settle(rows.groupBy("source_key", "size").agg(F.count("*").alias("n")))
     sources = lengths.groupBy("source_key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = settle(share_budget(sources, weights, share, passes))
@@ -135,7 +144,27 @@ def mix_documents(docs: DataFrame, source: str = "source", weights: tuple[float,
     buckets = some.groupBy("source_key", "size", "bucket").agg(F.count("*").alias("m"), F.first("taken_n").alias("c"))
     before = Window.partitionBy("source_key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     quota = buckets.select("source_key", "size", "bucket", (F.col("c") - F.coalesce(F.sum("m").over(before), F.lit(0))).alias("quota"))
-    ranked = some.join(quota, ["source_key", "size", "bucket"]).withColumn("rank", F.row_number().over(Window.partitionBy("source_key", "size", "bucket").orderBy("draw", "doc_id")))
+    ranked = some.join(quota, ["source_key", "size", "bucket"]).withColumn("rank", F.row_number().over(Window.partitionBy("source_key", "size", "bucket").orderBy("draw", "doc_id", "text_key")))
     chosen = ranked.withColumn("extra", (F.col("rank") <= F.col("quota")).cast("long"))
-    both = sure.select("doc_id", "size", "source_size", "target", "full", "extra").unionByName(chosen.select("doc_id", "size", "source_size", "target", "full", "extra"))
-    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("full") + F.col("extra"))).alias("taken"), (F.col("full") + F.col("extra")).alias("copies"))
+    names = ["doc_id", "source_key", "text_key", "size", "source_size", "target", "full", "extra"]
+    both = sure.select(*names).unionByName(chosen.select(*names))
+    copies = F.col("full") + F.col("extra")
+    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), *["source_key", "text_key"] * keyed)
+
+
+def repeat_taken(docs: DataFrame, source: str = "source", **settings) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Copies go back to rows by doc_id, source and text; rows equal in all three
+    share theirs evenly, in one window for each such group.
+    """
+    key = ["doc_id", "source_key", "text_key"]
+    taken = mix_documents(docs, source, keyed=True, **settings).groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col(source)).alias("source_key"), text_key(F.col("text")).alias("text_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"t.{c}")) for c in key]
+    found = whole.alias("w").join(taken.where("copies > 0").alias("t"), same[0] & same[1] & same[2]).select("w.*", "copies", "rows")
+    once = found.where("rows = 1").select("row", "copies")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(F.to_json("row"))))
+    shared = found.where("rows > 1").withColumn("place", place).select("row", (F.floor(F.col("copies") / F.col("rows")) + (F.col("place") <= F.col("copies") % F.col("rows")).cast("long")).alias("copies"))
+    each = once.unionByName(shared).where("copies > 0")
+    return each.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

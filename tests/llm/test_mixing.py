@@ -85,3 +85,22 @@ def test_knapsack_is_exact():
         base = np.array([int(c) * budget // int((sizes * counts).sum()) for c in counts])
         sums = [sum(c * s for c, s in zip(x, sizes)) for x in product(*(range(min(b, c), c + 1) for b, c in zip(base, counts)))]
         assert (take * sizes).sum() == max(s for s in sums if s <= budget)
+
+
+def test_rows_come_as_often_as_taken(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, 1, 2, 3, d]), rnd.choice([None, "a", "b", "c"]), rnd.choice([None, "", "x", "x y", "q r s " * rnd.randrange(1, 9)]), d % 3) for d in range(200)]
+    rows += rows[:40]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, copies int")
+    out = list(map(tuple, mixing.repeat_taken(docs).collect()))
+    sizes, taken = {}, {}
+    words = lambda t: len((t or "").split())
+    for _, s, t, _ in rows:
+        sizes[s] = sizes.get(s, 0) + words(t)
+    for _, s, t, _ in out:
+        taken[s] = taken.get(s, 0) + words(t)
+    for s, target in brute_targets(sizes).items():
+        assert target - max(words(r[2]) for r in rows if r[1] == s) <= taken[s] <= target + 1e-6
+    have = {r: rows.count(r) for r in rows}
+    assert all(out.count(r) <= 2 * n for r, n in have.items()) and set(out) <= set(have)
+    assert mixing.repeat_taken(docs).schema.names == docs.columns and mixing.repeat_taken(docs.where("false")).collect() == []
