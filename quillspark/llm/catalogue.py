@@ -25,7 +25,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_report(table(spark, sf_dir, "documents"))
+    return secrets.history_report(table(spark, sf_dir, "documents"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workers import turn_to
+
 SPACE = "▁"
 CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 RECENT_CUTS = 250_000
@@ -208,6 +210,7 @@ def table_of(model_path: str) -> PieceTable:
 
 def worker_table(model_path: str, shared) -> PieceTable:
     """The table of a Python worker; module state, so one worker's tasks share its caches."""
+    turn_to("pieces", _loaded.clear)
     if model_path not in _loaded:
         _loaded[model_path] = PieceTable(*shared.value)
     return _loaded[model_path]

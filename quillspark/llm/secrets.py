@@ -1,26 +1,42 @@
 """Secret scans over an incremental ledger of blobs, in DataFrame functions only.
 
 Every version of every file (path, content) is addressed by its content: the
-blob id is the SHA-256 of the text. The ledger holds which (blob, rule version)
-pairs have been scanned and what was found, so a run scans only pairs that the
-ledger lacks, each once however many paths carry the blob, and joins the
-findings back to all paths.
+blob id is the SHA-256 of the text. Each rule has a version of its own. The
+ledger is a table of (blob, rule, version, findings): which pairs of blob and
+rule version have been scanned, and what was found. A run scans only the pairs
+that the ledger lacks, each blob once however many paths and commits carry it,
+appends them, and joins the findings back to all paths. ``scan_history`` does so
+commit by commit and reads the written ledger again before each; a new version
+of one rule scans the known blobs again for that rule alone.
 
 Spans come from built-in functions: a pattern's matches (``regexp_extract_all``)
 and the gaps between them (``split``) alternate, so running sums of their lengths
-give code-point offsets.
+give code-point offsets. The sums run over rows (one per match, within its blob,
+where the scan has put them), so a text with very many matches costs in
+proportion.
+
+A blob on very many paths is spread: paths are dealt by blob and salt, and the
+few blobs with findings are repeated for each of the ``SALTS``.
 
 Nulls and odd rows: a null text counts as empty and has no findings; null and
-repeated paths keep their rows; extra columns are ignored.
+repeated paths keep their rows; repeated ledger rows count once; extra columns
+are ignored by ``secret_report`` and carried by ``redact_documents``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RULE_VERSION = "r1"
+from .storage import shared_folder
+
 KINDS = ("assign", "access", "hex")
+#: The version of each rule; raise it with the rule.
+VERSIONS = {"assign": "1", "access": "1", "hex": "1"}
+SALTS = 8
 
 # The patterns; {kind: (pattern, group whose length counts, least length)}.
 RULES = {
@@ -31,96 +47,142 @@ RULES = {
 #: What a text needs for a rule to find anything; spares the span arithmetic elsewhere.
 HINTS = {"assign": RULES["assign"][0], "access": "AKIA[A-Z0-9]{12}", "hex": "[0-9a-f]{32}"}
 
-LEDGER = "blob string, rule_version string, findings array<struct<start:int,kind_at:int,kind:string,end:int>>"
+FINDING = "struct<start:int,kind_at:int,kind:string,end:int>"
+LEDGER = f"blob string, rule string, version string, findings array<{FINDING}>"
+
+
+def blob_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
 
 
-def spans(text: Column, kind: str) -> Column:
-    """Array of (start, kind_at, kind, end) of one rule's matches, failing ones dropped."""
-    pattern, group, least = RULES[kind]
+def matches(text: Column, kind: str) -> Column:
+    """Array of (gap before, length, weighed length) of one rule's matches."""
+    pattern, group, _ = RULES[kind]
     if kind == "hex":  # a run of 32 or more is the same span whether shorter runs match or not
         pattern = r"([0-9a-f]{32,})"
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     hits = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
     weighed = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-    rows = F.zip_with(F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))), weighed, lambda x, w: F.struct(x["gap"].alias("gap"), x["hit"].alias("hit"), w.alias("weighed")))
-    empty = F.array().cast("array<struct<start:int,kind_at:int,kind:string,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    rows = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit"), weighed.alias("weighed")), lambda x: F.struct(x["gap"].alias("gap"), x["hit"].alias("hit"), x["weighed"].alias("weighed")))
+    return F.when(text.rlike(HINTS[kind]), rows).otherwise(F.array().cast("array<struct<gap:int,hit:int,weighed:int>>"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + x["hit"]
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind_at"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(x["weighed"] >= least, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    return F.when(text.rlike(HINTS[kind]), F.aggregate(rows, start, step)["out"]).otherwise(empty)
+def scan_blobs(blobs: DataFrame) -> DataFrame:
+    """Ledger rows for rows of (blob, text, lacking: the rules to scan it for), dealt by blob."""
+    asked = [F.struct(F.lit(k).alias("rule"), F.lit(VERSIONS[k]).alias("version"), F.lit(i).alias("kind_at"), F.lit(RULES[k][2]).alias("least"), F.when(F.array_contains("lacking", k), matches(F.col("text"), k)).alias("found")) for i, k in enumerate(KINDS)]
+    rules = blobs.select("blob", F.inline(F.filter(F.array(*asked), lambda x: x["found"].isNotNull())))
+    hits = rules.select("blob", "rule", "version", "kind_at", "least", F.posexplode_outer("found").alias("i", "m"))
+    sofar = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("m.gap") + F.col("m.hit")).over(sofar).cast("int")
+    placed = hits.withColumn("end", end)
+    span = F.struct((F.col("end") - F.col("m.hit")).alias("start"), "kind_at", F.col("rule").alias("kind"), "end")
+    listed = F.array_sort(F.collect_list(F.when(F.col("m.weighed") >= F.col("least"), span)))
+    return placed.groupBy("blob", "rule").agg(F.first("version").alias("version"), listed.cast(f"array<{FINDING}>").alias("findings")).select("blob", "rule", "version", "findings")
 
 
-def scan_blobs(blobs: DataFrame, rule_version: str = RULE_VERSION) -> DataFrame:
-    """Ledger rows for (blob, text) rows: findings sorted by start, then kind as listed."""
-    found = F.array_sort(F.concat(*(spans(F.col("text"), k) for k in KINDS)))
-    return blobs.select("blob", F.lit(rule_version).alias("rule_version"), found.alias("findings"))
+def _current(ledger: DataFrame) -> DataFrame:
+    """The ledger's rows of the rules' present versions."""
+    own = reduce(lambda a, b: a | b, [(F.col("rule") == k) & (F.col("version") == v) for k, v in VERSIONS.items()])
+    return ledger.where(own)
 
 
-def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
-    """Ledger rows of the blobs in ``versions`` (column text) that the ledger lacks at this rule version.
+def update_ledger(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """The ledger rows that ``versions`` (column text) need and the ledger lacks.
 
     Copies of a blob meet in a partial aggregate before the shuffle, one text
     per task and blob.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    blobs = versions.select(F.sha2(text, 256).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is not None:
-        blobs = blobs.join(ledger.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
-    return scan_blobs(blobs, rule_version)
+    blobs = versions.select(blob_of(F.col("text")).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    every = F.array(*map(F.lit, KINDS))
+    if ledger is None:
+        return scan_blobs(blobs.withColumn("lacking", every))
+    seen = _current(ledger).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    lacking = F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))
+    return scan_blobs(blobs.join(seen, "blob", "left").withColumn("lacking", lacking).where(F.size("lacking") > 0))
 
 
-def findings_of(versions: DataFrame, path: str, ledger: DataFrame, rule_version: str = RULE_VERSION) -> DataFrame:
-    """(path, blob, findings) for every version; only blobs with findings take part in the join.
+def scan_history(commits: list[DataFrame], folder: str) -> DataFrame:
+    """The ledger in ``folder`` (a shared Parquet table, made if it is not there) after scanning the commits in turn.
 
-    A blob on very many paths makes a skewed key of a plain join of narrow rows,
-    which adaptive execution splits.
+    A run that was cut off is simply run again: what it had written is known.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = versions.select(path, F.sha2(text, 256).alias("blob"))
-    hits = ledger.where((F.col("rule_version") == rule_version) & (F.size("findings") > 0)).select("blob", "findings")
-    return rows.join(hits, "blob", "left").select(path, "blob", F.coalesce("findings", F.array().cast("array<struct<start:int,kind_at:int,kind:string,end:int>>")).alias("findings"))
+    spark = commits[0].sparkSession
+    read = lambda: spark.read.schema(LEDGER).parquet(folder)
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(folder)
+    for commit in commits:
+        update_ledger(commit, read()).write.mode("append").parquet(folder)
+    return read()
+
+
+def findings_of(versions: DataFrame, ledger: DataFrame, *carried: str) -> DataFrame:
+    """The carried columns, blob and findings (of all rules, by start, then kind as listed) for every version."""
+    per_rule = _current(ledger).where(F.size("findings") > 0).groupBy("blob", "rule").agg(F.first("findings").alias("findings"))
+    hits = per_rule.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
+    hits = hits.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = versions.select(*carried, blob_of(F.col("text")).alias("blob")).withColumn("salt", F.pmod(F.xxhash64(*carried[:1]), F.lit(SALTS)).cast("int"))
+    none = F.array().cast(f"array<{FINDING}>")
+    return rows.join(hits, ["blob", "salt"], "left").select(*carried, "blob", F.coalesce("findings", none).alias("findings"))
+
+
+def secret_report(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, blob per document; the ledger's findings are used, what it lacks is scanned."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    new = update_ledger(docs, ledger)
+    return report_from(docs, new if ledger is None else new.unionByName(ledger.select(*new.columns)))
 
 
-def secret_report(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, blob per document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    new = update_ledger(docs, ledger, rule_version)
-    known = new if ledger is None else new.unionByName(ledger.select(*new.columns))
-    found = findings_of(docs, "doc_id", known, rule_version)
+def report_from(docs: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The report of documents whose blobs the ledger all holds: a join, no scan."""
+    found = findings_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ledger, "doc_id")
     count = lambda k: F.size(F.filter("findings", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     listed = F.array_join(F.transform("findings", lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     return found.select("doc_id", *map(count, KINDS), F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"), "blob")
 
 
-def redact(text: Column, findings: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every (merged) span replaced by ``mask``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def history_report(docs: DataFrame, commits: int = 2, folder: str | None = None) -> DataFrame:
+    """The report of a corpus scanned as a history of ``commits`` parts, by hash of the text, over a written ledger.
 
-    def step(state: Column, x: Column) -> Column:
-        before = F.substring(text, state["at"] + 1, x["start"] - state["at"])
-        out = F.when(x["start"] >= state["at"], F.concat(state["out"], before, F.lit(mask))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), out.alias("out"))
+    Copies of a text come with the commit that brings it first; without ``folder``
+    the ledger is a new one beside the checkpoints.
+    """
+    folder = folder or f"{shared_folder(docs.sparkSession)}/secret-ledger-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("text"), F.lit(commits))
+    return report_from(docs, scan_history([docs.where(part == i) for i in range(commits)], folder))
 
-    done = F.aggregate(findings, start, step)
-    return F.when(F.size(findings) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
 
+def cleared(findings: DataFrame) -> DataFrame:
+    """blob, pieces (from, length of what lies before each masked stretch), rest (where the text goes on after the last).
 
-def redact_documents(docs: DataFrame) -> DataFrame:
-    """The documents with secrets masked in ``text`` and, where present, ``n_chars`` kept true."""
-    found = update_ledger(docs)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    hits = found.where(F.size("findings") > 0).select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings"))
-    joined = docs.withColumn("__blob", F.sha2(text, 256)).join(hits, "__blob", "left")
-    masked = F.when(F.col("__findings").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("__findings")))
-    out = joined.withColumn("text", masked)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__findings").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    Overlapping findings make one stretch.
+    """
+    spans = findings.select("blob", F.inline("findings"))
+    order = Window.partitionBy("blob").orderBy("start", "kind_at").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("end").over(order), F.lit(0))
+    opens = spans.withColumn("reach", reach)
+    piece = F.when(F.col("start") >= F.col("reach"), F.struct(F.col("reach").alias("from"), (F.col("start") - F.col("reach")).alias("size")))
+    return opens.groupBy("blob").agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.max("end").alias("rest"))
+
+
+def redact_documents(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
+    """The documents with every stretch of findings in ``text`` replaced by ``mask`` and, where present, ``n_chars`` kept true."""
+    names = docs.columns
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), blob_of(F.col("text")).alias("blob"))
+    whole = whole.withColumn("salt", F.pmod(F.xxhash64("row.text", *(["row.doc_id"] if "doc_id" in names else [])), F.lit(SALTS)).cast("int"))
+    found = update_ledger(docs).where(F.size("findings") > 0).select("blob", "findings")
+    hits = cleared(found).withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    joined = whole.join(hits, ["blob", "salt"], "left")
+    text = F.col("row.text")
+    # each piece is cut from the text and all are joined once
+    kept = F.transform("pieces", lambda p: F.substring(text, p["from"] + 1, p["size"]))
+    after = F.substring(text, F.col("rest") + 1, F.length(text))
+    masked = F.concat(F.array_join(F.concat(kept, F.array(F.lit(""))), mask), after)
+    hit = F.col("pieces").isNotNull()
+    # the new text goes on as a column: named twice, it would be made twice
+    out = joined.withColumn("masked", F.when(hit, masked))
+    row = F.col("row")
+    values = [F.when(hit, F.col("masked")).otherwise(row[c]).alias(c) if c == "text" else F.when(hit, F.length("masked").cast("long")).otherwise(row[c]).alias(c) if c == "n_chars" else row[c].alias(c) for c in names]
+    return out.select(*values)
 
 
 #: The same report in DuckDB's SQL.

@@ -24,12 +24,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
 
 
-def settle(df: DataFrame) -> DataFrame:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of this application's checkpoints, for tables beside them."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+ROWS_PER_FILE = 250_000
+
+
+def settle(df: DataFrame, most: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 
     A lost executor then costs a re-read, not a re-run of the phases before.
+    ``most``: a known bound on its (narrow) rows, by which few rows go to few files.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if most is not None:
+        df = df.coalesce(most // ROWS_PER_FILE + 1)
     return df.checkpoint(eager=True)
 
 

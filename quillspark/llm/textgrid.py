@@ -19,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .workers import turn_to
+
 U64 = np.uint64
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15  # odd, 5 modulo 8
 _WINDOW = U64(0xD6E8FEB86659FD93)
 
@@ -129,6 +131,7 @@ def grid_of(texts: pa.Array) -> Grid:
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``limit`` bytes of text each, or one longer text."""
+    turn_to("grid")
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -48,18 +48,43 @@ def test_documents_and_sql(spark):
     assert sorted((tuple(r[:6]) for r in con.execute(secrets.report_sql()).fetchall()), key=str) == got
 
 
-def test_ledger_scans_only_what_is_new(spark):
+def test_ledger_scans_only_what_is_new(spark, monkeypatch):
     key = "token = abcdefgh12"
     first = spark.createDataFrame([(1, key), (2, "plain"), (3, key)], "doc_id long, text string")
     ledger = secrets.update_ledger(first)
-    assert ledger.count() == 2
+    assert ledger.count() == 2 * 3  # blobs and rules
     more = first.union(spark.createDataFrame([(4, key), (5, "secret: 123456789"), (None, None), (5, "plain")], "doc_id long, text string"))
     new = secrets.update_ledger(more, ledger)
-    assert new.count() == 2  # the empty text and the new secret
-    assert secrets.update_ledger(more, ledger, "r2").count() == 4
-    report = secrets.secret_report(more, ledger)
-    assert sorted((r.doc_id or 0, r.n_assign) for r in report.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1), (4, 1), (5, 0), (5, 1)]
+    assert new.count() == 2 * 3  # the empty text and the new secret
+    want = [(0, 0), (1, 1), (2, 0), (3, 1), (4, 1), (5, 0), (5, 1)]
+    for known in (ledger, ledger.union(ledger), ledger.where("rule = 'assign'")):  # repeated rows, a rule not scanned yet
+        assert sorted((r.doc_id or 0, r.n_assign) for r in secrets.secret_report(more, known).collect()) == want
     assert secrets.secret_report(first.where("false")).collect() == []
+    monkeypatch.setitem(secrets.VERSIONS, "hex", "2")  # a changed rule: known blobs again, for it alone
+    assert sorted(r.rule for r in secrets.update_ledger(first, ledger).collect()) == ["hex", "hex"]
+
+
+def test_history_over_a_written_ledger(spark, tmp_path):
+    key = "token = abcdefgh12"
+    commits = [spark.createDataFrame(rows, "doc_id long, text string") for rows in ([(1, key), (2, "plain")], [(3, key), (4, "x")], [(1, key), (5, None)])]
+    folder = str(tmp_path / "ledger")
+    assert secrets.scan_history(commits[:1], folder).count() == 2 * 3
+    assert secrets.scan_history(commits, folder).count() == 4 * 3  # what the run before wrote is not scanned again
+    assert secrets.scan_history(commits, folder).count() == 4 * 3
+    docs = commits[0].union(commits[1]).union(commits[2])
+    report = secrets.history_report(docs, 3, folder)
+    assert sorted((r.doc_id, r.spans) for r in report.collect()) == [(1, "assign:0:18"), (1, "assign:0:18"), (2, ""), (3, "assign:0:18"), (4, ""), (5, "")]
+    rows = list(enumerate(texts(400)))
+    docs = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
+    assert as_rows(secrets.history_report(docs)) == sorted(((d, *brute(t)) for d, t in rows + rows[:50]), key=str)
+
+
+def test_very_long_text_with_many_findings(spark):
+    text = ("token=abcdefgh12 é " + "deadbeef" * 4 + " ") * 4000
+    docs = spark.createDataFrame([(1, text, 2, 3)], "doc_id long, text string, pieces int, salt int")
+    assert as_rows(secrets.secret_report(docs)) == [(1, *brute(text))]
+    out = secrets.redact_documents(docs).collect()[0]
+    assert out.text == "[SECRET] é [SECRET] " * 4000 and (out.pieces, out.salt) == (2, 3)
 
 
 def test_redaction(spark):
