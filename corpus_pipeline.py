@@ -2,32 +2,29 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns they were given, so a stage's result can be written and read
-as the next one's documents.
+as the next one's documents. Decisions are made and carried out row by row:
+rows with a null doc_id and repeated rows have their own, as each operator states.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quillspark.llm.mixing import mix_documents
-from quillspark.llm.neardup import near_duplicates
+from quillspark.llm.mixing import repeat_taken
+from quillspark.llm.neardup import keep_one
 from quillspark.llm.pieces import encode_documents
-from quillspark.llm.quality import judge_quality
+from quillspark.llm.quality import keep_good
 from quillspark.llm.secrets import redact_documents
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = judge_quality(docs, labels).where("kept").select("doc_id").distinct()
-    return docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: five-word shingles, similarity 0.8 or more."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
+    return keep_one(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +34,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as often as the mix takes it: not at all, once or twice."""
-    copies = mix_documents(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    repeated = docs.join(copies.hint("shuffle_hash"), "doc_id")
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    return repeat_taken(docs)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
