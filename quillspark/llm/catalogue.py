@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derive_records(table(spark, sf_dir, "pages"))
+    return warc.derive_records(warc.response_records(table(spark, sf_dir, "pages")))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
