@@ -12,6 +12,9 @@ counts, and equal windows agree on it. That leaves about a quarter of all
 positions to shuffle. Texts whose whole word sequence is the same form a class;
 its smallest document stands for it, and all others are repeats throughout.
 
+A seed or window that very many documents share is split over tasks when its rows
+meet their key's verdict.
+
 Seeds are 64-bit hashes: a collision makes a needless candidate, never a result.
 The wanted windows are compared by two independent 64-bit hashes.
 
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .spread import spread_join
 from .storage import release, settle
 from .textgrid import U64, Grid, blocks, grid_of, long_lists, mix, per_text
 
@@ -206,16 +210,16 @@ def _profiled(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataF
     full = profile.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     reps = settle(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     seen = full.select("d1", F.explode("seeds").alias("seed"))
-    repeated = settle(seen.groupBy("seed").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low <> high").select("seed"))
+    repeated = settle(seen.groupBy("seed").agg(F.min("d1").alias("low"), F.max("d1").alias("high"), F.count("*").alias("n")).where("low <> high").select("seed", "n"))
     release(docs.sparkSession)
-    owners = full.select("doc_id", "d1", F.explode("seeds").alias("seed")).join(repeated, "seed")
+    owners = spread_join(full.select("doc_id", "d1", F.explode("seeds").alias("seed")), repeated, ["seed"], "n", ["doc_id", "d1"])
     alive = owners.groupBy("doc_id", "d1").agg(F.collect_set("seed").alias("alive")).join(reps.select(F.col("rep").alias("doc_id"), "d1"), ["doc_id", "d1"], "left_semi")
     alive = settle(alive)
     release(docs.sparkSession)
     profile = settle(profile.drop("seeds"))
     del full, seen, owners, repeated
     release(docs.sparkSession)
-    texts = settle(docs.join(alive.hint("shuffle_hash"), "doc_id"))
+    texts = settle(docs.join(alive, "doc_id"))
     del alive
     release(docs.sparkSession)
     return docs, profile, reps, texts
@@ -225,8 +229,8 @@ def _level(texts: DataFrame, window: int, length: int, first: bool) -> DataFrame
     """(doc_id, d1, start, low) of the pieces of this length that repeat across documents."""
     keys = texts.mapInArrow(window_keys(window, length, first), KEYS)  # made twice: cheaper than keeping them
     rows = keys.select("doc_id", "d1", F.explode(F.arrays_zip("start", "k1", "k2")).alias("x")).select("doc_id", "d1", "x.start", "x.k1", "x.k2")
-    shared = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    return rows.join(shared.select("k1", "k2", "low"), ["k1", "k2"])
+    shared = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high")
+    return spread_join(rows, settle(shared.select("k1", "k2", "low", "n")), ["k1", "k2"], "n", ["doc_id", "start"])
 
 
 def _grown(texts: DataFrame, found: DataFrame, window: int, length: int) -> DataFrame:

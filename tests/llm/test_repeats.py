@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from quillspark.llm import repeats
+from quillspark.llm import repeats, spread
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -70,3 +70,14 @@ def test_levels_double_until_none_survives(spark):
     rows = [(1, "a b " + shared[13]), (2, shared[13] + " c"), (3, shared[30] + " d"), (4, "e " + shared[30]), (5, shared[110]), (6, shared[110] + " f"), (7, "lonely " * 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.level for r in repeats.repeat_levels(df).collect()} == {1: 13, 2: 13, 3: 26, 4: 26, 5: 104, 6: 104}
+
+
+def test_hot_passage_and_very_long_text(spark, monkeypatch):
+    """A passage that most documents share, split over salts; a text of very many words."""
+    monkeypatch.setattr(spread, "HEAVY_ROWS", 20)
+    rnd = random.Random(8)
+    hot = [f"h{i}" for i in range(20)]
+    rows = [(d, " ".join([f"a{rnd.randrange(10**6)}" for _ in range(5)] + hot * (d % 3 > 0) + [f"b{rnd.randrange(10**6)}"] * 2)) for d in range(400)]
+    rows.append((1000, " ".join(f"c{i % 7001}" for i in range(60_000)) + " " + " ".join(hot)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(repeats.remove_repeats(df)) == brute(rows)
