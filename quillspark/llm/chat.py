@@ -9,7 +9,9 @@ tag), so each perspective trains on one speaker.
 Rows are rendered turns, not whole dialogues: a dialogue of any length never has
 to fit into one row or task. Offsets into the rendered dialogue are prefix sums
 in two steps, within blocks of ``BLOCK_TURNS`` turns and over the blocks, so a
-dialogue that holds a third of all turns is spread over many tasks.
+dialogue that holds a third of all turns is spread over many tasks, also where
+its turns meet its participants. A tag inside a text or role is broken by a space
+(``<| im_``), so that it cannot open or close a turn.
 
 Nulls and odd rows: turns are ordered by turn, role, text, nulls first, so ties
 and repeated rows have a place; a null text is empty; a null role speaks as
@@ -18,26 +20,35 @@ and repeated rows have a place; a null text is empty; a null role speaks as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .spread import spread_join
+
 NEUTRAL = ("system",)
 OPEN, SAY, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
+TAG, BROKEN_TAG = "<|im_", "<| im_"
 BLOCK_TURNS = 256
 
 
+def plain(text: Column) -> Column:
+    """A text whose tags, if it holds any, cannot open or close a turn."""
+    return F.replace(text, F.lit(TAG), F.lit(BROKEN_TAG))
+
+
 def rotate_perspectives(turns: DataFrame) -> DataFrame:
     """conv_id, perspective, turn, n_same (rank among rows with this turn number), rendered, start, end,
     mask_start, mask_end: offsets in code points into the dialogue as this perspective renders it, end
     exclusive; null masks for turns the perspective does not speak."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        plain(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))).alias("role"), plain(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"),
     )
     rows = rows.withColumn("conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))))
-    speakers = rows.where(~F.col("role").isin(*NEUTRAL)).select("conv", F.col("role").alias("perspective")).distinct()
+    roles = rows.groupBy("conv", "role").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(Window.partitionBy("conv")))
+    speakers = roles.where(~F.col("role").isin(*NEUTRAL)).select("conv", F.col("role").alias("perspective"), "n")
     # each turn once per perspective: participants are few, turns may be many
-    seen = rows.join(speakers, "conv")
+    seen = spread_join(rows, speakers, ["conv"], "n", ["block"])
     named = F.when(F.col("role").isin(*NEUTRAL), F.col("role")).when(F.col("role") == F.col("perspective"), F.lit("assistant")).otherwise(F.concat(F.lit("user name="), F.col("role")))
     head = F.concat(F.lit(OPEN), named, F.lit(SAY))
     body = F.concat(F.col("text"), F.lit(CLOSE))
@@ -57,7 +68,7 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
 
 CHAT_SQL = """
 WITH rows AS (
-  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, replace(coalesce(role, 'unknown'), '<|im_', '<| im_') AS role, replace(coalesce(text, ''), '<|im_', '<| im_') AS text FROM conversations
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS perspective FROM rows WHERE role <> 'system'
 ), seen AS (
