@@ -230,7 +230,9 @@ def _level(texts: DataFrame, window: int, length: int, first: bool) -> DataFrame
     keys = texts.mapInArrow(window_keys(window, length, first), KEYS)  # made twice: cheaper than keeping them
     rows = keys.select("doc_id", "d1", F.explode(F.arrays_zip("start", "k1", "k2")).alias("x")).select("doc_id", "d1", "x.start", "x.k1", "x.k2")
     shared = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high")
-    return spread_join(rows, settle(shared.select("k1", "k2", "low", "n")), ["k1", "k2"], "n", ["doc_id", "start"])
+    shared = settle(shared.select("k1", "k2", "low", "n"))
+    release(texts.sparkSession)
+    return spread_join(rows, shared, ["k1", "k2"], "n", ["doc_id", "start"])
 
 
 def _grown(texts: DataFrame, found: DataFrame, window: int, length: int) -> DataFrame:
