@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from .workers import turn_to
 
 SPACE = "▁"
-CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-RECENT_CUTS = 250_000
-RECENT_PAIRS = 300_000
+CUT = re.compile(" *[^ ]+| +")
+RECENT_CUTS = 150_000
+RECENT_PAIRS = 200_000
 LONGEST_CACHED = 40
 SHORT = 32
 NEVER = float("-inf")
@@ -148,12 +148,15 @@ class PieceTable:
                 end -= len(self.rows[token][0])
         return out[::-1]
 
-    def _cut(self, cut: str) -> tuple[str, str]:
-        if cut.startswith(SPACE * 2):
-            ids = [i for p in self.merge(cut) for i in ([self.ids[p]] if p in self.ids else [self.byte[b] for b in p.encode()])]
+    def _cut(self, cut: str) -> str | tuple[str, str]:
+        """The ids of a cut, joined; with the text they spell where that is not the cut again."""
+        signs = cut.replace(" ", SPACE)
+        if signs.startswith(SPACE * 2):
+            ids = [i for p in self.merge(signs) for i in ([self.ids[p]] if p in self.ids else [self.byte[b] for b in p.encode()])]
         else:
-            ids = self.ids_of(cut)
-        return ",".join(map(str, ids)), self.surface(ids)
+            ids = self.ids_of(signs)
+        joined, text = ",".join(map(str, ids)), self.surface(ids)
+        return joined if text == cut else (joined, text)
 
     def surface(self, ids: list[int]) -> str:
         """The pieces of the ids one after the other, byte pieces as the characters they spell."""
@@ -178,12 +181,17 @@ class PieceTable:
         """Ids joined by commas, their number, and the decoded text."""
         if not text:
             return "", 0, ""
-        cuts = CUT.findall(SPACE + text.replace(" ", SPACE))
+        # the space sign itself is a space to the model; one space goes in front
+        text = " " + text.replace(SPACE, " ")
+        cuts = CUT.findall(text)
         recent = self.cuts
         done = [recent[c] if len(c) <= LONGEST_CACHED else self._cut(c) for c in cuts]
-        ids = ",".join([x[0] for x in done])
-        decoded = "".join([x[1] for x in done])
-        return ids, ids.count(",") + 1, decoded[1:] if decoded.startswith(" ") else decoded
+        try:
+            ids = ",".join(done)
+        except TypeError:  # some cut does not spell itself
+            text = "".join([c if isinstance(x, str) else x[1] for c, x in zip(cuts, done)])
+            ids = ",".join([x if isinstance(x, str) else x[0] for x in done])
+        return ids, ids.count(",") + 1, text[1:] if text.startswith(" ") else text
 
     def encode(self, text: str) -> list[int]:
         ids = self.run(text)[0]

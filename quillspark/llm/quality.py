@@ -233,7 +233,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: f
     doc_ids included.
     """
     own = docs.select(*_inputs(docs, stratum))
-    chosen = settle(cutoffs(own.mapInArrow(score_texts, SCORED), labels, risk, delta))
+    chosen = settle(cutoffs(settle(own.mapInArrow(score_texts, SCORED)), labels, risk, delta))
     whole = docs.select(*_inputs(docs, stratum), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     kind = whole.schema["row"].dataType.simpleString()
     return _verdict(whole.mapInArrow(score_texts, f"{SCORED}, row {kind}"), chosen).where("kept").select("row.*")
