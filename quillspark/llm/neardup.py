@@ -262,9 +262,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keyed: bool
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
     signed = settle(own.mapInArrow(sign_texts(k), SIGNED))
-    # numbered once, in what is written: a class's number never changes afterwards
+    # numbered once, in what is written, by doc_id: originals mostly come before their copies, and the first
+    # class of a bucket or component is what its other members are measured against
     classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("buckets").alias("buckets"))
-    classes = settle(classes.select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "buckets", F.monotonically_increasing_id().alias("node")))
+    classes = settle(classes.orderBy("rep").select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "buckets", F.monotonically_increasing_id().alias("node")))
     found = _link_classes(own, classes, k, percent)
     named = classes.select("node", "doc_id").join(found, "node")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("smallest"))
