@@ -76,6 +76,20 @@ def deduplicate(entities: DataFrame, *key: str) -> DataFrame:
     return out.select(*key, F.col("f.ord").alias("ord"), "type", text.alias("text"), F.col("f.start").alias("start"), end.alias("end"), F.col("f.confidence").alias("confidence"))
 
 
+def first_of_type(etype: str, entities: Column) -> Column:
+    """``deduplicate`` for one type: what the array of its entities, in order, comes to; null if it is empty."""
+    first = F.get(entities, F.lit(0))
+    head = clean_value(F.lit(etype), trim_bleed(F.lit(etype), first["text"]))
+    if any(m in etype for m in MERGED):
+        later = F.transform(F.slice(entities, 2, F.greatest(F.size(entities), F.lit(1))), lambda x: trim_bleed(F.lit(etype), x["text"]))
+        head = F.array_join(F.concat(F.array(head), later), ", ")
+        end = F.element_at(entities, -1)["end"]
+    else:
+        end = first["end"]
+    made = F.struct(first["ord"].alias("ord"), F.lit(etype).alias("type"), head.alias("text"), first["start"].alias("start"), end.alias("end"), first["confidence"].alias("confidence"))
+    return F.when(F.size(entities) > 0, made)
+
+
 def merge_fold(entities: DataFrame, *key: str, mergeable: tuple[str, ...] = FREE_TEXT) -> DataFrame:
     """The earlier policy: later texts of mergeable types are appended with a space unless already inside,
     the end is the largest, the confidence the pairwise mean in order; other types keep their first entity."""

@@ -2,36 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 
 def entity_type(tag: Column) -> Column:
     """The upper-case type of a tag's name, value suffix dropped."""
     return F.upper(F.replace(tag, F.lit("_VALUE"), F.lit("")))
 
 
-def decode_bio(tags: DataFrame, *key: str, value_only: bool = False) -> DataFrame:
-    """key, ord, type, text, start, end, label, confidence from (key, tok_idx, token, start, end, label, conf).
+def decoded_spans(tokens: Column, value_only: bool = False) -> Column:
+    """Entities (ord, type, text, start, end, label, confidence) of one document's array of
+    (token, start, end, label, conf) in order.
 
     B- always opens, I- extends the same type and opens otherwise; O and tags
     without a dash close; tags with other prefixes are passed over. With
-    ``value_only`` tags without the value suffix close too.
+    ``value_only`` tags without the value suffix close too. An entity goes from a
+    place that opens to the next that opens or closes, so a document costs in
+    proportion to its tokens and never leaves its row.
     """
-    label = F.col("label")
-    prefix, name = F.substring_index(label, "-", 1), F.substr(label, F.locate("-", label) + 1)
-    closes = (label == "O") | ~F.contains(label, F.lit("-"))
-    if value_only:
-        closes = closes | ~F.contains(label, F.lit("_VALUE"))
-    rows = tags.withColumn("__type", F.when(~closes, entity_type(name))).withColumn("__open", ~closes & (prefix == "B")).withColumn("__name", name)
-    rows = rows.where(closes | prefix.isin("B", "I"))
-    each = Window.partitionBy(*key).orderBy("tok_idx")
-    before = F.lag("__type").over(each)
-    rows = rows.withColumn("__start", F.when(F.col("__type").isNotNull() & (F.col("__open") | ~F.col("__type").eqNullSafe(before)), 1).otherwise(0))
-    rows = rows.withColumn("ord", F.sum("__start").over(each)).where(F.col("__type").isNotNull())
-    part = F.array_sort(F.collect_list(F.struct("tok_idx", "token")))
-    out = rows.groupBy(*key, "ord").agg(
-        F.min_by("__type", "tok_idx").alias("type"), F.array_join(F.transform(part, lambda x: x["token"]), " ").alias("text"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.concat(F.lit("B-"), F.min_by("__name", "tok_idx")).alias("label"), F.round(F.avg("conf"), 4).alias("confidence"),
-    )
-    return out.select(*key, F.col("ord").cast("long").alias("ord"), "type", "text", "start", "end", "label", "confidence")
+
+    def parsed(x: Column) -> Column:
+        label = x["label"]
+        closes = (label == "O") | ~F.contains(label, F.lit("-"))
+        if value_only:
+            closes = closes | ~F.contains(label, F.lit("_VALUE"))
+        name = F.substr(label, F.locate("-", label) + 1)
+        kind = F.when(closes, "close").otherwise(F.substring_index(label, "-", 1))
+        return F.struct(x["token"].alias("token"), x["start"].alias("start"), x["end"].alias("end"), x["conf"].alias("conf"), kind.alias("kind"), name.alias("name"), F.when(~closes, entity_type(name)).alias("type"))
+
+    def spans(rows: Column) -> Column:
+        before = lambda i: F.get(rows, i - 1)["type"]
+        opens = lambda x, i: x["type"].isNotNull() & ((x["kind"] == "B") | ~x["type"].eqNullSafe(before(i)))
+        numbered = F.transform(rows, lambda x, i: F.struct(i.alias("i"), F.when(x["type"].isNull(), 0).when(opens(x, i), 1).alias("edge")))
+        edges = F.concat(F.filter(numbered, lambda x: x["edge"].isNotNull()), F.array(F.struct(F.size(rows).alias("i"), F.lit(0).alias("edge"))))
+        return let(edges, lambda e: F.filter(F.transform(e, lambda x, k: F.struct(x["i"].alias("at"), x["edge"].alias("edge"), (F.get(e, k + 1)["i"] - x["i"]).alias("n"))), lambda x: x["edge"] == 1))
+
+    def entity(rows: Column, x: Column, k: Column) -> Column:
+        return let(F.slice(rows, x["at"] + 1, x["n"]), lambda part: F.struct(
+            (k + 1).cast("long").alias("ord"), part[0]["type"].alias("type"), F.array_join(F.transform(part, lambda t: t["token"]), " ").alias("text"), part[0]["start"].cast("long").alias("start"),
+            F.element_at(part, -1)["end"].cast("long").alias("end"), F.concat(F.lit("B-"), part[0]["name"]).alias("label"), F.round(F.aggregate(part, F.lit(0.0), lambda s, t: s + t["conf"]) / x["n"], 4).alias("confidence"),
+        ))
+
+    sound = F.filter(F.transform(tokens, parsed), lambda x: x["kind"].isin("close", "B", "I"))
+    return let(sound, lambda rows: let(spans(rows), lambda found: F.transform(found, lambda x, k: entity(rows, x, k))))
+
+
+def decode_rows(docs: DataFrame, *key: str, tokens: str = "tokens", value_only: bool = False) -> DataFrame:
+    """key, ord, type, text, start, end, label, confidence of documents with an array of labelled tokens: no shuffle."""
+    return docs.select(*key, F.inline(decoded_spans(F.col(tokens), value_only)))
+
+
+def decode_bio(tags: DataFrame, *key: str, value_only: bool = False) -> DataFrame:
+    """The same from rows (key, tok_idx, token, start, end, label, conf), gathered by document once."""
+    listed = F.array_sort(F.collect_list(F.struct("tok_idx", "token", "start", "end", "label", "conf")))
+    return decode_rows(tags.groupBy(*key).agg(listed.alias("__tokens")), *key, tokens="__tokens", value_only=value_only)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import keyword_form, keyword_form_of, strip_ws
+from ..functions.text import keyword_form, keyword_form_of, let, strip_ws
 
 # Weights, thresholds, boilerplate lines and the built-in rules.
 STRONG, WEAK, EXCLUDE = 3.0, 1.0, -10.0
@@ -98,34 +100,47 @@ def tfidf_scores(texts: DataFrame, key: str, text: str, index: DataFrame, doc_ty
     return dots.withColumn("norm", norm).where("doc_type IS NOT NULL").select(key, "doc_type", (F.col("dot") / F.col("norm")).alias("score"))
 
 
-def keyword_scores(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]]) -> DataFrame:
-    """key, ord, doc_type, score: 3, 1 and -10 per strong, weak and exclude keyword inside the text, at least 0.
+def keyword_score_array(text: Column, rules: dict[str, dict[str, list[str]]]) -> Column:
+    """(ord, doc_type, score) of every type: 3, 1 and -10 per strong, weak and exclude keyword inside the text, at least 0.
 
     The rules become one projection; texts never meet a rule table in a join.
     """
-    norm = texts.select(key, keyword_form(F.col(text)).alias("norm"))
-    scores = []
-    for ord_, (doc_type, kinds) in enumerate(rules.items()):
-        score = F.lit(0.0)
-        for kind, weight in (("strong", STRONG), ("weak", WEAK), ("exclude", EXCLUDE)):
-            for word in kinds.get(kind, []):
-                score = score + F.when(F.contains("norm", F.lit(keyword_form_of(word))), weight).otherwise(0.0)
-        scores.append(F.struct(F.lit(ord_).cast("long").alias("ord"), F.lit(doc_type).alias("doc_type"), F.greatest(score, F.lit(0.0)).alias("score")))
-    return norm.select(key, F.inline(F.array(*scores)))
 
+    def scored(norm: Column) -> Column:
+        scores = []
+        for ord_, (doc_type, kinds) in enumerate(rules.items()):
+            score = F.lit(0.0)
+            for kind, weight in (("strong", STRONG), ("weak", WEAK), ("exclude", EXCLUDE)):
+                for word in kinds.get(kind, []):
+                    score = score + F.when(F.contains(norm, F.lit(keyword_form_of(word))), weight).otherwise(0.0)
+            scores.append(F.struct(F.lit(ord_).cast("long").alias("ord"), F.lit(doc_type).alias("doc_type"), F.greatest(score, F.lit(0.0)).alias("score")))
+        return F.array(*scores)
 
-def shares(scores: DataFrame, key: str) -> DataFrame:
-    """key, total, best (first of equals), its share, all shares rounded to 4 places, first and second score."""
-    listed = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "ord", "doc_type")))
-    out = scores.groupBy(key).agg(listed.alias("s"), F.sum("score").alias("total"))
+    return let(keyword_form(text), scored)
+
+
+def keyword_scores(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]]) -> DataFrame:
+    """key, ord, doc_type, score of every type."""
+    return texts.select(key, F.inline(keyword_score_array(F.col(text), rules)))
+
+
+def share_columns(rows: DataFrame, key: str, scores: str) -> DataFrame:
+    """key, total, best (first of equals), its share, all shares rounded to 4 places, first and second score, from an array of scores."""
+    listed = F.array_sort(F.transform(scores, lambda x: F.struct((-x["score"]).alias("neg"), x["ord"].alias("ord"), x["doc_type"].alias("doc_type"))))
+    out = rows.select(key, listed.alias("s"), F.aggregate(scores, F.lit(0.0), lambda t, x: t + x["score"]).alias("total"))
     share = lambda x: F.round(-x["neg"] / F.col("total"), 4)
     every = F.map_from_entries(F.transform("s", lambda x: F.struct(x["doc_type"], F.when(F.col("total") > 0, share(x)).otherwise(F.lit(0.0)))))
     return out.select(key, "total", F.col("s")[0]["doc_type"].alias("best"), F.when(F.col("total") > 0, share(F.col("s")[0])).otherwise(0.0).alias("share"), every.alias("scores"), (-F.col("s")[0]["neg"]).alias("first"), (-F.get("s", F.lit(1))["neg"]).alias("second"))
 
 
+def shares(scores: DataFrame, key: str) -> DataFrame:
+    """The same from rows (key, ord, doc_type, score), few for each text."""
+    return share_columns(scores.groupBy(key).agg(F.collect_list(F.struct("ord", "doc_type", "score")).alias("__scores")), key, "__scores")
+
+
 def detect_by_keywords(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]] = BUILT_IN_RULES, threshold: float = THRESHOLD) -> DataFrame:
-    """key, doc_type (null below the threshold), confidence, is_confident, method keyword or none, scores."""
-    s = shares(keyword_scores(texts, key, text, rules), key)
+    """key, doc_type (null below the threshold), confidence, is_confident, method keyword or none, scores: one projection."""
+    s = share_columns(texts.select(key, keyword_score_array(F.col(text), rules).alias("__scores")), key, "__scores")
     sure = (F.col("total") > 0) & (F.col("share") >= threshold)
     return s.select(key, F.when(sure, F.col("best")).alias("doc_type"), F.col("share").alias("confidence"), sure.alias("is_confident"), F.when(F.col("total") > 0, "keyword").otherwise("none").alias("method"), "scores")
 
@@ -166,17 +181,42 @@ def register(rules: dict[str, dict[str, list[str]]], doc_type: str, strong: list
     return out | {doc_type: {"strong": list(strong), "weak": list(weak), "exclude": others}}
 
 
-def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", most_queries: int = 10_000) -> DataFrame:
-    """query_id, rank, key, score: the k vectors of highest inner product per query, queries checked to be few."""
-    n = queries.limit(most_queries + 1).count()
-    q = queries.select(F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("q"))
-    q = F.broadcast(q) if n <= most_queries else q
-    dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    rows = vectors.select(key, F.col(vector).cast("array<double>").alias("v")).join(q, F.col(key) != F.col("query_id")).select("query_id", key, F.round(dot, 6).alias("score"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), key))), 1, k)
-    local = rows.groupBy("query_id", F.pmod(F.xxhash64(key), F.lit(64)).alias("part")).agg(best.alias("b")).select("query_id", F.inline("b"))
-    order = Window.partitionBy("query_id").orderBy("neg", key)
-    return local.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k).select("query_id", "rank", key, (-F.col("neg")).alias("score"))
+def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block_rows: int = 4096) -> DataFrame:
+    """query_id, rank, key, score: the k vectors of highest inner product per query.
+
+    Queries (a stated set) go in blocks of ``block_rows`` to the vectors, which stay where they are;
+    a task keeps k rows per query over all its batches, and those are cut to the k best. Scores are
+    rounded to 6 places, ties go to the smaller key. Null vectors and null keys take no part.
+    """
+    some = lambda df: df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows, asked = some(vectors), some(queries)
+    blocks = max(1, -(-asked.count() // block_rows))
+    out = None
+    for b in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
+        shared = vectors.sparkSession.sparkContext.broadcast((np.array([r.id for r in block], np.int64), np.array([r.v for r in block], np.float64)))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, q = shared.value
+            best = np.full((len(ids), 0), 0.0)
+            who = np.zeros((len(ids), 0), np.int64)
+            for batch in batches:
+                for at in range(0, batch.num_rows if len(ids) else 0, 2048):
+                    part = batch.slice(at, 2048)
+                    own = np.asarray(part.column("id"))
+                    x = np.asarray(part.column("v").flatten()).reshape(len(own), -1)
+                    scores = np.round(q @ x.T, 6)
+                    scores[ids[:, None] == own[None, :]] = -np.inf
+                    best, who = np.hstack((best, scores)), np.hstack((who, np.broadcast_to(own, scores.shape)))
+                    order = np.lexsort((who, -best), axis=1)[:, :k]
+                    best, who = np.take_along_axis(best, order, 1), np.take_along_axis(who, order, 1)
+            keep = np.isfinite(best)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(axis=1))), pa.array(who[keep]), pa.array(best[keep])], names=["query_id", key, "score"])
+
+        found = rows.mapInArrow(run, f"query_id long, {key} long, score double")
+        out = found if out is None else out.union(found)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
+    return out.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
 
 
 def rules_frame(spark: SparkSession, rules: dict[str, dict[str, list[str]]]) -> DataFrame:

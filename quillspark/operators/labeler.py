@@ -6,17 +6,25 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import uniform
 
 
 class TokenLabeler(Protocol):
-    """Adds ``label`` and ``conf`` to rows of (key, tok_idx, token, start, end)."""
+    """Adds ``label`` and ``conf`` to rows of (key, tok_idx, token, start, end), or to a document's array of (token, start, end)."""
 
     def label(self, tokens: DataFrame, key: str) -> DataFrame: ...
 
+    def label_array(self, tokens: Column, key: str) -> Column: ...
+
+
+def labelled(tokens: Column, label, conf) -> Column:
+    """An array of (token, start, end) with label(x, i) and conf(x, i, label) added."""
+    named = F.transform(tokens, lambda x, i: F.struct(x["token"].alias("token"), x["start"].alias("start"), x["end"].alias("end"), label(x, i).alias("label")))
+    return F.transform(named, lambda x, i: F.struct(x["token"].alias("token"), x["start"].alias("start"), x["end"].alias("end"), x["label"].alias("label"), conf(x, i).alias("conf")))
+
 
 class HashLabeler:
     """Pseudo-labels from hashes, for plans and tests without a model."""
@@ -29,6 +37,11 @@ class HashLabeler:
         label = F.element_at(F.array(*map(F.lit, self.labels)), (F.floor(u * len(self.labels)) + 1).cast("int"))
         return tokens.withColumn("label", label).withColumn("conf", F.floor(uniform(self.seed, F.col(key), F.col("tok_idx"), "conf") * 64) / 64)
 
+    def label_array(self, tokens: Column, key: str) -> Column:
+        names = F.array(*map(F.lit, self.labels))
+        pick = lambda x, i: F.element_at(names, (F.floor(uniform(self.seed, F.col(key), i, "label") * len(self.labels)) + 1).cast("int"))
+        return labelled(tokens, pick, lambda x, i: F.floor(uniform(self.seed, F.col(key), i, "conf") * 64) / 64)
+
 
 class RuleLabeler:
     """(pattern, label) rules over single tokens; the first that matches wins, everything else is O."""
@@ -43,6 +56,15 @@ class RuleLabeler:
         label = F.lit("O") if label is None else label.otherwise("O")
         return tokens.withColumn("label", label).withColumn("conf", F.when(F.col("label") == "O", 0.5).otherwise(1.0))
 
+    def label_array(self, tokens: Column, key: str) -> Column:
+        def named(x: Column, i: Column) -> Column:
+            label = None
+            for pattern, name in self.rules:
+                label = (F.when if label is None else label.when)(x["token"].rlike(pattern), F.lit(f"B-{name}"))
+            return F.lit("O") if label is None else label.otherwise("O")
+
+        return labelled(tokens, named, lambda x, i: F.when(x["label"] == "O", 0.5).otherwise(1.0))
+
 
 class ModelLabeler:
     """A model loaded once per Python worker: ``load()`` gives a function from lists of id windows to

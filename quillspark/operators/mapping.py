@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clean import deduplicate, is_valid
+from .clean import deduplicate, first_of_type, is_valid
 
 # Type to field, per document type.
 DEFAULT_MAPPINGS = {
@@ -21,6 +21,24 @@ DEFAULT_MAPPINGS = {
 }
 
 
+def map_entity_arrays(rows: DataFrame, mapping: dict[str, str], *key: str, entities: str = "entities", fields: list[str] | None = None, clean: bool = True, validate: bool = True, with_confidence: bool = False) -> DataFrame:
+    """``map_entities`` for documents that carry their entities as an array in order: one projection, no shuffle."""
+    fields = fields or list(dict.fromkeys(mapping.values()))
+    made = rows.select(*key, F.col(entities).alias("__e"))
+    for n, etype in enumerate(mapping):
+        own = F.filter("__e", lambda x: x["type"] == etype)
+        made = made.withColumn(f"__{n}", first_of_type(etype, own) if clean else F.try_element_at(own, F.lit(-1)))
+        if validate:
+            made = made.withColumn(f"__{n}", F.when(is_valid(F.lit(etype), F.col(f"__{n}.text")), F.col(f"__{n}")))
+    out = list(key)
+    for f in fields:
+        found = [F.struct(F.col(f"__{n}.ord").alias("ord"), F.col(f"__{n}.text").alias("text"), F.col(f"__{n}.confidence").alias("confidence")) for n, t in enumerate(mapping) if mapping[t] == f]
+        last = F.array_max(F.filter(F.array(*found), lambda x: x["ord"].isNotNull())) if found else F.lit(None).cast("struct<ord:long,text:string,confidence:double>")
+        text = F.coalesce(last["text"], F.lit(""))
+        out.append((F.struct(text.alias("value"), F.coalesce(last["confidence"], F.lit(0.0)).alias("confidence")) if with_confidence else text).alias(f))
+    return made.select(*out)
+
+
 def mapping_of_labels(labels: list[str]) -> dict[str, str]:
     """Upper-case type to field for B- and I- labels, the first field of each type."""
     out: dict[str, str] = {}

@@ -6,25 +6,50 @@ tokenising and tagging move nothing between machines.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOKENS = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-NOT_SPACE = re.compile("[^ \n]+")
 
 
-@F.pandas_udf(TOKENS)
-def tokens_with_offsets(texts: pd.Series) -> pd.Series:
+def token_lists(texts: pa.Array) -> pa.Array:
+    """The tokens of all texts at once, cut from the bytes of the string column; a null text has none.
+
+    A separator is one byte and never part of another character's; code points
+    are counted by the bytes that begin one.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    inside = np.concatenate((~((raw == 32) | (raw == 10)), [False]))
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[at] = True  # a token never goes on into the next text
+    before = np.concatenate(([False], inside[:-1]))
+    start = np.flatnonzero(inside & (~before | edge))
+    end = np.flatnonzero(before & (~inside | edge))
+    points = np.concatenate(([0], np.cumsum(raw & 0xC0 != 0x80)))
+    first = np.searchsorted(start, at)
+    base = np.repeat(points[at[:-1]], np.diff(first))
+    sizes = np.concatenate(([0], np.cumsum(end - start)))
+    token = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(sizes.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[inside[:-1]]))).cast(pa.string())
+    rows = pa.StructArray.from_arrays([token, pa.array((points[start] - base).astype(np.int32)), pa.array((points[end] - base).astype(np.int32))], names=["token", "start", "end"])
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), rows)
+
+
+@F.arrow_udf(TOKENS)
+def tokens_with_offsets(texts: pa.Array) -> pa.Array:
     """Tokens between spaces and line ends (no other white space) with half-open code-point offsets.
 
     Spark has no running sum inside an array; the alternative, exploding every
     token and summing over a window, would shuffle the whole corpus.
     """
-    return texts.map(lambda t: [{"token": m[0], "start": m.start(), "end": m.end()} for m in NOT_SPACE.finditer(t or "")])
+    return token_lists(texts)
 
 
 def token_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -39,9 +39,15 @@ def truncated(ids: Column, length: int) -> Column:
 def merge_overlaps(predictions: DataFrame, *key: str) -> DataFrame:
     """key, pos, label, conf from (key, pos, win, label, conf): the label of the highest mean confidence,
     of equal ones the one of the earliest window."""
-    means = predictions.groupBy(*key, "pos", "label").agg(F.avg("conf").alias("conf"), F.min("win").alias("win"))
-    best = F.max_by(F.struct("label", "conf"), F.struct("conf", -F.col("win"))).alias("b")
-    return means.groupBy(*key, "pos").agg(best).select(*key, "pos", "b.label", "b.conf")
+    seen = predictions.groupBy(*key, "pos").agg(F.collect_list(F.struct("win", "label", "conf")).alias("s"))  # the few windows over a place
+
+    def judged(label: Column) -> Column:
+        own = F.filter("s", lambda x: x["label"].eqNullSafe(label))
+        mean = F.aggregate(own, F.lit(0.0), lambda t, x: t + x["conf"]) / F.size(own)
+        return F.struct(mean.alias("conf"), (-F.array_min(F.transform(own, lambda x: x["win"]))).alias("early"), label.alias("label"))
+
+    best = F.array_max(F.transform(F.array_distinct(F.transform("s", lambda x: x["label"])), judged))
+    return seen.select(*key, "pos", best.alias("b")).select(*key, "pos", "b.label", "b.conf")
 
 
 def fill_gaps(merged: DataFrame, lengths: DataFrame, n: str, *key: str) -> DataFrame:

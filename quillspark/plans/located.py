@@ -9,20 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_PASSAGES = 50_000
+MOST_BYTES = 32 << 20
 SPANS = "array<struct<item_id:long,start:long,end:long>>"
 
 
-def located_passages(docs: DataFrame, passages: DataFrame, most: int = MOST_PASSAGES) -> DataFrame:
-    """doc_id, text, spans (item_id, start, end of each passage's first place) for documents that hold any.
+def located_passages(docs: DataFrame, passages: DataFrame, most: int = MOST_PASSAGES, every: bool = False) -> DataFrame:
+    """doc_id, text, spans (item_id, start, end of each passage's first place) for documents that hold any; with ``every`` for all.
 
-    Up to ``most`` passages (checked) go to every task as one automaton; a larger
-    table is cut into that many parts, each passed over the documents in turn.
+    Passages go to every task as one automaton while they are at most ``most`` and
+    ``MOST_BYTES`` together (checked); a larger table is cut into parts, which the
+    documents' rows pass one after the other. A row stays a row, repeated doc_ids too.
     """
-    n = passages.count()
-    parts = max(1, -(-n // most))
-    out = None
+    n, size = passages.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // most), -(-size // MOST_BYTES))
+    out = docs.select("doc_id", "text", F.array().cast(SPANS).alias("spans"))
     for i in range(parts):
-        chosen = passages.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == i) if parts > 1 else passages
+        chosen = passages.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == i)
         rows = [(r.item_id, r.text) for r in chosen.select("item_id", "text").where("text <> ''").collect()]
 
         def run(batches: Iterator[pd.DataFrame], rows=rows) -> Iterator[pd.DataFrame]:
@@ -38,15 +40,14 @@ def located_passages(docs: DataFrame, passages: DataFrame, most: int = MOST_PASS
                 machine.make_automaton()
             for part in batches:
                 found = []
-                for text in part["text"]:
+                for text, known in zip(part["text"], part["spans"]):
                     first: dict[str, int] = {}
                     for end, hit in machine.iter(text) if ids and text else ():
                         first.setdefault(hit, end + 1 - len(hit))
-                    found.append([{"item_id": item, "start": at, "end": at + len(hit)} for hit, at in first.items() for item in ids[hit]])
-                yield part.assign(spans=found)[[bool(f) for f in found]]
+                    found.append([*known, *({"item_id": item, "start": at, "end": at + len(hit)} for hit, at in first.items() for item in ids[hit])])
+                yield part.assign(spans=found)
 
-        part = docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, text string, spans {SPANS}")
-        out = part if out is None else out.union(part)
-    if parts > 1:
-        out = out.groupBy("doc_id").agg(F.first("text").alias("text"), F.flatten(F.collect_list("spans")).alias("spans"))
+        out = out.mapInPandas(run, f"doc_id long, text string, spans {SPANS}")
+    if not every:
+        out = out.where(F.size("spans") > 0)
     return out.withColumn("spans", F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["item_id"].alias("item_id"), s["end"].alias("end")))))

@@ -93,7 +93,7 @@ ents AS (SELECT *, {name} AS label, {rank} AS r, row_number() OVER (PARTITION BY
 pairs AS (SELECT t.doc_id, t.tok_idx, e.label, e.ord FROM tok t JOIN ents e ON t.doc_id = e.doc_id AND t."end" > e.start AND t.start < e."end" QUALIFY row_number() OVER (PARTITION BY t.doc_id, t.tok_idx ORDER BY e.r, e.start, e.ord) = 1),
 firsts AS (SELECT *, min(tok_idx) OVER (PARTITION BY doc_id, ord) AS first_idx FROM pairs)
 SELECT t.doc_id, t.tok_idx, t.token, coalesce(CASE WHEN t.tok_idx = f.first_idx THEN 'B-' ELSE 'I-' END || f.label, 'O') AS label
-FROM tok t LEFT JOIN firsts f ON t.doc_id = f.doc_id AND t.tok_idx = f.tok_idx WHERE t.doc_id IN (SELECT doc_id FROM spans)"""
+FROM tok t LEFT JOIN firsts f ON t.doc_id = f.doc_id AND t.tok_idx = f.tok_idx"""
 
 
 def split_sql() -> str:
@@ -141,7 +141,7 @@ SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CASE type
 
 
 def corpus_sql() -> str:
-    return rf"""item AS (SELECT 't' || (item_id % 7) AS doc_type, item_id, regexp_extract_all(lower(text), {q(WORD)})[1:40] AS w FROM benchmark),
+    return rf"""item AS (SELECT 't' || (item_id % 7) AS doc_type, item_id, regexp_extract_all(lower(text), {q(WORD)}) AS w FROM benchmark),
 corpus AS (SELECT doc_type, flatten(list(w ORDER BY item_id)) AS w FROM item GROUP BY doc_type),
 grams AS (SELECT doc_type, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM corpus),
 counts AS (SELECT doc_type, term, count(*) AS n FROM grams GROUP BY ALL),
@@ -207,19 +207,115 @@ def name_sql(seed: str, names, slot: str) -> str:
     return f"{choose(D.SURNAMES, uniform(q(seed), 'row_id', q(slot + '.s')))} || ' ' || {choose(names, uniform(q(seed), 'row_id', q(slot + '.n')))}"
 
 
+class Slots:
+    """SQL of the draws of record ``row_id`` of a type."""
+
+    def __init__(self, doc_type: str) -> None:
+        self.seed = f"42|{doc_type}"
+
+    def u(self, s: str) -> str:
+        return uniform(q(self.seed), "row_id", q(s))
+
+    def pick(self, values, s: str) -> str:
+        return choose(list(values), self.u(s))
+
+    def whole(self, low: int, high: int, s: str) -> str:
+        return f"CAST({low} + floor({self.u(s)} * {high - low + 1}) AS BIGINT)"
+
+    def text(self, low: int, high: int, s: str) -> str:
+        return f"CAST({self.whole(low, high, s)} AS VARCHAR)"
+
+    def digits(self, n: int, s: str) -> str:
+        return " || ".join(self.text(0, 9, f"{s}{i}") for i in range(n))
+
+    def day(self, first: str, last: str | int, s: str) -> str:
+        span = last if isinstance(last, int) else f"(DATE '{last}' - DATE '{first}')"
+        return f"(DATE '{first}' + CAST(floor({self.u(s)} * ({span} + 1)) AS INTEGER))"
+
+    def name(self, names, s: str) -> str:
+        return name_sql(self.seed, names, s)
+
+    def city(self, s: str) -> str:
+        return f"{self.pick(D.DISTRICTS, s + '.d')} || ', ' || {self.pick(D.PROVINCES, s + '.p')}"
+
+    def address(self, s: str) -> str:
+        tail = f"{self.pick(D.WARDS, s + '.w')} || ', ' || {self.city(s)}"
+        street = self.pick(D.STREETS, s + ".st")
+        w = lambda low, high, x: self.whole(low, high, f"{s}.{x}")
+        return f"""CASE {w(0, 3, 'style')} WHEN 0 THEN 'Thôn ' || {self.pick(D.HAMLETS, s + '.h')} || ', ' || {tail} WHEN 1 THEN {w(1, 300, 'no')} || ' ' || {street} || ', ' || {tail} WHEN 2 THEN {tail}
+      ELSE {w(1, 999, 'a')} || '/' || {w(1, 99, 'b')} || '/' || {w(1, 30, 'c')} || ' ' || {street} || ', KP' || {w(1, 5, 'kp')} || ', ' || {tail} END"""
+
+
+def dmy(day: str) -> str:
+    return f"strftime({day}, '%d/%m/%Y')"
+
+
+def records_sql(fields: dict[str, str]) -> str:
+    return "SELECT row_id, " + ", ".join(f"{v} AS {n}" for n, v in fields.items()) + " FROM (SELECT unnest(range(0, 500)) AS row_id)"
+
+
 def gen_gplx_sql() -> str:
-    seed = "42|gplx"
-    u = lambda s: uniform(q(seed), "row_id", q(s))
-    whole = lambda low, high, s: f"CAST({low} + floor({u(s)} * {high - low + 1}) AS BIGINT)"
-    day = lambda first, span, s: f"(DATE '{first}' + CAST({whole(0, span, s)} AS INTEGER))"
-    digits = " || ".join(f"CAST({whole(0, 9, f'id{i}')} AS VARCHAR)" for i in range(12))
-    tail = f"{choose(D.WARDS, u('home.w'))} || ', ' || {choose(D.DISTRICTS, u('home.d'))} || ', ' || {choose(D.PROVINCES, u('home.p'))}"
-    street = choose(D.STREETS, u("home.st"))
-    address = f"""CASE {whole(0, 3, 'home.style')} WHEN 0 THEN 'Thôn ' || {choose(D.HAMLETS, u('home.h'))} || ', ' || {tail} WHEN 1 THEN {whole(1, 300, 'home.no')} || ' ' || {street} || ', ' || {tail} WHEN 2 THEN {tail}
-      ELSE {whole(1, 999, 'home.a')} || '/' || {whole(1, 99, 'home.b')} || '/' || {whole(1, 30, 'home.c')} || ' ' || {street} || ', KP' || {whole(1, 5, 'home.kp')} || ', ' || {tail} END"""
-    fmt = "'%d/%m/%Y'"
-    return f"""SELECT row_id, {digits} AS id_number, upper({name_sql(seed, D.DRIVER_NAMES, 'name')}) AS full_name, strftime({day('1970-01-01', 13148, 'dob')}, {fmt}) AS date_of_birth, 'Việt Nam' AS nationality, {address} AS address,
-strftime({day('2015-01-01', 3000, 'issue')}, {fmt}) AS issue_date, strftime({day('2015-01-01', 3000, 'issue')} + 3650, {fmt}) AS expiry_date, {choose(D.LICENCE_CLASSES, u('class'))} AS class FROM (SELECT unnest(range(0, 500)) AS row_id)"""
+    d = Slots("gplx")
+    issue = d.day("2015-01-01", 3000, "issue")
+    return records_sql({"id_number": d.digits(12, "id"), "full_name": f"upper({d.name(D.DRIVER_NAMES, 'name')})", "date_of_birth": dmy(d.day("1970-01-01", "2005-12-31", "dob")), "nationality": "'Việt Nam'", "address": d.address("home"), "issue_date": dmy(issue), "expiry_date": dmy(f"({issue} + 3650)"), "class": d.pick(D.LICENCE_CLASSES, "class")})
+
+
+def gen_cccd_sql() -> str:
+    d = Slots("cccd")
+    return records_sql({"id_number": d.digits(12, "id"), "full_name": f"upper({d.name(D.PERSON_NAMES, 'name')})", "date_of_birth": dmy(d.day("1960-01-01", "2005-12-31", "dob")), "gender": d.pick(D.GENDERS, "gender"), "nationality": q(D.NATIONALITY), "place_of_origin": d.city("origin"),
+                        "place_of_residence": d.address("home"), "date_of_expiry": dmy(f"({d.day('2016-01-01', 3000, 'issue')} + 3650)")})
+
+
+def gen_birth_sql() -> str:
+    d = Slots("giay_khai_sinh")
+    born = d.day("2010-01-01", 5000, "dob")
+    return records_sql({"id_number": d.digits(12, "id"), "full_name": f"upper({d.name(D.CHILD_NAMES, 'name')})", "gender": d.pick(D.GENDERS, "gender"), "date_of_birth": dmy(born), "dob_text": "'Một ngày nào đó'", "place_of_birth": d.city("birth"), "ethnicity": "'Kinh'", "nationality": q(D.NATIONALITY),
+                        "father_name": f"upper({d.name(D.CHILD_NAMES, 'father')})", "mother_name": f"upper({d.name(D.CHILD_NAMES, 'mother')})", "registration_place": d.city("office"), "registration_date": dmy(f"({born} + CAST({d.whole(1, 30, 'wait')} AS INTEGER))")})
+
+
+def gen_vehicle_sql() -> str:
+    d = Slots("vehicle_registration")
+    day = d.day("2015-01-01", "2025-12-31", "day")
+    series = f"{d.pick(D.PLATE_PROVINCES, 'plate.p')} || {d.pick(D.PLATE_LETTERS, 'plate.l')}"
+    plate = f"CASE WHEN {d.u('plate')} < 0.5 THEN {series} || {d.text(0, 9, 'plate.d')} || ' ' || {d.text(10000, 99999, 'plate.n')} ELSE {series} || '-' || {d.text(100, 999, 'plate.a')} || '.' || {d.text(10, 99, 'plate.b')} END"
+    return records_sql({"owner_name": f"upper({d.name(D.DRIVER_NAMES, 'name')})", "owner_address": d.address("home"), "plate_number": plate, "id_number": d.digits(8, "id"), "vehicle_type": d.pick(D.VEHICLE_TYPES, "type"), "brand": d.pick(D.BRANDS, "brand"), "model_code": d.pick(D.MODELS, "model"),
+                        "engine_number": f"{d.pick(D.ENGINE_PREFIXES, 'engine')} || {d.digits(7, 'engine')}", "chassis_number": f"{d.pick(D.CHASSIS_PREFIXES, 'chassis')} || {d.digits(10, 'chassis')}", "color": d.pick(D.COLORS, "color"), "manufacture_year": d.text(2010, 2024, "year"),
+                        "manufacture_country": d.pick(D.COUNTRIES, "country"), "registration_date": dmy(day), "expiry_date": dmy(f"({day} + 730)")})
+
+
+def gen_discharge_sql() -> str:
+    d = Slots("giay_ra_vien")
+    name, case, admit = d.name(D.PATIENT_NAMES, "name"), d.u("case"), d.day("2020-01-01", 1500, "admit")
+    born = d.day("1940-01-01", "2020-12-31", "dob")
+    one, two = (f"{d.pick([b for _, b in D.DIAGNOSES], s)} || ' (' || {d.pick([a for a, _ in D.DIAGNOSES], s)} || ')'" for s in ("diagnosis", "diagnosis2"))
+
+    def when(day: str, s: str) -> str:
+        hour, minute = d.text(6, 22, f"{s}.h"), f"lpad({d.text(0, 59, f'{s}.m')}, 2, '0')"
+        long, short = f"strftime({day}, 'ngày %-d tháng %-m năm %Y')", f"strftime({day}, '%-d/%-m/%Y')"
+        return f"CASE {d.whole(0, 3, 'format')} WHEN 0 THEN {hour} || ' giờ ' || {minute} || ' phút, ' || {long} WHEN 1 THEN {hour} || ' giờ ' || {minute} || ' ' || {long} WHEN 2 THEN {short} ELSE {long} END"
+
+    groups = [f"substr({d.digits(5, f'bhxh{i}')}, 1, {d.whole(3, 5, f'bhxh.len{i}')})" for i in range(3)]
+    insurance = f"CASE {d.whole(0, 2, 'bhxh')} WHEN 0 THEN 'GD' || {d.digits(13, 'bhxh')} WHEN 1 THEN 'HS ' || {groups[0]} || ' ' || {groups[1]} || ' ' || {groups[2]} ELSE 'GD ' || {d.text(1, 9, 'bhxh.a')} || ' ' || {d.text(10, 99, 'bhxh.b')} || ' ' || {d.digits(11, 'bhxh.c')} END"
+    return records_sql({"hospital_name": d.pick([a for a, _ in D.HOSPITALS], "hospital"), "dept_mgmt": d.pick([b for _, b in D.HOSPITALS], "hospital"), "department": d.pick(D.DEPARTMENTS, "department"), "medical_code": f"{d.text(20, 24, 'med.y')} || '.' || lpad({d.text(1000, 99999, 'med.n')}, 6, '0')",
+                        "patient_name": f"CASE WHEN {case} < 0.4 THEN upper({name}) WHEN {case} < 0.7 THEN {name} ELSE lower({name}) END", "patient_dob": f"CASE WHEN {d.u('year only')} < 0.3 THEN strftime({born}, '%Y') ELSE {dmy(born)} END",
+                        "patient_gender": d.pick(D.GENDERS, "gender"), "patient_ethnicity": d.pick(D.ETHNICITIES, "ethnicity"), "patient_occupation": d.pick(D.OCCUPATIONS, "occupation"), "patient_address": d.address("home"), "bhxh_code": insurance,
+                        "admission_date": when(admit, "in"), "discharge_date": when(f"({admit} + CAST({d.whole(1, 20, 'stay')} AS INTEGER))", "out"), "diagnosis": f"CASE WHEN {d.u('two')} < 0.4 THEN {one} || '; ' || {two} ELSE {one} END", "treatment_method": d.pick(D.TREATMENTS, "treatment"), "notes": d.pick(D.NOTES, "notes")})
+
+
+def extract_sql() -> str:
+    from .extract import GENERAL_MAPPING, GENERAL_RULES
+
+    label = "CASE " + " ".join(f"WHEN regexp_matches(token, {q(p)}) THEN {q(n.upper())}" for p, n in GENERAL_RULES) + " END"
+    value = f"(SELECT {trim_bleed('NUMBER', 'x')} FROM (SELECT token AS x))"
+    fields = ", ".join(f"coalesce(max(v) FILTER (type = '{t}'" + (rf" AND regexp_matches(regexp_replace(v, {q(WS)}, '', 'g'), '^[0-9]{{9,13}}$')" if t == "ID_NUMBER" else "") + f"), '') AS {f}" for t, f in GENERAL_MAPPING.items())
+    return f"""WITH documents_tidy AS (SELECT doc_id, {TIDY} AS text FROM (SELECT doc_id, text AS x FROM documents)), {TOKENS.replace('FROM documents', 'FROM documents_tidy')},
+named AS (SELECT doc_id, tok_idx, token, {label} AS type FROM tok),
+firsts AS (SELECT doc_id, type, token FROM named WHERE type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, type ORDER BY tok_idx) = 1),
+ent AS (SELECT doc_id, type, {value} AS v FROM firsts),
+fields AS (SELECT d.doc_id, {fields} FROM documents d LEFT JOIN ent USING (doc_id) GROUP BY d.doc_id),
+{keyword_sql('doc_id', 'documents_tidy')}, best AS (SELECT doc_id, sum(score) AS total, arg_min(doc_type, struct_pack(a := -score, b := ord)) AS best, max(score) AS top FROM scores GROUP BY doc_id),
+decision AS (SELECT *, CASE WHEN total > 0 THEN round(top / total, 4) ELSE 0 END AS confidence FROM best)
+SELECT f.*, CASE WHEN total > 0 AND confidence >= 0.25 THEN best END AS doc_type, confidence, CASE WHEN total > 0 THEN 'keyword' ELSE 'none' END AS method FROM fields f JOIN decision USING (doc_id)"""
 
 
 def padded(x: str, pattern: str) -> str:
@@ -295,6 +391,7 @@ SELECT doc_id, len(l) AS n, len(list_filter(l, lambda x: x = 1)) AS n_names, len
     "validate_entities": valid_sql("sdk"),
     "validate_entities_repo": valid_sql("repo"),
     "schema_map": f"WITH {entities()}, {CLEANED} SELECT d.doc_id, " + ", ".join(f"coalesce(max(text) FILTER (type = '{t}'), '') AS {f}" for t, f in Q.TYPE_FIELDS.items()) + " FROM (SELECT doc_id FROM documents) d LEFT JOIN ded USING (doc_id) GROUP BY d.doc_id",
+    "schema_map_valid": f"WITH {entities()}, {CLEANED} SELECT d.doc_id, " + ", ".join(f"coalesce(max(text) FILTER (type = '{t}'" + (f" AND (upper({strip('text')}) IN ({listed(C.GENDERS)[1:-1]}) OR {strip('text')} IN ('Nam', 'Nữ'))" if t == "GENDER" else "") + f"), '') AS {f}" for t, f in Q.TYPE_FIELDS.items()) + " FROM (SELECT doc_id FROM documents) d LEFT JOIN ded USING (doc_id) GROUP BY d.doc_id",
     "schema_map_conf": f"WITH {entities()}, {CLEANED} SELECT d.doc_id, " + ", ".join(f"coalesce(max(text) FILTER (type = '{t}'), '') AS {f}, coalesce(max(confidence) FILTER (type = '{t}'), 0.0) AS {f}_conf" for t, f in (("NAME", "full_name"), ("GENDER", "gender"))) + " FROM (SELECT doc_id FROM documents) d LEFT JOIN ded USING (doc_id) GROUP BY d.doc_id",
     "tfidf_weights": f"WITH {corpus_sql()} SELECT doc_type, term, round(weight, 4) AS weight, round(idf, 4) AS idf FROM idx",
     "tfidf_detect": rf"""WITH {corpus_sql()}, qw AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '')) AS term FROM documents),
@@ -317,7 +414,7 @@ SELECT doc_id, CASE WHEN total > 0 AND share >= 0.25 THEN best END AS doc_type,
 p AS (SELECT *, CASE WHEN sum(score) OVER (PARTITION BY key) > 0 THEN round(score / sum(score) OVER (PARTITION BY key), 4) ELSE 0 END AS share FROM scores)
 SELECT key, row_number() OVER (PARTITION BY key ORDER BY share DESC, ord) AS rank, doc_type, share FROM p QUALIFY row_number() OVER (PARTITION BY key ORDER BY share DESC, ord) <= 2""",
     "cosine_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.v, b.v), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.v, b.v), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 3""",
     "rules_build": rules_sql(),
     "entity_f1": score_sql(),
@@ -329,6 +426,11 @@ SELECT c_mktsegment, count(*) FILTER (want <> '' AND lower(want) = lower(coalesc
 SELECT t AS doc_type, {ITEM_SPACED} AS name, CASE WHEN k % 2 = 0 THEN 'o/phobert-' || t || '-ner' END AS repo_id, CASE WHEN k % 2 = 0 THEN 'hub' ELSE 'local' END AS source, k % 2 = 0 AS hub_verified, CASE WHEN k % 2 = 0 THEN 'b,c' ELSE 'a' END AS tags FROM n WHERE k % 3 <> 0 OR k % 2 = 0""",
     "registry_ttl": "SELECT event_type, count(*) FILTER (CAST(floor(epoch((SELECT max(ts) FROM events))) AS BIGINT) - CAST(floor(epoch(ts)) AS BIGINT) <= 86400) AS n_fresh, count(*) AS n FROM events GROUP BY event_type",
     "gen_gplx": gen_gplx_sql(),
+    "gen_cccd": gen_cccd_sql(),
+    "gen_giay_khai_sinh": gen_birth_sql(),
+    "gen_vehicle_registration": gen_vehicle_sql(),
+    "gen_giay_ra_vien": gen_discharge_sql(),
+    "extract_auto": extract_sql(),
     "render_template": """WITH r AS (SELECT c_custkey, c_name AS n, upper(c_mktsegment) AS s, CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS b FROM customer),
 p AS (SELECT *, 6 AS a1, 6 + length(n) + 9 AS a2, 6 + length(n) + 9 + length(s) + 13 AS a3 FROM r)
 SELECT c_custkey, 'Name: ' || n || chr(10) || 'Segment ' || s || ' ()' || chr(10) || 'Balance: ' || b || '.' AS text,

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 BIO = "tokens array<string>, ner_tags array<string>"
 ANNOTATIONS = "text string, entities array<struct<start:int,end:int,label:string>>"
 #: What a saved model needs to be used, and what a repository should not hold.
-INFERENCE_FILES = ("config.json", "model.safetensors", "pytorch_model.bin", "tokenizer_config.json", "special_tokens_map.json", "vocab.txt", "bpe.codes", "added_tokens.json", "tokenizer.json", "labels.json", "README.md")
-JUNK = ("checkpoint-", "optimizer.pt", "scheduler.pt", "rng_state", "trainer_state.json", "training_args.bin", "runs/")
+INFERENCE_FILES = ("config.json", "model.safetensors", "pytorch_model.bin", "tokenizer.json", "tokenizer_config.json", "vocab.txt", "bpe.codes", "special_tokens_map.json", "added_tokens.json", "label_map.json", "README.md", ".gitattributes")
+JUNK = ("checkpoint-", "optimizer.pt", "scheduler.pt", "trainer_state.json", "training_args.bin", "runs/", "logs/")
 
 
 def _yaml(path: str):
