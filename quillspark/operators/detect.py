@@ -51,6 +51,19 @@ def build_rules(templates: DataFrame) -> DataFrame:
     return own.unionByName(exclude.select("doc_type", F.lit("exclude").alias("kind"), "keyword", (F.row_number().over(order) - 1).cast("long").alias("ord")))
 
 
+def schema_rules(fields: DataFrame) -> DataFrame:
+    """doc_type, kind, keyword, ord where only schemas (doc_type, ord, field) are known: field names as weak keywords."""
+    return fields.select("doc_type", F.lit("weak").alias("kind"), F.replace("field", F.lit("_"), F.lit(" ")).alias("keyword"), F.col("ord").cast("long").alias("ord"))
+
+
+def discover(templates: dict | None = None, rules: dict | None = None, schemas: dict | None = None) -> tuple[str, dict]:
+    """Where rules come from and the rules: of templates, else a table of rules, else schemas, else built in."""
+    for origin, found in (("templates", templates), ("rules", rules), ("schemas", schemas)):
+        if found:
+            return origin, found
+    return "built-in", BUILT_IN_RULES
+
+
 def template_corpus(templates: DataFrame, fields: DataFrame) -> DataFrame:
     """doc_type, corpus: the bodies with placeholders as words, and the schema's field names three times."""
     words = F.regexp_replace("body", r"\{\{\s*([A-Za-z0-9_.()]+)\s*\}\}", " $1 ")

@@ -66,6 +66,18 @@ class RuleLabeler:
         return labelled(tokens, named, lambda x, i: F.when(x["label"] == "O", 0.5).otherwise(1.0))
 
 
+class IdLabeler:
+    """Labels and confidences that follow from the sub-word id alone, in the place of a model."""
+
+    def __init__(self, labels: list[str]) -> None:
+        self.labels = labels
+
+    def label_windows(self, windows: DataFrame, *key: str) -> DataFrame:
+        rows = windows.select(*key, "win", "start", F.posexplode("ids").alias("i", "id"))
+        label = F.element_at(F.array(*map(F.lit, self.labels)), (F.col("id") % len(self.labels) + 1).cast("int"))
+        return rows.select(*key, "win", (F.col("start") + F.col("i")).alias("pos"), label.alias("label"), (F.col("id") % 64 / 64.0).cast("double").alias("conf"))
+
+
 class ModelLabeler:
     """A model loaded once per Python worker: ``load()`` gives a function from lists of id windows to
     (labels, confidences) per position."""

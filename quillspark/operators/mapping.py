@@ -20,6 +20,22 @@ DEFAULT_MAPPINGS = {
     },
 }
 
+#: The other set of defaults, whose fields are named like their types.
+REPO_TYPES = {
+    "cccd": ("ID_NUMBER", "FULL_NAME", "DOB", "GENDER", "NATIONALITY", "PLACE_OF_ORIGIN", "PLACE_OF_RESIDENCE", "DATE_OF_EXPIRY"),
+    "giay_ra_vien": ("HOSPITAL_NAME", "DEPT_MGMT", "DEPARTMENT", "MEDICAL_CODE", "PATIENT_NAME", "PATIENT_DOB", "PATIENT_GENDER", "PATIENT_ETHNICITY", "PATIENT_OCCUPATION", "PATIENT_ADDRESS", "BHXH_CODE", "ADMISSION_DATE", "DISCHARGE_DATE", "DIAGNOSIS", "TREATMENT_METHOD", "NOTES"),
+    "vehicle_registration": ("OWNER_NAME", "OWNER_ADDRESS", "PLATE_NUMBER", "VEHICLE_TYPE", "BRAND", "MODEL_CODE", "ENGINE_NUMBER", "CHASSIS_NUMBER", "MANUFACTURE_YEAR", "MANUFACTURE_COUNTRY", "EXPIRY_DATE", "REGISTRATION_DATE"),
+    "gplx": ("ID_NUMBER", "FULL_NAME", "DOB", "NATIONALITY", "ADDRESS", "ISSUE_DATE", "EXPIRY_DATE", "CLASS"),
+    "giay_khai_sinh": ("ID_NUMBER", "FULL_NAME", "GENDER", "DOB", "DOB_TEXT", "PLACE_OF_BIRTH", "ETHNICITY", "NATIONALITY", "FATHER_NAME", "MOTHER_NAME", "REGISTRATION_PLACE", "REGISTRATION_DATE"),
+}
+REPO_MAPPINGS = {t: {e: "date_of_birth" if e == "DOB" else e.lower() for e in types} for t, types in REPO_TYPES.items()}
+
+
+def json_fields(entities: DataFrame, *key: str) -> DataFrame:
+    """key, record: a JSON object of lower-case type to text, in order of type."""
+    listed = F.array_sort(F.collect_list(F.struct(F.lower("type").alias("key"), F.col("text").alias("value"))))
+    return entities.groupBy(*key).agg(F.to_json(F.map_from_entries(listed)).alias("record"))
+
 
 def map_entity_arrays(rows: DataFrame, mapping: dict[str, str], *key: str, entities: str = "entities", fields: list[str] | None = None, clean: bool = True, validate: bool = True, with_confidence: bool = False) -> DataFrame:
     """``map_entities`` for documents that carry their entities as an array in order: one projection, no shuffle."""

@@ -41,14 +41,19 @@ def best_metric(logs: DataFrame, *key: str, metric: str = "eval_f1") -> DataFram
     return logs.groupBy(*key).agg(F.max(metric).alias("best"))
 
 
-def run_status(generated: Column, trained: Column, f1: Column, has_token: Column, published: Column, least_f1: float = 0.2) -> Column:
-    """Where a run stopped, or ``published``."""
+def run_status(generated: Column, trained: Column, f1: Column, has_token: Column, published: Column, least_f1: float = 0.2, failed: Column | None = None) -> Column:
+    """Where a run stopped, or ``published``; ``error`` where it broke off in some other way (``failed``)."""
     return (
-        F.when(~generated, "generate_failed").when(~trained, "train_failed").when(F.coalesce(f1, F.lit(0.0)) < least_f1, "low_f1")
+        F.when(F.lit(False) if failed is None else failed, "error").when(~generated, "generate_failed").when(~trained, "train_failed").when(F.coalesce(f1, F.lit(0.0)) < least_f1, "low_f1")
         .when(~has_token, "no_hf_token").when(~published, "publish_failed").otherwise("published")
     )
 
 
+def legacy_report(scores: DataFrame) -> DataFrame:
+    """precision, recall, f1 over all types of ``entity_scores``; by_type is empty, as keys by prefix find nothing there."""
+    return scores.where("type IS NULL").select("precision", "recall", "f1", F.lit("").alias("by_type"))
+
+
 def split_counts(rows: DataFrame, split: str = "split") -> DataFrame:
     return rows.groupBy(split).agg(F.count("*").alias("n"))
 

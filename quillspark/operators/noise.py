@@ -29,6 +29,13 @@ def noisy_character(c: Column, u, level: float) -> Column:
     )
 
 
+def line_noise(text: Column, key: Column, share: float = 0.25, seed: int = 42) -> Column:
+    """A stray word before or after a line, for a share of lines."""
+    u = lambda s: uniform(seed, key, s)
+    token = pick(D.NOISE_TOKENS, u("token"))
+    return F.when(u("line") < share, F.when(u("side") < 0.5, F.concat(token, F.lit(" "), text)).otherwise(F.concat(text, F.lit(" "), token))).otherwise(text)
+
+
 def add_noise(records: DataFrame, key: str, level: float, seed: int = 42, text: str = "text", entities: str = "entities") -> DataFrame:
     """Records with noisy ``text`` and ``entities`` moved with it.
 

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import locate
+from ..functions.text import locate, uniform
 
 PLACEHOLDER = re.compile(r"\{\{\s*(\w+)\s*(\.upper\(\))?\s*\}\}")
 
@@ -21,6 +21,23 @@ def parse_template(body: str) -> list[tuple[str, str, bool]]:
     return [*out, (body[at:], "", False)]
 
 
+def template_shape(templates: DataFrame) -> DataFrame:
+    """doc_type, n_templates, fields (distinct, sorted) of (doc_type, template_idx, body)."""
+    shown = F.regexp_extract_all("body", F.lit(PLACEHOLDER.pattern), F.lit(1))
+    rows = templates.select("doc_type", "template_idx", F.explode_outer(shown).alias("field"))
+    return rows.groupBy("doc_type").agg(F.count_distinct("template_idx").alias("n_templates"), F.array_join(F.array_sort(F.collect_set("field")), ",").alias("fields"))
+
+
+def given_template(index: Column, n: int) -> Column:
+    """A given number, modulo the number of templates."""
+    return F.pmod(index, F.lit(n)).cast("long")
+
+
+def drawn_template(key: Column, n: int, seed: int = 42) -> Column:
+    """A template drawn evenly."""
+    return F.floor(uniform(seed, key, "template") * n).cast("long")
+
+
 def render(records: DataFrame, body: str, schema_fields: list[str], text: str = "text", entities: str = "entities") -> DataFrame:
     """``text`` and ``entities`` (label, start, end, value) added to records of string columns.
 

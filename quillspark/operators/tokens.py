@@ -92,7 +92,9 @@ def missing_types(samples: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def known_annotations(records: DataFrame, labels: list[str]) -> DataFrame:
-    """Annotations whose type is among the labels' (B-x, I-x) and whose span is sound; empty texts go."""
+    """Annotations whose type is among the labels' (B-x, I-x) and whose span is sound; empty texts go.
+    ``n_unknown``: how many had a type that is not there."""
     types = F.array(*(F.lit(x) for x in sorted({label[2:] for label in labels if "-" in label})))
     sound = F.filter("entities", lambda e: F.array_contains(types, e["label"]) & (e["start"] >= 0) & (e["end"] >= 0) & (e["label"] != ""))
-    return records.where(F.coalesce(F.col("text"), F.lit("")) != "").withColumn("entities", sound)
+    unknown = F.filter("entities", lambda e: ~F.array_contains(types, e["label"]))
+    return records.where(F.coalesce(F.col("text"), F.lit("")) != "").withColumn("n_unknown", F.size(unknown)).withColumn("entities", sound)
