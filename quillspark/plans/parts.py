@@ -84,8 +84,7 @@ def _encode(token: str) -> list[int]:
 
 def predict_windows(spark: SparkSession, sf: str) -> DataFrame:
     """The whole model path: sub-words, windows, labels, merge, words, entities."""
-    out = predict(table(spark, sf, "documents").select("doc_id", "text"), _encode, IdLabeler(NAME_LABELS), "doc_id")
-    return out.select("doc_id", "ord", "type", "text", "start", "end", "label", F.round("confidence", 3).alias("confidence"))
+    return predict(table(spark, sf, "documents").select("doc_id", "text"), _encode, IdLabeler(NAME_LABELS), "doc_id")
 
 
 def _samples(spark: SparkSession, sf: str) -> DataFrame:

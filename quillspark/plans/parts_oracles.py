@@ -96,7 +96,7 @@ s AS (SELECT CASE WHEN k % 13 = 0 THEN 'error' WHEN k % 11 = 0 THEN 'generate_fa
     "train_window_arrays": f"WITH {FRAMED} SELECT doc_id, win, {sha('input_ids')}, {sha('attention_mask')}, {sha('labels')} FROM framed",
     "truncated_arrays": f"WITH {IDS} SELECT doc_id, len(ids[1:128]) AS n, sha256(array_to_string(ids[1:128], ',')) AS cut FROM ids",
     "label_range": f"WITH {FRAMED} SELECT CAST(sum(len(list_filter(labels, lambda x: x >= 4))) AS BIGINT) AS n_bad, count(*) AS n_windows FROM framed",
-    "predict_windows": f"""{PREDICTED}, closed AS{ENT_OF_PREDICTED} SELECT doc_id, ord, type, text, start, "end", label, round(confidence, 3) AS confidence FROM ent""",
+    "predict_windows": f"""{PREDICTED}, closed AS{ENT_OF_PREDICTED} SELECT * FROM ent""",
     "bio_samples": f"""WITH t AS {SAMPLE_TAGS}, g AS (SELECT doc_id, count(*) AS n, string_agg(token, ' ' ORDER BY tok_idx) AS tokens, string_agg(label, ' ' ORDER BY tok_idx) AS tags, bool_or(label LIKE '%-alpha') AS a, bool_or(label LIKE '%-beta') AS b FROM t GROUP BY doc_id)
 SELECT doc_id, n, sha256(tokens) AS tokens, sha256(tags) AS ner_tags, CASE WHEN a AND b THEN '' WHEN a THEN 'beta' WHEN b THEN 'alpha' ELSE 'alpha,beta' END AS missing FROM g""",
     "known_annotations": f"{KNOWN} SELECT doc_id, coalesce(n_known, 0) AS n_known, coalesce(n_unknown, 0) AS n_unknown FROM documents LEFT JOIN known USING (doc_id) WHERE text <> ''",
