@@ -8,7 +8,8 @@ and one dynamic program over a region chooses boundaries and types jointly, with
 segments of at most ``MOST_TOKENS`` tokens. Regions are the neighbourhoods of
 tokens with a digit, an at sign or a spelt-out sign (``at``, ``[at]``, ``(at)``,
 ``dot``, ``[dot]``, ``(dot)``), however long; only those of the training sample are
-cut, after ``LONGEST_REGION`` tokens.
+cut, after ``LONGEST_REGION`` tokens. Features and scores are held for ``BLOCK_TOKENS``
+tokens at a time, so a long text full of numbers costs little more memory than its tokens.
 
 Training is log-likelihood over segmentations (forward-backward) on at most
 ``TRAIN_REGIONS`` regions with base spans and as many without, the smallest of each
@@ -29,6 +30,7 @@ import hashlib
 import math
 import random
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +47,12 @@ SURE = 0.97
 MOST_TOKENS = 7
 CONTEXT = 3
 LONGEST_REGION = 48
+BLOCK_TOKENS = 4096
 
 # The base patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match never starts behind a digit or gives digits back, so saying so changes none and keeps long runs of digits linear.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -177,48 +181,69 @@ class SemiCRF:
         self.w = np.zeros((len(self.ids) + 1, len(KINDS) + 1)) if weights is None else weights  # the last row: features never seen
         self.blank: set[str] = set()
 
-    def scored(self, text: str, tokens: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], np.ndarray]:
-        """All segments by end, and the rows of their features, whose names are not kept."""
-        segments = [(i, j) for j in range(1, len(tokens) + 1) for i in range(max(0, j - MOST_TOKENS), j)]
+    def scored(self, text: str, tokens: list[tuple[int, int]], after: int, upto: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """The segments that end after token ``after`` and by ``upto``, by end, and their scores; names of features are not kept."""
+        segments = ends(after, upto)
         none = len(self.ids)
         rows = np.fromiter((self.ids.get(x, none) for i, j in segments for x in features(text, tokens, i, j)), np.int32)
-        return segments, rows.reshape(len(segments), -1)
+        return segments, self.scores(segments, rows.reshape(len(segments), -1))
 
     def lattice(self, text: str, tokens: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[list[str]]]:
         """All segments (i, j) by end, and their features."""
-        segments = [(i, j) for j in range(1, len(tokens) + 1) for i in range(max(0, j - MOST_TOKENS), j)]
+        segments = ends(0, len(tokens))
         return segments, [features(text, tokens, i, j) for i, j in segments]
 
     def rows(self, names: list[list[str]]) -> np.ndarray:
         return np.array([[self.ids.get(x, len(self.ids)) for x in f] for f in names], np.int64)
 
-    def marginals(self, segments: list[tuple[int, int]], rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-        """The probability of each (segment, label), and the best segmentation as (segment, label) pairs.
-
-        One bounded dynamic program each way: a place is reached by segments of at most MOST_TOKENS tokens.
-        """
-        scores = np.zeros((len(rows), self.w.shape[1]))
+    def scores(self, segments: list[tuple[int, int]], rows: np.ndarray) -> np.ndarray:
+        """The score of each (segment, label); only single tokens can be ordinary text."""
+        out = np.zeros((len(rows), self.w.shape[1]))
         for column in rows.T:  # one feature at a time: a long region's weights are not all held at once
-            scores += self.w[column]
+            out += self.w[column]
         first, last = np.array(segments).T
-        scores[last - first > 1, 0] = -np.inf
-        top = scores.max(axis=1)
-        total = (top + np.log(np.exp(scores - top[:, None]).sum(axis=1))).tolist()
-        label, n = scores.argmax(axis=1), int(last[-1])
-        ahead, back, best, via = [-math.inf] * (n + 1), [-math.inf] * (n + 1), [-math.inf] * (n + 1), [-1] * (n + 1)
-        ahead[0] = back[n] = best[0] = 0.0
-        for k, (i, j) in enumerate(segments):
-            ahead[j] = _log_add(ahead[j], ahead[i] + total[k])
-            if best[i] + top[k] > best[j]:
-                best[j], via[j] = best[i] + top[k], k
-        for i, j, t in zip(first[::-1].tolist(), last[::-1].tolist(), total[::-1]):
+        out[last - first > 1, 0] = -np.inf
+        return out
+
+    def marginals(self, segments: list[tuple[int, int]], rows: np.ndarray) -> np.ndarray:
+        """The probability of each (segment, label), by a bounded dynamic program each way."""
+        scores = self.scores(segments, rows)
+        total, n = _log_sums(scores), segments[-1][1]
+        ahead, back = _outside(n)
+        for (i, j), t in zip(segments, total):
+            ahead[j] = _log_add(ahead[j], ahead[i] + t)
+        for (i, j), t in zip(reversed(segments), reversed(total)):
             back[i] = _log_add(back[i], back[j] + t)
-        p = np.exp(np.minimum(0.0, np.array(ahead)[first][:, None] + scores + np.array(back)[last][:, None] - ahead[n]))
+        first, last = np.array(segments).T
+        return np.exp(np.minimum(0.0, np.array(ahead)[first][:, None] + scores + np.array(back)[last][:, None] - ahead[n]))
+
+    def segmentation(self, text: str, tokens: list[tuple[int, int]], block: int = BLOCK_TOKENS) -> list[tuple[int, int, int, float]]:
+        """The best segmentation as (first token, end, label, probability).
+
+        A place is reached by segments of at most MOST_TOKENS tokens. Features and scores are
+        held for ``block`` tokens at a time; of the rest, one number per segment stays.
+        """
+        n = len(tokens)
+        ahead, back = _outside(n)
+        best, start, label, score = array("d", [-math.inf]) * (n + 1), array("l", [-1]) * (n + 1), array("b", [0]) * (n + 1), array("d", [0.0]) * (n + 1)
+        best[0], totals = 0.0, []
+        for after in range(0, n, block):
+            segments, scores = self.scored(text, tokens, after, min(after + block, n))
+            total, top, which = _log_sums(scores), scores.max(axis=1).tolist(), scores.argmax(axis=1).tolist()
+            for k, (i, j) in enumerate(segments):
+                ahead[j] = _log_add(ahead[j], ahead[i] + total[k])
+                if best[i] + top[k] > best[j]:
+                    best[j], start[j], label[j], score[j] = best[i] + top[k], i, which[k], top[k]
+            totals.append(array("d", total))
+        for after in reversed(range(0, n, block)):
+            for (i, j), t in zip(reversed(ends(after, min(after + block, n))), reversed(totals.pop())):
+                back[i] = _log_add(back[i], back[j] + t)
         path, at = [], n
         while at > 0:
-            path.append((via[at], int(label[via[at]])))
-            at = segments[via[at]][0]
-        return p, path[::-1]
+            i = start[at]
+            path.append((i, at, label[at], math.exp(min(0.0, ahead[i] + score[at] + back[at] - ahead[n]))))
+            at = i
+        return path[::-1]
 
     def train(self, examples: list[tuple[str, dict[tuple[int, int], int]]], rounds: int = ROUNDS, rate: float = 1.0) -> None:
         """Stochastic gradient of the log-likelihood; examples: region text and {core span: label}."""
@@ -242,7 +267,7 @@ class SemiCRF:
         for turn in range(rounds):
             order.shuffle(made)
             for segments, rows, wanted in made:
-                p, _ = self.marginals(segments, rows)
+                p = self.marginals(segments, rows)
                 np.add.at(self.w, rows, (rate / (1 + 0.2 * turn) * (wanted - p))[:, None, :])
 
     def spans(self, text: str, tokens: list[tuple[int, int]], sure: float = SURE) -> list[tuple[str, int, int]]:
@@ -250,11 +275,27 @@ class SemiCRF:
         key = None if HOT.search(part) else f"{sure} {outline(part)}"
         if key in self.blank:
             return []
-        segments, rows = self.scored(text, tokens)
-        p, path = self.marginals(segments, rows)
-        if key and len(self.blank) < MOST_BLANK and not any(y and p[k, y] >= sure for k, y in path):
+        found = [(i, j, y) for i, j, y, p in self.segmentation(text, tokens) if y and p >= sure]
+        if key and not found and len(self.blank) < MOST_BLANK:
             self.blank.add(key)
-        return [(KINDS[y - 1], *core(text, tokens[segments[k][0]][0], tokens[segments[k][1] - 1][1])) for k, y in path if y and p[k, y] >= sure]
+        return [(KINDS[y - 1], *core(text, tokens[i][0], tokens[j - 1][1])) for i, j, y in found]
+
+
+def ends(after: int, upto: int) -> list[tuple[int, int]]:
+    """The segments of at most MOST_TOKENS tokens that end after token ``after`` and by ``upto``, by end."""
+    return [(i, j) for j in range(after + 1, upto + 1) for i in range(max(0, j - MOST_TOKENS), j)]
+
+
+def _log_sums(scores: np.ndarray) -> list[float]:
+    top = scores.max(axis=1)
+    return (top + np.log(np.exp(scores - top[:, None]).sum(axis=1))).tolist()
+
+
+def _outside(n: int) -> tuple[array, array]:
+    """Nothing reached yet from either end of ``n`` tokens."""
+    ahead, back = array("d", [-math.inf]) * (n + 1), array("d", [-math.inf]) * (n + 1)
+    ahead[0] = back[n] = 0.0
+    return ahead, back
 
 
 def _log_add(a: float, b: float) -> float:
