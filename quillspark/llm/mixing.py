@@ -13,7 +13,8 @@
 4. Documents are chosen by length count in the order of a seeded hash. Large
    (source, length) groups are cut into hash buckets of about ``BUCKET_ROWS``
    rows; whole buckets are taken until the count is reached and only the last
-   one is ranked, so no task sorts a group.
+   one is ranked, so no task sorts a group; nor does one task meet such a group
+   with its counts.
 
 The same rows and seed give the same mix, however rows are partitioned.
 
@@ -37,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .neardup import text_key
+from .spread import spread_join
 from .storage import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -136,7 +138,8 @@ def mix_documents(docs: DataFrame, source: str = "source", weights: tuple[float,
     plan = settle(lengths.join(targets, "source_key").groupBy("source_key").applyInPandas(fit, "source_key string, size long, n long, source_size long, target double, full long, taken_n long"))
 
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
-    placed = rows.join(plan, ["source_key", "size"]).withColumn("draw", draw)
+    # a length that very many documents of a source have is met by many tasks
+    placed = spread_join(rows, plan.withColumn("rows", F.col("n")), ["source_key", "size"], "rows", ["doc_id", "text_key"]).withColumn("draw", draw)
     placed = placed.withColumn("bucket", F.floor(F.col("draw") * F.ceil(F.col("n") / BUCKET_ROWS) / float(1 << 40)).cast("long"))
     partly = (F.col("taken_n") > 0) & (F.col("taken_n") < F.col("n"))
     sure = placed.where(~partly).withColumn("extra", (F.col("taken_n") > 0).cast("long"))

@@ -4,7 +4,7 @@ from itertools import product
 
 import numpy as np
 
-from quillspark.llm import mixing
+from quillspark.llm import mixing, spread
 
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5):
@@ -104,3 +104,12 @@ def test_rows_come_as_often_as_taken(spark):
     have = {r: rows.count(r) for r in rows}
     assert all(out.count(r) <= 2 * n for r, n in have.items()) and set(out) <= set(have)
     assert mixing.repeat_taken(docs).schema.names == docs.columns and mixing.repeat_taken(docs.where("false")).collect() == []
+
+
+def test_a_split_length_gives_the_same_mix(spark, monkeypatch):
+    """A length that a third of all rows share is met by many tasks, with the same result."""
+    rows = [(i, "one two three", "a") for i in range(100)] + [(1000 + i, "w " * (1 + i % 40), "ab"[i % 2]) for i in range(200)] + [(None, "one two three", "a"), (7, "one two three", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = sorted(map(tuple, mixing.mix_documents(docs).collect()), key=str)
+    monkeypatch.setattr(spread, "HEAVY_ROWS", 10)
+    assert sorted(map(tuple, mixing.mix_documents(docs).collect()), key=str) == whole and len(whole) == len(rows)
