@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, pii, secrets, topk, warc
+from . import chat, periods, pii, secrets, topk, warc
+from .combos import similar_documents
 from .mixing import mix_documents
 from .neardup import near_duplicates
 from .pieces import encode_documents
 from .quality import judge_quality
 from .repeats import remove_repeats
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +58,20 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_report(periods.with_periodic_tail(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc_derivatives, op2_source_mixing, op3_secret_scans, op4_substring_dedup, op5_exact_topk, op6_quality_rules, op7_chat_formatting, op8_sentencepiece, op9_pii_semi_crf, op10_minhash_near_dedup)
+    for f in (op1_warc_derivatives, op2_source_mixing, op3_secret_scans, op4_substring_dedup, op5_exact_topk, op6_quality_rules, op7_chat_formatting, op8_sentencepiece, op9_pii_semi_crf, op10_minhash_near_dedup, op11_embedding_whitening, op12_ngram_jaccard_join, op13_periodic_runs)
 }
 ORACLES = {"op1_warc_derivatives": warc.derivative_sql(), "op3_secret_scans": secrets.report_sql(), "op5_exact_topk": topk.TOP_SQL, "op7_chat_formatting": chat.CHAT_SQL}

@@ -266,7 +266,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keyed: bool
     # class of a bucket or component is what its other members are measured against
     classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("buckets").alias("buckets"))
     classes = settle(classes.orderBy("rep").select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "buckets", F.monotonically_increasing_id().alias("node")))
-    found = _link_classes(own, classes, k, percent)
+    found = link_members(own, classes, classes.select(F.col("node").alias("rep"), F.explode("buckets").alias("bucket")), k, percent)
+    out = placed_documents(signed, classes, found).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out if keyed else out.drop("text_key", "group")
+
+
+def placed_documents(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, group of every signed document, from its class and the components found."""
     named = classes.select("node", "doc_id").join(found, "node")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("smallest"))
     placed = found.join(smallest, "component").select("node", "component", "smallest")
@@ -274,8 +280,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keyed: bool
     rows = signed.select("doc_id", "text_key", "n", "d1", "d2")
     linked = rows.where("n > 0 AND doc_id IS NOT NULL").join(mine, ["d1", "d2", "n"]).select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", "group")
     alone = rows.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
-    out = linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return out if keyed else out.drop("text_key", "group")
+    return linked.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -294,10 +299,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return stay.select("row.*").unionByName(whole.where(~judged).select("row.*"))
 
 
-def _link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, component) for classes that have a partner."""
+def link_members(docs: DataFrame, classes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) for classes that have a partner, if partners share some bucket of ``rows`` (rep: a class's node, bucket)."""
     spark = docs.sparkSession
-    rows = classes.select(F.col("node").alias("rep"), F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     members = settle(rows.join(shared.select("bucket", "lead"), "bucket"))
     wanted = members.select(F.col("rep").alias("node")).distinct().join(classes.select("node", "doc_id", "text_key"), "node")
