@@ -2,25 +2,26 @@
 
 1. Each text becomes the set of its distinct word shingles (tokens, 64-bit
    hashes). Texts with equal sets form one class; only classes are joined.
-2. Tokens have one order everywhere, that of their hashes. Sets x and y with
-   100 * |x and y| >= percent * |x or y| differ from each other by at most
-   slack = |x| - ceil(percent * |x| / 100) tokens of x (and likewise of y). Of the
-   two prefixes, that which ends first in the order holds no more than its slack
-   of tokens that the other prefix lacks.
-3. Tokens are told apart by how many classes have them in their prefixes: rare
-   ones are indexed singly; ``FREQUENT`` and more make classes, by hash, of which
-   combinations of k tokens are indexed. A prefix is extended until its rare
-   tokens, and those of each frequent class beyond the first k - 1, number
-   slack + 1. If x and y shared neither a rare token nor k tokens of any frequent
-   class of their prefixes, more than slack tokens of one were missing from the
-   other; so linked sets share a signature.
-4. How many frequent classes there are follows the size of the set, in powers of
-   two, so that a class has about ``PER_CLASS`` prefix tokens and combinations
-   grow with the set, not with its square. A set is indexed at the level of its own
-   size and at that of the smallest size it can be linked with; a signature holds
-   its level, which also keeps apart what differs too much in size.
-5. Tokens and combinations that one class alone has find nobody and are not kept.
-   Classes that share a signature are compared on their full sets, never all pairs
+2. Sets x and y with 100 * |x and y| >= percent * |x or y| differ by at most
+   slack = |x| - ceil(percent * |x| / 100) tokens of x (and likewise of y). A prefix
+   holds the first slack + least tokens in the order of their hashes. Of two linked
+   sets that whose prefix ends first finds all but slack of it in the other's, so
+   the prefixes have ``least`` tokens or more in common.
+3. Tokens are counted over all prefixes. Those that others have too are put in order
+   again, rare ones first; of s such tokens at most s - least can be missing from a
+   partner's. A set with s < least has no partner.
+4. Rare tokens are indexed singly; tokens that ``FREQUENT`` sets or more have make
+   classes, by hash, of which combinations of k tokens are indexed. A set's list is
+   extended until its rare tokens, and those of each frequent class beyond the first
+   k - 1, number s - least + 1. If x and y shared neither a rare token nor k tokens
+   of a frequent class of their lists, more than s - least tokens of one were
+   missing from the other; so linked sets share a signature.
+5. ``least`` and the number of frequent classes follow the size of the set, in powers
+   of two, so that a class has a few tokens of a list and combinations grow with the
+   set, not with its square. A set is indexed at the level of its own size and at
+   that of the smallest size it can be linked with; a signature holds its level,
+   which also keeps apart what differs too much in size.
+6. Classes that share a signature are compared on their full sets, never all pairs
    of them, and components grown, as in ``neardup``.
 
 Hot tokens are split over tasks where their rows meet their counts.
@@ -48,8 +49,6 @@ from .textgrid import U64, blocks, grid_of, long_lists, mix, per_text
 
 FREQUENT = 32
 TOGETHER = 2
-PER_CLASS = 6
-LEAST_LEVEL = 2  # smaller sets are indexed by single tokens only
 
 
 def level_of(n: np.ndarray) -> np.ndarray:
@@ -57,29 +56,38 @@ def level_of(n: np.ndarray) -> np.ndarray:
     return np.frexp(np.maximum(n, 1).astype(np.float64))[1].astype(np.int64) - 1
 
 
-def class_count(level: np.ndarray, percent: int, k: int) -> np.ndarray:
-    """How many classes the frequent tokens of a level have."""
-    return np.maximum(1, (1 << level) * (100 - percent) // (100 * PER_CLASS * max(1, k - 1)))
+def slack_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many tokens of a set of n a linked one can lack."""
+    return n - smallest_partner(n, percent)
 
 
 def smallest_partner(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def longest_prefix(n: np.ndarray, percent: int, k: int) -> np.ndarray:
-    """Tokens that a prefix can hold at most: slack + 1 and k - 1 for each class."""
-    return np.minimum(n, n - smallest_partner(n, percent) + 1 + (k - 1) * class_count(level_of(n), percent, k))
+def least_common(level: np.ndarray, percent: int) -> np.ndarray:
+    """How many tokens the prefixes of linked sets of a level have in common at least: a quarter of the slack, or one."""
+    return np.maximum(1, (1 << level) * (100 - percent) // 400)
+
+
+def class_count(level: np.ndarray, percent: int, k: int) -> np.ndarray:
+    """How many classes the frequent tokens of a level have: as many as lists can be extended for; 0: single tokens only."""
+    return (least_common(level, percent) - 1) // max(1, k - 1)
+
+
+def prefix_length(n: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
+    return np.minimum(n, slack_of(n, percent) + least_common(level, percent))
 
 
 PROFILE = "doc_id long, text_key long, n long, d1 long, d2 long, prefix array<long>"
 
 
-def prefix_texts(shingle: int, percent: int, k: int):
+def prefix_texts(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             values, at = shingle_sets(grid_of(block.column("text")), shingle)
             n = np.diff(at)
-            size = longest_prefix(n, percent, k)
+            size = prefix_length(n, level_of(n), percent)
             inside = np.arange(len(values)) - np.repeat(at[:-1], n) < np.repeat(size, n)
             d1, d2 = per_text(mix(values + U64(11)), at, np.add), per_text(mix(values + U64(29)), at, np.bitwise_xor)
             yield pa.RecordBatch.from_arrays(
@@ -108,29 +116,35 @@ def combinations(group: np.ndarray, k: int) -> list[np.ndarray]:
 def signatures(n: np.ndarray, level: np.ndarray, owner: np.ndarray, rank: np.ndarray, token: np.ndarray, often: np.ndarray, percent: int, k: int, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Owner and signature of sets of size n[owner], indexed at a level each.
 
-    ``rank``: a token's place in its set; tokens that no other set has may be left
-    out. Rows come by owner, then rank.
+    ``rank``: a token's place in its set; tokens of a prefix that no other prefix
+    has may be left out.
     """
-    common = (often >= frequent) & (level[owner] >= LEAST_LEVEL)
-    part = (mix(token + U64(51)) % class_count(level, percent, k)[owner].astype(U64)).astype(np.int64)
+    inside = rank < prefix_length(n, level, percent)[owner]
+    owner, token, often = owner[inside], token[inside], often[inside]
+    held, least = np.bincount(owner, minlength=len(n)), least_common(level, percent)
+    order = np.lexsort((token, often, owner))
+    owner, token, often = owner[order], token[order], often[order]
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    classes = class_count(level, percent, k)[owner]
+    common = (often >= frequent) & (classes > 0)
+    part = (mix(token + U64(51)) % np.maximum(classes, 1).astype(U64)).astype(np.int64)
     spot = np.flatnonzero(common)
-    order = spot[np.lexsort((rank[spot], part[spot], owner[spot]))]
+    order = spot[np.lexsort((spot, part[spot], owner[spot]))]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (owner[order][1:] != owner[order][:-1]) | (part[order][1:] != part[order][:-1])
     group = np.cumsum(fresh) - 1
-    place = np.arange(len(order)) - np.flatnonzero(fresh)[group] if len(order) else group
-    # the first k - 1 tokens of a class tell nothing: each lengthens the prefix by one
-    idle = np.sort(order[place < k - 1])
+    within = np.arange(len(order)) - np.flatnonzero(fresh)[group] if len(order) else group
+    # the first k - 1 tokens of a class tell nothing: each lengthens the list by one
+    idle = np.sort(order[within < k - 1])
     before = np.arange(len(idle)) - np.searchsorted(owner[idle], owner[idle])
-    need = n - smallest_partner(n, percent) + 1
-    within = rank[idle] < need[owner[idle]] + before
-    size = need + np.bincount(owner[idle[within]], minlength=len(n))
-    kept = rank < size[owner]
+    need = held - least + 1
+    reached = place[idle] < need[owner[idle]] + before
+    size = np.where(need > 0, need + np.bincount(owner[idle[reached]], minlength=len(n)), 0)
+    kept = place < size[owner]
     salt = mix(level.astype(U64) + U64(90))
     one = np.flatnonzero(kept & ~common)
     own, values = [owner[one]], [mix(token[one] ^ salt[owner[one]])]
-    inside = kept[order]
-    order, group = order[inside], group[inside]
+    order, group = order[kept[order]], group[kept[order]]
     columns = combinations(group, k)
     own.append(owner[order[columns[0]]])
     value = salt[own[1]]
@@ -170,7 +184,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, k: i
     """doc_id, n_shingles, component_id per document: the smallest doc_id reachable over links between similar sets."""
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
-    signed = settle(own.mapInArrow(prefix_texts(shingle, percent, k), PROFILE).withColumn("row", F.monotonically_increasing_id()))
+    signed = settle(own.mapInArrow(prefix_texts(shingle, percent), PROFILE).withColumn("row", F.monotonically_increasing_id()))
     classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("rep"))
     classes = settle(classes.orderBy("rep").select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "rep.row", F.monotonically_increasing_id().alias("node")))
     sets = settle(signed.select("row", "n", "prefix").join(classes.select("row", "node"), "row").select("node", "n", "prefix"))
