@@ -188,7 +188,6 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, k: i
     classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("rep"))
     classes = settle(classes.orderBy("rep").select("d1", "d2", "n", "rep.doc_id", "rep.text_key", "rep.row", F.monotonically_increasing_id().alias("node")))
     sets = settle(signed.select("row", "n", "prefix").join(classes.select("row", "node"), "row").select("node", "n", "prefix"))
-    signed = settle(signed.drop("prefix", "row"))
     release(spark)
     rows = settle(index_sets(sets, percent, k, frequent))
     del sets
