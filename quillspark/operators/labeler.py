@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import uniform
 
@@ -98,3 +101,60 @@ class ModelLabeler:
 
         types = dict(windows.dtypes)
         return windows.select(*key, "win", "start", "ids").mapInPandas(run, ", ".join([*(f"`{k}` {types[k]}" for k in key), "win long, pos long, label string, conf double"]))
+
+
+class TaggerWeights:
+    """A linear tagger of sub-words: a score per (bucket of id, label), softmax over labels.
+
+    ``fit`` takes them from labelled sub-words by counting (naive Bayes with one added
+    to every count), so the table has ``buckets`` rows whatever the corpus.
+    """
+
+    def __init__(self, labels: list[str], scores: np.ndarray) -> None:
+        self.labels, self.scores = labels, scores
+
+    @classmethod
+    def fit(cls, rows: DataFrame, labels: list[str], buckets: int) -> TaggerWeights:
+        """From rows (id, label)."""
+        counts = np.zeros((buckets, len(labels)))
+        place = {x: i for i, x in enumerate(labels)}
+        found = rows.where(F.col("label").isin(labels)).groupBy(F.pmod("id", F.lit(buckets)).alias("bucket"), "label").agg(F.count("*").alias("n"))
+        for r in found.collect():  # at most buckets times labels rows
+            counts[r.bucket, place[r.label]] = r.n
+        prior = np.log(counts.sum(axis=0) + 1)
+        return cls(list(labels), np.log(counts + 1) - np.log(counts.sum(axis=0) + buckets) + prior)
+
+    def predict(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best label's number and its probability for every id; a negative id (padding) has none."""
+        logits = self.scores[np.maximum(ids, 0) % len(self.scores)]
+        logits = logits - logits.max(axis=-1, keepdims=True)
+        p = np.exp(logits)
+        p /= p.sum(axis=-1, keepdims=True)
+        best = p.argmax(axis=-1)
+        return best, np.take_along_axis(p, best[..., None], -1)[..., 0]
+
+
+class BatchLabeler:
+    """A model behind ``predict_batch_udf``: built once in every Python worker, fed fixed-size batches of padded windows."""
+
+    def __init__(self, model: TaggerWeights, length: int, batch_size: int = 64) -> None:
+        self.model, self.length, self.batch_size = model, length, batch_size
+
+    def label_windows(self, windows: DataFrame, *key: str) -> DataFrame:
+        """key, win, pos, label, conf from (key, win, start, ids)."""
+        model = self.model
+
+        def make():
+            def run(ids: np.ndarray) -> dict[str, np.ndarray]:
+                best, p = model.predict(ids.astype(np.int64))
+                return {"best": best.astype(np.int32), "conf": p}
+
+            return run
+
+        result = T.StructType([T.StructField("best", T.ArrayType(T.IntegerType())), T.StructField("conf", T.ArrayType(T.DoubleType()))])
+        call = predict_batch_udf(make, return_type=result, batch_size=self.batch_size, input_tensor_shapes=[[self.length]])
+        padded = F.concat("ids", F.array_repeat(F.lit(-1), self.length - F.size("ids")))
+        rows = windows.withColumn("__out", call(padded))
+        each = rows.select(*key, "win", "start", F.posexplode(F.slice(F.arrays_zip("__out.best", "__out.conf"), F.lit(1), F.size("ids"))).alias("i", "o"))
+        names = F.array(*map(F.lit, model.labels))
+        return each.select(*key, "win", (F.col("start") + F.col("i")).alias("pos"), F.coalesce(F.get(names, F.col("o.best")), F.lit("O")).alias("label"), F.col("o.conf").alias("conf"))

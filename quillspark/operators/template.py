@@ -84,3 +84,42 @@ def locate_spans(text: Column, labels: dict[str, str], values: dict[str, Column]
         span = lambda start, size, role, ok: F.when(ok, F.struct(F.lit(field).alias("label"), (start - 1).alias("start"), (start - 1 + size).alias("end"), F.lit(role).alias("role")))  # noqa: B023, E731
         out += [span(at, F.lit(len(label)), "LABEL", at > 0), span(value_at, F.length(values[field]), "VALUE", (at > 0) & (value_at > 0) & (values[field] != ""))]
     return F.array_compact(F.array(*out))
+
+
+def build_lines(records: DataFrame, key: str, fields: dict[str, tuple[Column, list[str]]], separators: list[str], merged: list[tuple[str, str, float]] = (), seed: int = 42, text: str = "text", spans: str = "spans") -> DataFrame:
+    """``text`` and ``spans`` (label, role LABEL or VALUE, start, end) of labelled lines in a drawn order.
+
+    ``fields``: {name: (value, spellings of its label)}. A line is a drawn spelling,
+    a drawn separator and the value. ``merged``: (field, field that follows on its
+    line, how often); the pair shares the first one's separator. Lines come in the
+    order of a draw per record and field. Every draw is a hash of (seed, key, field),
+    so a record looks the same in any partition. Offsets are sums over the pieces
+    in their new order; nothing is searched, so a value that occurs twice is no trouble.
+    Null values count as empty; empty values have no span.
+    """
+    draw = lambda slot, *more: uniform(seed, F.col(key), slot, *more)
+    choice = lambda values, slot, *more: F.element_at(F.array(*map(F.lit, values)), (F.floor(draw(slot, *more) * len(values)) + 1).cast("int"))
+    piece = lambda s, field, role: F.struct(s.alias("s"), F.lit(field).cast("string").alias("label"), F.lit(role).cast("string").alias("role"))
+    label = {f: choice(spellings, "label", F.lit(f)) for f, (_, spellings) in fields.items()}
+    value = {f: F.coalesce(v.cast("string"), F.lit("")) for f, (v, _) in fields.items()}
+    own = lambda f, at: [piece(label[f], f, "LABEL"), piece(at, None, None), piece(value[f], f, "VALUE")]
+    joins = {a: (b, share) for a, b, share in merged}
+    follows = {b: a for a, b, _ in merged}
+    lines = []
+    for f in fields:
+        separator = choice(separators, "separator", F.lit(f))
+        pieces = F.array(*own(f, separator))
+        if f in joins:
+            other, share = joins[f]
+            pieces = F.when(draw("merge", F.lit(f)) < share, F.array(*own(f, separator), piece(F.lit("  "), None, None), *own(other, separator))).otherwise(pieces)
+        alone = F.lit(True) if f not in follows else draw("merge", F.lit(follows[f])) >= joins[follows[f]][1]
+        lines.append(F.when(alone, F.struct(draw("order", F.lit(f)).alias("draw"), F.lit(f).alias("field"), pieces.alias("pieces"))))
+    ordered = F.transform(F.array_sort(F.array_compact(F.array(*lines))), lambda x: x["pieces"])
+    # a line end before every line but the first
+    flat = F.flatten(F.transform(ordered, lambda p, i: F.when(i > 0, F.concat(F.array(piece(F.lit("\n"), None, None)), p)).otherwise(p)))
+    rows = records.withColumn("__pieces", flat)
+    ends = F.aggregate("__pieces", F.array().cast("array<int>"), lambda out, p: F.concat(out, F.array(F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)) + F.length(p["s"]))))
+    rows = rows.withColumn("__ends", ends)
+    placed = F.zip_with("__pieces", "__ends", lambda p, e: F.struct(p["label"].alias("label"), p["role"].alias("role"), (e - F.length(p["s"])).alias("start"), e.alias("end")))
+    kept = F.filter(placed, lambda x: x["role"].isNotNull() & (x["end"] > x["start"]))
+    return rows.withColumns({text: F.array_join(F.transform("__pieces", lambda p: p["s"]), ""), spans: kept}).drop("__pieces", "__ends")

@@ -88,10 +88,13 @@ def tagged(ranked: bool) -> str:
     label = "CASE WHEN item_id % 3 = 0 THEN 'alpha' ELSE 'beta' END"
     role = "CASE WHEN item_id % 2 = 0 THEN 'VALUE' ELSE 'LABEL' END"
     name, rank = (f"{label} || '_' || {role}", f"CASE WHEN {role} = 'VALUE' THEN 0 ELSE 1 END") if ranked else (label, "0")
-    return f"""WITH {LOCATED}, {TOKENS},
+    # the overlap join meets only tokens of documents that hold a span
+    return f"""WITH {LOCATED.replace("spans AS (", "spans AS MATERIALIZED (", 1)}, {TOKENS.replace("tok AS (", "tok AS MATERIALIZED (", 1)},
 ents AS (SELECT *, {name} AS label, {rank} AS r, row_number() OVER (PARTITION BY doc_id ORDER BY start, item_id) AS ord FROM spans),
-pairs AS (SELECT t.doc_id, t.tok_idx, e.label, e.ord FROM tok t JOIN ents e ON t.doc_id = e.doc_id AND t."end" > e.start AND t.start < e."end" QUALIFY row_number() OVER (PARTITION BY t.doc_id, t.tok_idx ORDER BY e.r, e.start, e.ord) = 1),
-firsts AS (SELECT *, min(tok_idx) OVER (PARTITION BY doc_id, ord) AS first_idx FROM pairs)
+near AS MATERIALIZED (SELECT * FROM tok WHERE doc_id IN (SELECT doc_id FROM spans)),
+hits AS MATERIALIZED (SELECT x.doc_id, x.tok_idx, x.label, x.ord, row_number() OVER (PARTITION BY x.doc_id, x.tok_idx ORDER BY x.r, x.start, x.ord) AS place FROM
+  (SELECT t.doc_id, t.tok_idx, t.start AS a, t."end" AS b, e.label, e.ord, e.r, e.start, e."end" FROM near t JOIN ents e ON t.doc_id = e.doc_id) x WHERE x.b > x.start AND x.a < x."end"),
+firsts AS MATERIALIZED (SELECT doc_id, tok_idx, label, min(tok_idx) OVER (PARTITION BY doc_id, ord) AS first_idx FROM hits WHERE place = 1)
 SELECT t.doc_id, t.tok_idx, t.token, coalesce(CASE WHEN t.tok_idx = f.first_idx THEN 'B-' ELSE 'I-' END || f.label, 'O') AS label
 FROM tok t LEFT JOIN firsts f ON t.doc_id = f.doc_id AND t.tok_idx = f.tok_idx"""
 

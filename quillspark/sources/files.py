@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrays import read_json_array
+
 BIO = "tokens array<string>, ner_tags array<string>"
 ANNOTATIONS = "text string, entities array<struct<start:int,end:int,label:string>>"
 #: What a saved model needs to be used, and what a repository should not hold.
@@ -47,7 +49,7 @@ def templates(spark: SparkSession, root: str) -> DataFrame:
 
 def bio_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """tokens, ner_tags, split of train.json and test.json."""
-    read = lambda split: spark.read.schema(BIO).option("multiLine", True).json(f"{folder}/{split}.json").withColumn("split", F.lit(split))
+    read = lambda split: read_json_array(spark, f"{folder}/{split}.json", BIO).select("tokens", "ner_tags", F.lit(split).alias("split"))
     return read("train").unionByName(read("test"))
 
 
@@ -58,7 +60,7 @@ def label_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ANNOTATIONS).option("multiLine", True).json(path)
+    return read_json_array(spark, path, ANNOTATIONS).select("text", "entities")
 
 
 def run_log(spark: SparkSession, path: str) -> DataFrame:
