@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import keyword_form, keyword_form_of, let, strip_ws
+from ..sources.versions import load_version
 
 # Weights, thresholds, boilerplate lines and the built-in rules.
 STRONG, WEAK, EXCLUDE = 3.0, 1.0, -10.0
@@ -64,6 +65,29 @@ def discover(templates: dict | None = None, rules: dict | None = None, schemas:
     return "built-in", BUILT_IN_RULES
 
 
+def load_detector(spark: SparkSession, templates: tuple[DataFrame, DataFrame] | None = None, stores: list[str] = (), schemas: DataFrame | None = None) -> tuple[str, dict[str, dict[str, list[str]]], DataFrame | None]:
+    """(origin, rules, index) of a detector, from the first source that holds one.
+
+    Templates with their schemas' fields are first: rules and index are built from them. Then the
+    newest version of each store in turn (tables ``rules`` and ``index``, of which one is enough),
+    checked against its manifest. Then schemas alone, which give weak rules and no index; then the
+    rules built in. A source that is there and empty counts as none.
+    """
+    if templates is not None and not templates[0].isEmpty():
+        bodies, fields = templates
+        return "templates", rules_of(build_rules(bodies)), tfidf_index(template_corpus(bodies, fields))
+    for root in stores:
+        found = load_version(spark, root)
+        if found:
+            number, tables = found
+            rules = rules_of(tables["rules"]) if "rules" in tables else {}
+            if rules or "index" in tables:
+                return f"version {number}", rules, tables.get("index")
+    if schemas is not None and not schemas.isEmpty():
+        return "schemas", rules_of(schema_rules(schemas)), None
+    return "built-in", BUILT_IN_RULES, None
+
+
 def template_corpus(templates: DataFrame, fields: DataFrame) -> DataFrame:
     """doc_type, corpus: the bodies with placeholders as words, and the schema's field names three times."""
     words = F.regexp_replace("body", r"\{\{\s*([A-Za-z0-9_.()]+)\s*\}\}", " $1 ")

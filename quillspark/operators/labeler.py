@@ -118,7 +118,7 @@ class TaggerWeights:
         """From rows (id, label)."""
         counts = np.zeros((buckets, len(labels)))
         place = {x: i for i, x in enumerate(labels)}
-        found = rows.where(F.col("label").isin(labels)).groupBy(F.pmod("id", F.lit(buckets)).alias("bucket"), "label").agg(F.count("*").alias("n"))
+        found = rows.where(F.col("label").isin(*labels)).groupBy(F.pmod("id", F.lit(buckets)).alias("bucket"), "label").agg(F.count("*").alias("n"))
         for r in found.collect():  # at most buckets times labels rows
             counts[r.bucket, place[r.label]] = r.n
         prior = np.log(counts.sum(axis=0) + 1)

@@ -72,3 +72,26 @@ def example_sample(samples: DataFrame, order: str, n: int = 20) -> DataFrame:
 
 def run_summary(runs: DataFrame) -> DataFrame:
     return runs.groupBy("status").agg(F.count("*").alias("n"), F.round(F.max("f1"), 4).alias("best_f1"))
+
+
+def card_rows(rows: DataFrame, *by: str) -> DataFrame:
+    """level, the columns ``by`` (null where they are summed over), n: every single column's counts, those of the first with
+    each other one, and the total, in one pass over the rows. Values that are null themselves stay apart by ``level``."""
+    first, *others = by
+    sets = [[], *([c] for c in by), *([first, c] for c in others)]
+    level = F.concat_ws(",", *(F.when(F.grouping(c) == 0, F.lit(c)) for c in by))
+    return rows.groupingSets([[F.col(c) for c in s] for s in sets], *(F.col(c) for c in by)).agg(level.alias("level"), F.count("*").alias("n")).select("level", *by, "n")
+
+
+def card_text(counts: DataFrame, title: str, *by: str) -> DataFrame:
+    """The card's text, one row, from ``card_rows``: a line for the total and a table for every level, rows in order of value.
+
+    Counts are few (one row per combination of values), however large the data set.
+    """
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *(F.when(F.array_contains(F.split("level", ","), c), cell(c)) for c in by), F.col("n").cast("string")), F.lit(" |"))
+    tables = counts.groupBy("level").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines"), F.max("n").alias("n"))
+    table = F.when(F.col("level") != "", F.concat(F.lit("## "), "level", F.lit("\n"), "lines"))
+    body = F.array_join(F.array_sort(F.collect_list(table)), "\n")
+    total = F.coalesce(F.max(F.when(F.col("level") == "", F.col("n"))), F.lit(0)).cast("string")
+    return tables.agg(F.concat(F.lit(f"# {title}\n"), total, F.lit(" rows\n"), body).alias("card"))

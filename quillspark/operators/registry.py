@@ -66,18 +66,18 @@ def as_of(lookups: DataFrame, entries: DataFrame, on: str, at: str, since: str,
     arrive late are no trouble: order is that of ``since``, not of rows.
     """
     names = lookups.columns
-    second = lambda c: F.unix_micros(c).cast("decimal(38,0)")
-    bucket = lambda c: F.floor(F.unix_timestamp(c) / ttl)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    bucket = lambda c: F.floor(micros(c) / (ttl * 1_000_000))
     kind = entries.schema
     none = F.lit(None).cast(kind)
-    asked = lookups.select(F.col(on).alias("k"), bucket(F.col(at)).alias("b"), F.col(at).cast("timestamp").alias("t"), F.lit(1).alias("side"), F.lit(None).cast(kind[tie].dataType).alias("tie"), none.alias("e"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
+    asked = lookups.select(F.col(on).alias("k"), bucket(at).alias("b"), F.col(at).cast("timestamp").alias("t"), F.lit(1).alias("side"), F.lit(None).cast(kind[tie].dataType).alias("tie"), none.alias("e"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
     known = entries.where(F.col(on).isNotNull() & F.col(since).isNotNull())
-    both = known.select(F.col(on).alias("k"), F.explode(F.array(bucket(F.col(since)), bucket(F.col(since)) + 1)).alias("b"), F.col(since).cast("timestamp").alias("t"), F.lit(0).alias("side"), F.col(tie).alias("tie"), F.struct(*(F.col(f"`{c}`") for c in entries.columns)).alias("e"), F.lit(None).cast(lookups.schema).alias("row"))
+    both = known.select(F.col(on).alias("k"), F.explode(F.array(bucket(since), bucket(since) + 1)).alias("b"), F.col(since).cast("timestamp").alias("t"), F.lit(0).alias("side"), F.col(tie).alias("tie"), F.struct(*(F.col(f"`{c}`") for c in entries.columns)).alias("e"), F.lit(None).cast(lookups.schema).alias("row"))
     open_ = asked.where(F.col("k").isNull() | F.col("t").isNull()).select("row.*", none.alias("entry"))
     merged = asked.where(F.col("k").isNotNull() & F.col("t").isNotNull()).unionByName(both)
     order = Window.partitionBy("k", "b").orderBy("t", "side", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = merged.withColumn("last", F.last("e", ignorenulls=True).over(order)).where("side = 1")
-    fresh = second(F.col("t")) - second(F.col(f"last.{since}")) <= F.lit(ttl).cast("decimal(38,0)") * 1_000_000
+    fresh = micros("t") - micros(f"last.{since}") <= ttl * 1_000_000
     return last.select("row.*", F.when(fresh, F.col("last")).alias("entry")).unionByName(open_)
 
 
