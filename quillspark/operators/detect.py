@@ -57,14 +57,6 @@ def schema_rules(fields: DataFrame) -> DataFrame:
     return fields.select("doc_type", F.lit("weak").alias("kind"), F.replace("field", F.lit("_"), F.lit(" ")).alias("keyword"), F.col("ord").cast("long").alias("ord"))
 
 
-def discover(templates: dict | None = None, rules: dict | None = None, schemas: dict | None = None) -> tuple[str, dict]:
-    """Where rules come from and the rules: of templates, else a table of rules, else schemas, else built in."""
-    for origin, found in (("templates", templates), ("rules", rules), ("schemas", schemas)):
-        if found:
-            return origin, found
-    return "built-in", BUILT_IN_RULES
-
-
 def load_detector(spark: SparkSession, templates: tuple[DataFrame, DataFrame] | None = None, stores: list[str] = (), schemas: DataFrame | None = None) -> tuple[str, dict[str, dict[str, list[str]]], DataFrame | None]:
     """(origin, rules, index) of a detector, from the first source that holds one.
 

@@ -143,9 +143,13 @@ def discharge_paper(d: Draws) -> dict[str, Column]:
 GENERATORS = {"cccd": identity_card, "gplx": driving_licence, "giay_khai_sinh": birth_certificate, "vehicle_registration": vehicle_registration, "giay_ra_vien": discharge_paper}
 
 
-def generate_records(spark: SparkSession, doc_type: str, n: int, seed: int = 42) -> DataFrame:
-    """row_id and the fields of a document type, n rows."""
+def records_for(keys: DataFrame, doc_type: str, seed: int = 42) -> DataFrame:
+    """row_id and the fields of a document type, one record for every ``row_id`` of ``keys``."""
     if doc_type not in GENERATORS:
         raise ValueError(f"no generator for {doc_type!r}; known: {', '.join(sorted(GENERATORS))}")
-    rows = spark.range(n).withColumnRenamed("id", "row_id")
-    return rows.select("row_id", *(c.alias(name) for name, c in GENERATORS[doc_type](Draws(seed, doc_type, F.col("row_id"))).items()))
+    return keys.select("row_id", *(c.alias(name) for name, c in GENERATORS[doc_type](Draws(seed, doc_type, F.col("row_id"))).items()))
+
+
+def generate_records(spark: SparkSession, doc_type: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` records, numbered from 0."""
+    return records_for(spark.range(n).withColumnRenamed("id", "row_id"), doc_type, seed)

@@ -194,17 +194,21 @@ def first_valid_entities(spark: SparkSession, sf: str) -> DataFrame:
     return clean.first_valid(bio_decode(spark, sf), "doc_id").select("doc_id", "ord", "type", "text", "start", "end", "confidence")
 
 
-def _grid(spark: SparkSession, policy: str) -> DataFrame:
-    grid = spark.createDataFrame([(i, j, t, v) for i, t in enumerate(TYPES) for j, v in enumerate(VALUES)], "i long, j long, type string, value string")
+def _grid(spark: SparkSession, sf: str, policy: str) -> DataFrame:
+    """Every type's check of a customer's name or of a value by the customer's number."""
+    c = F.col("c_custkey")
+    value = F.when(c % 5 == 4, F.col("c_name")).otherwise(F.element_at(F.array(*map(F.lit, VALUES)), (c % len(VALUES) + 1).cast("int")))
+    types = F.array(*(F.struct(F.lit(i).cast("long").alias("i"), F.lit(t).alias("type")) for i, t in enumerate(TYPES)))
+    grid = table(spark, sf, "customer").select(c.alias("j"), value.alias("value"), F.inline(types))
     return grid.select("i", "j", clean.is_valid(F.col("type"), F.col("value"), policy).alias("valid"))
 
 
 def validate_entities(spark: SparkSession, sf: str) -> DataFrame:
-    return _grid(spark, "sdk")
+    return _grid(spark, sf, "sdk")
 
 
 def validate_entities_repo(spark: SparkSession, sf: str) -> DataFrame:
-    return _grid(spark, "repo")
+    return _grid(spark, sf, "repo")
 
 
 def schema_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -273,12 +277,15 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     return detect.cosine_neighbours(v, v.where("vec_id % 20 = 0"), 3)
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEMPLATE_TEXTS, "doc_type string, template_idx int, body string")
+def _templates(spark: SparkSession, sf: str) -> DataFrame:
+    """A template per part, by type: its name as a heading over one of the bodies."""
+    bodies = F.array(*(F.lit(b) for _, _, b in TEMPLATE_TEXTS))
+    body = F.concat(F.upper("p_name"), F.lit("\n"), F.element_at(bodies, (F.col("p_partkey") % len(TEMPLATE_TEXTS) + 1).cast("int")))
+    return table(spark, sf, "part").select(F.lower("p_type").alias("doc_type"), F.col("p_partkey").cast("int").alias("template_idx"), body.alias("body"))
 
 
 def rules_build(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.build_rules(_templates(spark))
+    return detect.build_rules(_templates(spark, sf))
 
 
 def entity_f1(spark: SparkSession, sf: str) -> DataFrame:
@@ -324,24 +331,29 @@ def registry_ttl(spark: SparkSession, sf: str) -> DataFrame:
     return e.crossJoin(F.broadcast(now)).groupBy("event_type").agg(F.count_if(registry.is_fresh(F.col("ts"), F.col("now"), 86_400)).alias("n_fresh"), F.count("*").alias("n"))
 
 
+def _records(spark: SparkSession, sf: str, doc_type: str) -> DataFrame:
+    """A record for every customer, drawn by its key."""
+    return generate.records_for(table(spark, sf, "customer").select(F.col("c_custkey").alias("row_id")), doc_type)
+
+
 def gen_cccd(spark: SparkSession, sf: str) -> DataFrame:
-    return generate.generate_records(spark, "cccd", 500)
+    return _records(spark, sf, "cccd")
 
 
 def gen_gplx(spark: SparkSession, sf: str) -> DataFrame:
-    return generate.generate_records(spark, "gplx", 500)
+    return _records(spark, sf, "gplx")
 
 
 def gen_giay_khai_sinh(spark: SparkSession, sf: str) -> DataFrame:
-    return generate.generate_records(spark, "giay_khai_sinh", 500)
+    return _records(spark, sf, "giay_khai_sinh")
 
 
 def gen_vehicle_registration(spark: SparkSession, sf: str) -> DataFrame:
-    return generate.generate_records(spark, "vehicle_registration", 500)
+    return _records(spark, sf, "vehicle_registration")
 
 
 def gen_giay_ra_vien(spark: SparkSession, sf: str) -> DataFrame:
-    return generate.generate_records(spark, "giay_ra_vien", 500)
+    return _records(spark, sf, "giay_ra_vien")
 
 
 def render_template(spark: SparkSession, sf: str) -> DataFrame:

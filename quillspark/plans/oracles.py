@@ -128,12 +128,12 @@ ded AS (SELECT doc_id, ord, type, CASE WHEN type = 'NAME' THEN list_aggregate(li
 
 
 def valid_sql(policy: str) -> str:
-    rows = ", ".join(f"({i}, {j}, {q(t)}, {q(v)})" for i, t in enumerate(Q.TYPES) for j, v in enumerate(Q.VALUES))
+    types = ", ".join(f"({i}, {q(t)})" for i, t in enumerate(Q.TYPES))
     date = r"[0-9]{2}/[0-9]{2}/[0-9]{4}"
     some = f"regexp_matches(bare, '{date}')" if policy == "sdk" else f"regexp_matches(bare, '^{date}$')"
     number = "regexp_matches(tight, '^[0-9]{9,13}$')" if policy == "sdk" else "regexp_matches(bare, '^([0-9]{9}|[0-9]{12})$')"
     genders = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in C.GENDERS.items())
-    return rf"""WITH g(i, j, type, value) AS (VALUES {rows}),
+    return rf"""WITH g AS (SELECT i, c_custkey AS j, type, CASE WHEN c_custkey % 5 = 4 THEN c_name ELSE ({listed(Q.VALUES)})[c_custkey % {len(Q.VALUES)} + 1] END AS value FROM customer, (VALUES {types}) v(i, type)),
 m AS (SELECT *, {strip('value')} AS bare, regexp_replace(value, {q(WS)}, '', 'g') AS tight, len({words('value')}) AS n FROM g)
 SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CASE type
   WHEN 'PATIENT_DOB' THEN regexp_matches(bare, '^({date}|[0-9]{{4}})$') WHEN 'DOB' THEN {some} WHEN 'DATE_OF_EXPIRY' THEN {some}
@@ -181,9 +181,13 @@ def keyword_sql(key: str, source: str) -> str:
     return f"normed AS (SELECT {key}, trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g')) AS norm FROM {source}), scores AS ({' UNION ALL '.join(scores)})"
 
 
+def templates_sql() -> str:
+    bodies = " ".join(f"WHEN {i} THEN {q(b)}" for i, (_, _, b) in enumerate(Q.TEMPLATE_TEXTS))
+    return f"t AS (SELECT lower(p_type) AS doc_type, p_partkey AS idx, upper(p_name) || chr(10) || CASE p_partkey % {len(Q.TEMPLATE_TEXTS)} {bodies} END AS body FROM part)"
+
+
 def rules_sql() -> str:
-    rows = ", ".join(f"({q(t)}, {i}, {q(b)})" for t, i, b in Q.TEMPLATE_TEXTS)
-    return rf"""WITH t(doc_type, idx, body) AS (VALUES {rows}),
+    return rf"""WITH {templates_sql()},
 l AS (SELECT doc_type, idx, generate_subscripts(string_split(body, chr(10)), 1) AS line_no, unnest(string_split(body, chr(10))) AS raw FROM t),
 k AS (SELECT doc_type, idx, line_no, contains(raw, '{{{{') AS has, {strip('raw')} AS line FROM l),
 kw AS (SELECT doc_type, idx, line_no, CASE WHEN has THEN 'weak' ELSE 'strong' END AS kind, CASE WHEN has THEN lower({strip("regexp_replace(split_part(line, '{{', 1), '[\\s:/\\-]+$', '')")}) ELSE lower(line) END AS keyword FROM k),
@@ -254,7 +258,7 @@ def dmy(day: str) -> str:
 
 
 def records_sql(fields: dict[str, str]) -> str:
-    return "SELECT row_id, " + ", ".join(f"{v} AS {n}" for n, v in fields.items()) + " FROM (SELECT unnest(range(0, 500)) AS row_id)"
+    return "SELECT row_id, " + ", ".join(f"{v} AS {n}" for n, v in fields.items()) + " FROM (SELECT c_custkey AS row_id FROM customer)"
 
 
 def gen_gplx_sql() -> str:

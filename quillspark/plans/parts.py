@@ -8,21 +8,25 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import clean, detect, labels, mapping, metrics, noise, registry, template, tokens, windows
 from ..operators.labeler import IdLabeler
-from .catalogue import LABELS, RULES, TEMPLATE_TEXTS, bio_decode, table
+from ..sources import versions
+from ..sources.shared import shared_folder
+from .catalogue import LABELS, RULES, _templates, bio_decode, table
 from .catalogue import _tagged as tagged_rows
 from .located import located_passages
 from .predict import predict
 
-SCHEMA = [("card", 0, "full_name"), ("card", 1, "id_number"), ("paper", 0, "ward"), ("paper", 1, "patient_name"), ("paper", 2, "notes")]
+MODEL_FILES = ["config.json", "labels.json", "x/vocab.txt", "checkpoint-5/config.json", "logs/a", "rng_state.pth", "runs/b/c", "optimizer.pt", "model.safetensors", "tokenizer.json", "README.md"]
 CARD = {"strong": ["Mind", " the best"], "weak": ["of", "ing"]}
 NAME_LABELS = ["O", "B-name", "I-name"]
 
 
 def mapping_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    """Both sets of default mappings as rows, and the one that labels give."""
+    """Both sets of default mappings, and the one that labels give, with how many entities of all documents each would map."""
     rows = [(s, t, e, f) for s, sets in (("sdk", mapping.DEFAULT_MAPPINGS), ("repo", mapping.REPO_MAPPINGS)) for t, m in sets.items() for e, f in m.items()]
     rows += [("labels", "x", e, f) for e, f in mapping.mapping_of_labels(LABELS).items()]
-    return spark.createDataFrame(rows, "variant string, doc_type string, etype string, field string")
+    known = spark.createDataFrame(rows, "variant string, doc_type string, etype string, field string")
+    found = bio_decode(spark, sf).groupBy(F.col("type").alias("etype")).agg(F.count("*").alias("n"))
+    return known.join(found, "etype", "left").select("variant", "doc_type", "etype", "field", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def json_mapping(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +121,7 @@ def example_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 def template_shape(spark: SparkSession, sf: str) -> DataFrame:
     """Templates and the fields they show, per type."""
-    return template.template_shape(spark.createDataFrame(TEMPLATE_TEXTS, "doc_type string, template_idx int, body string"))
+    return template.template_shape(_templates(spark, sf))
 
 
 def template_choice(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,14 +134,32 @@ def line_noise(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", noise.line_noise(F.col("p_name"), F.col("p_partkey"), 0.3).alias("text"))
 
 
+def _schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """A schema per region: its nations as fields, and one per segment with its nations' numbers."""
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    name = lambda c: F.lower(F.replace(c, F.lit(" "), F.lit("_")))
+    regions = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(name(F.col("r_name")).alias("doc_type"), F.col("n_nationkey").cast("int").alias("ord"), name(F.col("n_name")).alias("field"))
+    segments = table(spark, sf, "customer").select(name(F.col("c_mktsegment")).alias("doc_type"), F.col("c_nationkey").cast("int").alias("ord"), F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("field")).distinct()
+    return regions.unionByName(segments)
+
+
 def schema_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.schema_rules(spark.createDataFrame(SCHEMA, "doc_type string, ord int, field string"))
+    return detect.schema_rules(_schemas(spark, sf))
 
 
 def rules_by_precedence(spark: SparkSession, sf: str) -> DataFrame:
-    """Where rules come from when templates, a rules table, schemas or nothing is there."""
-    found = {"templates": detect.discover(templates=RULES, rules={"x": {}}, schemas={"y": {}}), "rules": detect.discover(rules=RULES, schemas={"y": {}}), "schemas": detect.discover(schemas={"y": {"weak": ["a"]}}), "nothing": detect.discover()}
-    return spark.createDataFrame([(k, origin, ",".join(sorted(rules))) for k, (origin, rules) in found.items()], "given string, origin string, types string")
+    """What a detector is loaded from when templates, a written version, schemas or nothing is there, and its types."""
+    root = shared_folder(spark, "rules")
+    versions.commit_version(root, {"rules": detect.rules_frame(spark, RULES)})
+    fields = _schemas(spark, sf)
+    shown = _templates(spark, sf)
+    named = shown.select("doc_type").distinct().select("doc_type", F.lit(0).alias("ord"), F.lit("full_name").alias("field"))
+    given = {"templates": {"templates": (shown, named), "stores": [root], "schemas": fields}, "rules": {"stores": [f"{root}-none", root], "schemas": fields}, "schemas": {"stores": [f"{root}-none"], "schemas": fields}, "nothing": {}}
+    rows = []
+    for name, sources in given.items():
+        origin, rules, index = detect.load_detector(spark, **sources)
+        rows.append((name, origin, ",".join(sorted(rules)), index is not None))
+    return spark.createDataFrame(rows, "given string, origin string, types string, has_index boolean")
 
 
 def detect_explain(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,11 +191,11 @@ def hub_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_file_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Of made-up listings: files that inference needs, and junk."""
+    """Of a listing of every customer's model, one file of each: those that inference needs, and junk."""
     from ..sources import files
 
-    names = [*files.INFERENCE_FILES, "labels.json", "x/vocab.txt", "checkpoint-5/config.json", "logs/a", "rng_state.pth", "runs/b/c", "optimizer.pt"]
-    listing = spark.createDataFrame([(n,) for n in names], "path string")
+    name = F.element_at(F.array(*map(F.lit, MODEL_FILES)), (F.col("c_custkey") % len(MODEL_FILES) + 1).cast("int"))
+    listing = table(spark, sf, "customer").select(F.concat(F.lit("m"), F.col("c_custkey").cast("string"), F.lit("/"), name).alias("path"))
     return files.model_files(listing).withColumn("kind", F.lit("kept")).unionByName(files.junk_files(listing).withColumn("kind", F.lit("junk")))
 
 

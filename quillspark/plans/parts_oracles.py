@@ -8,9 +8,9 @@ from ..operators import mapping
 from ..operators.labels import IGNORED
 from ..sources import files
 from . import parts as P
-from .catalogue import LABELS, RULES, TEMPLATE_TEXTS
+from .catalogue import LABELS, RULES
 from .oracles import LABEL_IDS, LOCATED, ORACLES as MAIN
-from .oracles import TOKENS, TYPE_NAME, choose, entities, listed, q, tagged, uniform, window_rows
+from .oracles import TOKENS, TYPE_NAME, choose, entities, listed, q, tagged, templates_sql, uniform, window_rows
 
 
 def values(rows: list[tuple], names: str) -> str:
@@ -83,10 +83,13 @@ FIRST_VALID = MAIN["first_valid_entities"]
 SHUFFLED = "r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents)"
 U = lambda key, s: uniform("42", key, q(s))
 
+SCHEMAS = """schemas AS (SELECT lower(replace(r_name, ' ', '_')) AS doc_type, CAST(n_nationkey AS BIGINT) AS ord, lower(replace(n_name, ' ', '_')) AS field FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT DISTINCT lower(replace(c_mktsegment, ' ', '_')), CAST(c_nationkey AS BIGINT), 'nation_' || c_nationkey FROM customer)"""
+
 ORACLES = {
     "merge_entities_fold": fold_sql(),
     "ocr_noise_tokens": noise_tokens_sql(),
-    "mapping_defaults": values(mapping_rows(), "variant, doc_type, etype, field"),
+    "mapping_defaults": f"""WITH k AS ({values(mapping_rows(), "variant, doc_type, etype, field")}), {entities()}, c AS (SELECT type, count(*) AS n FROM ent GROUP BY type) SELECT variant, doc_type, etype, field, coalesce(n, 0) AS n FROM k LEFT JOIN c ON etype = type""",
     "json_mapping": f"""WITH f AS ({FIRST_VALID}) SELECT doc_id, '{{' || string_agg(to_json(lower(type)) || ':' || to_json(text), ',' ORDER BY lower(type)) || '}}' AS record FROM f GROUP BY doc_id""",
     "run_errors": """WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 <> 0 THEN (o_orderkey % 10) / 10.0 END AS f FROM orders),
 s AS (SELECT CASE WHEN k % 13 = 0 THEN 'error' WHEN k % 11 = 0 THEN 'generate_failed' WHEN k % 7 = 0 THEN 'train_failed' WHEN coalesce(f, 0) < 0.2 THEN 'low_f1' WHEN k % 5 = 0 THEN 'no_hf_token' WHEN k % 3 = 0 THEN 'publish_failed' ELSE 'published' END AS status FROM o) SELECT status, count(*) AS n FROM s GROUP BY status""",
@@ -103,19 +106,22 @@ SELECT doc_id, n, sha256(tokens) AS tokens, sha256(tags) AS ner_tags, CASE WHEN
     "annotation_samples": f"""WITH t AS (SELECT * FROM ({tagged(False).replace("FROM documents d, benchmark b WHERE", "FROM documents d, benchmark b WHERE b.item_id % 3 = 0 AND")})) SELECT label, count(*) AS n FROM t GROUP BY label""",
     "example_sample": f"""WITH t AS {SAMPLE_TAGS}, g AS (SELECT doc_id, bool_or(label <> 'O') AS any_tag FROM t GROUP BY doc_id), c AS (SELECT doc_id FROM g ORDER BY any_tag DESC, doc_id LIMIT 1)
 SELECT doc_id, string_agg(token, ' ' ORDER BY tok_idx) AS tokens, string_agg(label, ' ' ORDER BY tok_idx) AS ner_tags FROM t JOIN c USING (doc_id) WHERE tok_idx < 20 GROUP BY doc_id""",
-    "template_shape": f"""WITH t AS ({values(TEMPLATE_TEXTS, 'doc_type, idx, body')}), f AS (SELECT doc_type, unnest(regexp_extract_all(body, '\\{{\\{{\\s*(\\w+)\\s*(\\.upper\\(\\))?\\s*\\}}\\}}', 1)) AS field FROM t)
+    "template_shape": f"""WITH {templates_sql()}, f AS (SELECT doc_type, unnest(regexp_extract_all(body, '\\{{\\{{\\s*(\\w+)\\s*(\\.upper\\(\\))?\\s*\\}}\\}}', 1)) AS field FROM t)
 SELECT n.doc_type, n_templates, coalesce(fields, '') AS fields FROM (SELECT doc_type, count(DISTINCT idx) AS n_templates FROM t GROUP BY doc_type) n LEFT JOIN (SELECT doc_type, string_agg(DISTINCT field, ',' ORDER BY field) AS fields FROM f GROUP BY doc_type) g USING (doc_type)""",
     "template_choice": f"SELECT c_custkey, CAST(floor({U('c_custkey', 'template')} * 3) AS BIGINT) AS drawn, CAST(c_custkey % 3 AS BIGINT) AS given FROM customer",
     "line_noise": f"SELECT p_partkey, CASE WHEN {U('p_partkey', 'line')} < 0.3 THEN CASE WHEN {U('p_partkey', 'side')} < 0.5 THEN {choose(D.NOISE_TOKENS, U('p_partkey', 'token'))} || ' ' || p_name ELSE p_name || ' ' || {choose(D.NOISE_TOKENS, U('p_partkey', 'token'))} END ELSE p_name END AS text FROM part",
-    "schema_rules": values([(t, "weak", f.replace("_", " "), i) for t, i, f in P.SCHEMA], "doc_type, kind, keyword, ord"),
-    "rules_by_precedence": values([("templates", "templates", "de,en,es,fr"), ("rules", "rules", "de,en,es,fr"), ("schemas", "schemas", "y"), ("nothing", "built-in", "cccd,giay_khai_sinh,giay_ra_vien,gplx,vehicle_registration")], "given, origin, types"),
+    "schema_rules": f"""WITH {SCHEMAS} SELECT doc_type, 'weak' AS kind, replace(field, '_', ' ') AS keyword, ord FROM schemas""",
+    "rules_by_precedence": f"""WITH {SCHEMAS} SELECT 'templates' AS given, 'templates' AS origin, (SELECT string_agg(DISTINCT lower(p_type), ',' ORDER BY lower(p_type)) FROM part) AS types, true AS has_index
+UNION ALL SELECT 'rules', 'version 1', 'de,en,es,fr', false UNION ALL SELECT 'schemas', 'schemas', (SELECT string_agg(DISTINCT doc_type, ',' ORDER BY doc_type) FROM schemas), false
+UNION ALL SELECT 'nothing', 'built-in', 'cccd,giay_khai_sinh,giay_ra_vien,gplx,vehicle_registration', false""",
     "detect_explain": explain_sql(),
     "detect_registered": registered_sql(),
     "registry_register": f"""WITH n AS (SELECT *, {TYPE_NAME} AS t FROM nation), m AS (SELECT t AS doc_type, n_nationkey % 2 = 0 OR n_regionkey = 1 AS hub_verified, CASE WHEN n_regionkey = 1 THEN 'registered' WHEN n_nationkey % 3 = 0 THEN 'local' ELSE 'remote' END AS source FROM n)
 SELECT * FROM m WHERE hub_verified OR source = 'local'""",
     "registry_lookup": f"WITH n AS (SELECT *, {TYPE_NAME} AS t FROM nation) SELECT t AS doc_type, n_nationkey FROM n WHERE t = 'china' UNION ALL SELECT min(t), NULL FROM n",
     "hub_listing": "WITH c AS (SELECT lower(replace(c_mktsegment, ' ', '_')) || '-' || c_custkey AS t FROM customer WHERE c_custkey % 4 = 0 AND c_custkey % 3 = 0) SELECT t AS doc_type, 'me/phobert-' || t || '-ner' AS repo_id FROM c",
-    "model_file_lists": values([*((n, "kept") for n in [*files.INFERENCE_FILES, "x/vocab.txt", "checkpoint-5/config.json"]), ("checkpoint-5/config.json", "junk"), ("logs/a", "junk"), ("runs/b/c", "junk"), ("optimizer.pt", "junk")], "path, kind"),
+    "model_file_lists": f"""WITH l AS (SELECT 'm' || c_custkey || '/' || ({listed(P.MODEL_FILES)})[c_custkey % {len(P.MODEL_FILES)} + 1] AS path FROM customer)
+SELECT path, 'kept' AS kind FROM l WHERE split_part(path, '/', -1) IN ({listed(files.INFERENCE_FILES)[1:-1]}) UNION ALL SELECT path, 'junk' FROM l WHERE {' OR '.join(f"contains(path, {q(j)})" for j in files.JUNK)}""",
     "stale_types": "SELECT DISTINCT lower(c_mktsegment) AS doc_type FROM customer UNION ALL SELECT lower(n_name) FROM nation WHERE n_regionkey >= 3",
     "legacy_f1": f"SELECT precision, recall, f1, '' AS by_type FROM ({MAIN['entity_f1']}) WHERE type IS NULL",
     "located_labels": """WITH c AS (SELECT c_custkey, c_name, c_mktsegment AS m, 'Name ' || c_name || ' Segment ' || CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'none' END || '.' AS t FROM customer)
