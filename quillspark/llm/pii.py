@@ -15,9 +15,13 @@ Training is log-likelihood over segmentations (forward-backward) on at most
 ``TRAIN_REGIONS`` regions with base spans and as many without, the smallest of each
 by hash over the whole corpus, labelled by the base patterns. Every region with base
 spans comes as it is and in the looser spellings the model is to learn (phones
-without plus sign, spelt-out at signs), labels kept; half
+without plus sign or grouped as elsewhere, cards with dots, slashes or wide gaps,
+spelt-out at signs and dots), labels kept; half
 of the regions without get dates, times, versions, amounts, long numbers that are no
-cards, and stray signs, so the model also sees what is none. A model span counts if its marginal probability is
+cards, and stray signs, so the model also sees what is none. The same regions come
+again with one made-up span each, of any kind and in a looser spelling. Regions of more
+than 2,000 characters are not drawn for training. Bare groups of digits (a number with
+its country code and nothing else to tell it from a list of numbers) are not learnt. A model span counts if its marginal probability is
 at least ``SURE`` and it touches no base span; base spans always stay.
 
 Nulls and odd rows: a null text counts as empty; null and repeated doc_ids keep
@@ -42,7 +46,7 @@ from .workers import turn_to
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_REGIONS = 400
-ROUNDS = 40
+ROUNDS = 30
 SURE = 0.97
 MOST_TOKENS = 7
 CONTEXT = 3
@@ -120,6 +124,9 @@ ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "eu", "uk", "de", "f
 # How a phone number looks as a whole: groups of digits after an optional prefix.
 CALL_FORM = re.compile(r"(?:\+|00)?(?:[0-9]{1,3}[ -]+)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -]+[0-9]{2,7}){1,4}")
 
+# A dot of an IP, spelt out or not.
+OCTET_DOT = re.compile(r" ?(?:\[\.\]|\(\.\)|[\[(]dot[\])]) ?| dot |\.", re.IGNORECASE | re.ASCII)
+
 TRIM = ".,;:!?\"'()[]<>"
 
 
@@ -141,18 +148,31 @@ def features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -> list[s
     digits = digits_of(span)
     n = len(digits)
     parts = span.split(".")
-    before = text[tokens[i - 1][0] : tokens[i - 1][1]].lower()[-12:] if i else "^"
+    octets = OCTET_DOT.split(span) if n < 13 and 4 <= n else []
+    spelt = len(octets) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in octets)
+    # only numbers of a phone's or a card's length have sizes of groups worth telling apart
+    sizes = "-".join(str(len(g)) for g in re.findall(r"[0-9]+", span)) if 9 <= n <= 19 and not any(c.isalpha() for c in span) else ""
     mail = MAIL_FORM.fullmatch(span)
     form = "none" if not mail else f"{'square' if mail[1] else 'word' if mail[2] else '@'}&{mail[4].strip()}&{mail[5].lower() in ENDINGS}"
     return [
-        "bias", f"tokens={j - i}", f"shape={runs[:16]}", f"digits={n if n < 20 else 20}", f"plus={span[:1] == '+'}",
+        "bias", f"tokens={j - i}", f"shape={runs}", f"digits={n if n < 20 else 20}", f"plus={span[:1] == '+'}",
         f"at={span.count('@') if span.count('@') < 2 else 2}", f"mail={mail is not None and mail[5].lower() in ENDINGS}", f"form={form}", f"call={9 <= n <= 15 and CALL_FORM.fullmatch(span) is not None}",
         f"phone={9 <= n <= 15}&{set(span) <= set('0123456789+() .-')}&{j - i}", f"card={13 <= n <= 19 and luhn(digits)}&{13 <= n <= 19}&{set(span) <= set('0123456789 -')}",
+        f"pan={13 <= n <= 19 and luhn(digits) and set(span) <= set('0123456789 -./')}", f"sizes={sizes}", f"lead={digits[:2] if sizes else ''}", f"spelt={spelt}&{j - i}",
         f"ip={len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)}&{len(parts) == 4}", f"letters={any(c.isalpha() for c in span)}&{n > 0}",
-        f"edges={HOT.search(text, *tokens[i]) is not None}&{HOT.search(text, *tokens[j - 1]) is not None}", f"before={before if before in ('at', 'dot', '[at]', '(at)', '[dot]') else HOT.search(before) is not None}",
+        f"edges={HOT.search(text, *tokens[i]) is not None}&{HOT.search(text, *tokens[j - 1]) is not None}", f"before={before(text, tokens, i)}",
     ]
 
 
+def before(text: str, tokens: list[tuple[int, int]], i: int) -> str:
+    """What stands before token i: the region's start, a spelt-out sign, or whether it holds a digit or an at sign."""
+    if not i:
+        return "False"
+    a, b = tokens[i - 1]
+    word = text[a:b].lower() if b - a <= 5 else ""
+    return word if word in ("at", "dot", "[at]", "(at)", "[dot]") else str(HOT.search(text, a, b) is not None)
+
+
 LETTERS = re.compile(r"[A-Za-z]+|[^\W\d_]+")
 MOST_BLANK = 100_000
 
@@ -316,6 +336,58 @@ def region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.bool_()))], names=["draw", "part", "held"])
 
 
+SPELT_DOTS = (" dot ", "[.]", "(.)", " [.] ", "[dot]", " [dot] ", " (dot) ")
+#: How the digits after a country code are grouped.
+GROUPS = ((2, 7), (3, 7), (2, 8), (2, 4, 4), (3, 4, 4), (3, 3, 4), (3, 4, 4), (2, 3, 4), (2, 3, 2, 2), (3, 3, 3), (3, 3, 2, 2), (4, 6), (1, 2, 2, 2, 2))
+
+
+def grouped(digits: str, sizes: tuple[int, ...], sign: str) -> str:
+    out, at = [], 0
+    for n in sizes:
+        out.append(digits[at : at + n])
+        at += n
+    return sign.join(out)
+
+
+def loose_phone(s: str, rnd: random.Random) -> str:
+    """A phone number in some other spelling: without its plus sign, or its digits and more grouped as elsewhere."""
+    own = [s.lstrip("+"), s.lstrip("+").replace(" ", "-"), re.sub(r"^\+[0-9]+ ", "", s), re.sub(r"[() ]+", "-", s.lstrip("+")), re.sub(r"^\+", "00", s)]
+    if rnd.random() < 0.4:
+        return rnd.choice(own)
+    digits = digits_of(s) + "".join(str(rnd.randrange(10)) for _ in range(15))
+    digits = digits[1:] if rnd.random() < 0.5 else "".join(rnd.sample(digits, len(digits)))
+    sizes, sign, code = rnd.choice(GROUPS), rnd.choice((" ", " ", "-", ".")), str(rnd.choice((1, 7, *range(20, 99), *range(350, 390), *range(420, 424), 852, 886, 971)))
+    area = rnd.choice((2, 3, 4))
+    rest = grouped(digits[area:], rnd.choice(((4, 4), (3, 4), (3, 3), (6,), (7,), (2, 2, 2))), sign)
+    return rnd.choice((f"00{code}{sign}{grouped(digits, sizes, sign)}", f"00{code}{sign}{grouped(digits, sizes, sign)}", f"(0{digits[:area]}) {rest}", f"(0{digits[:area]}) {rest}", f"0{digits[:area]}{sign}{rest}"))
+
+
+def loose_card(digits: str, rnd: random.Random) -> str:
+    """A card number in groups, with signs between them that the base pattern does not take."""
+    sizes = (4, 6, 5) if len(digits) == 15 else (4,) * (len(digits) // 4) + ((len(digits) % 4,) if len(digits) % 4 else ())
+    return grouped(digits, sizes, rnd.choice((".", "/", "  ", " / ", " - ", " . ")))
+
+
+def synthetic(kind: str, rnd: random.Random) -> str:
+    """A span of a kind as the base patterns find it, so that the model learns kinds that a corpus hardly has."""
+    n = lambda a, b: str(rnd.randint(a, b))
+    if kind == "ip":
+        return ".".join(n(0, 255) for _ in range(4))
+    if kind == "phone":
+        return f"+{n(1, 99)} ({n(100, 999)}) {n(100, 999)}-{n(1000, 9999)}"
+    if kind == "email":
+        return f"{rnd.choice(('jane', 'info', 'k.lee', 'a_b', 'sales-eu'))}{rnd.choice(('', n(1, 99)))}@{rnd.choice(('mail', 'example', 'post.acme'))}.{rnd.choice(ENDINGS)}"
+    digits = rnd.choice("3456") + "".join(n(0, 9) for _ in range(rnd.choice((14, 13, 14))))
+    return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+
+def planted_region(part: str, rnd: random.Random) -> str:
+    """A region with one span of some kind in it, as a word of its own."""
+    words = part.split(" ")
+    words.insert(rnd.randint(0, len(words)), synthetic(rnd.choice(KINDS), rnd))
+    return " ".join(words)
+
+
 def loosened(part: str, spans: list[tuple[str, int, int]], rnd: random.Random) -> tuple[str, dict[tuple[int, int], int]]:
     """The region with its e-mail and phone spans in looser spellings, and where the spans are now.
 
@@ -338,13 +410,24 @@ def loosened(part: str, spans: list[tuple[str, int, int]], rnd: random.Random) -
             host = host.replace(".", rnd.choice([" dot ", " [dot] ", " (dot) ", "."]))
             s = f"{local}{rnd.choice([' at ', ' [at] ', ' (at) '])}{host}"
         elif kind == "phone":
-            s = rnd.choice([s.lstrip("+"), s.lstrip("+").replace(" ", "-"), re.sub(r"^\+[0-9]+ ", "", s), re.sub(r"[() ]+", "-", s.lstrip("+")), re.sub(r"^\+", "00", s)])
+            s = loose_phone(s, rnd)
+        elif kind == "card":
+            s = loose_card(digits_of(s), rnd)
+        elif kind == "ip":
+            s = rnd.choice(SPELT_DOTS).join(s.split("."))
         found[len(out), len(out) + len(s)] = KINDS.index(kind) + 1
         out += s
         at = b
     return out + part[at:], found
 
 
+def no_card(rnd: random.Random) -> str:
+    """Sixteen digits in groups that fail the check of cards."""
+    while luhn(digits := "".join(str(rnd.randrange(10)) for _ in range(16))):
+        pass
+    return loose_card(digits, rnd)
+
+
 def with_decoys(part: str, rnd: random.Random) -> str:
     """A region without personal data and with other things that hold digits, at signs or spelt-out signs."""
     n = lambda a, b: str(rnd.randint(a, b))
@@ -352,8 +435,11 @@ def with_decoys(part: str, rnd: random.Random) -> str:
     while True:
         words = part.split(" ")
         for _ in range(rnd.randint(1, 3)):
+            zeros = rnd.randint(1, 3)
             decoy = rnd.choice([f"{n(0, 23)} {n(10, 59)}", f"{n(0, 23)}:{n(10, 59)}", n(1900, 2030), f"{n(0, 99)}.{n(0, 99)}", f"{n(1, 999)},{n(100, 999)}", n(10**12, 10**17), n(10**15, 10**16 - 1), n(10**15, 10**16 - 1), f"{n(256, 999)}.{n(0, 999)}.{n(0, 99)}.{n(0, 9)}",
-                                f"{n(0, 9)}.{n(0, 20)}.{n(0, 9)}", f"{n(1, 31)}/{n(1, 12)}/{n(1900, 2030)}", f"{n(1900, 2030)}-{n(10, 12)}-{n(10, 28)}", f"at {n(1, 12)}", f"{n(10, 99999)}", "dot", f"{n(1, 99)} at {n(1, 99)}", f"{n(10, 99)} {n(100, 999)}", f"{rnd.getrandbits(160):040x}", *[" ".join((rnd.choice(own), "at", rnd.choice(own), "dot", rnd.choice(own)))] * 3])
+                                " ".join(n(1900, 2030) for _ in range(rnd.randint(2, 4))), " ".join(n(1, 10 ** rnd.randint(1, 4)) for _ in range(rnd.randint(3, 6))), ", ".join(n(1, 10 ** rnd.randint(1, 5)) for _ in range(rnd.randint(2, 5))), no_card(rnd), no_card(rnd), f"{n(1, 31)} {n(1, 12)} {n(1900, 2030)} {n(0, 23)} {n(10, 59)}", f"{n(1990, 2030)} {n(10, 12)} {n(10, 31)} {n(10, 23)} {n(10, 59)}",
+                                *[" ".join(n(1, 9) + "0" * zeros for _ in range(rnd.randint(3, 6)))] * 2,
+                                f"{n(0, 9)}.{n(0, 20)}.{n(0, 9)}", f"{n(256, 999)} dot {n(0, 255)} dot {n(0, 255)} dot {n(0, 255)}", f"{n(0, 99)} dot {n(0, 99)}", f"{n(1, 31)}/{n(1, 12)}/{n(1900, 2030)}", f"{n(1900, 2030)}-{n(10, 12)}-{n(10, 28)}", f"at {n(1, 12)}", f"{n(10, 99999)}", "dot", f"{n(1, 99)} at {n(1, 99)}", f"{n(10, 99)} {n(100, 999)}", f"{rnd.getrandbits(160):040x}", *[" ".join((rnd.choice(own), "at", rnd.choice(own), "dot", rnd.choice(own)))] * 3])
             words.insert(rnd.randint(0, len(words)), decoy)
         made = " ".join(words)
         if not base_spans(made):
@@ -371,6 +457,10 @@ def train_model(docs: DataFrame, most: int = TRAIN_REGIONS) -> SemiCRF:
         own = {core(part, a, b): KINDS.index(k) + 1 for k, a, b in base}
         examples += [(part, own), loosened(part, base, rnd)]
     examples += [(with_decoys(r.part, rnd) if i % 2 else r.part, {}) for i, r in enumerate(bare)]
+    # every kind in every spelling, whatever the corpus holds: spans of made-up numbers in its bare regions
+    for r in bare if held else []:
+        part = planted_region(r.part, rnd)
+        examples.append(loosened(part, base_spans(part), rnd))
     model = SemiCRF()
     model.train(examples)
     return model
