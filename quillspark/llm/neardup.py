@@ -44,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .spread import spread_join
 from .storage import release, settle
 from .textgrid import U64, Grid, blocks, grid_of, long_lists, mix, per_text
 
@@ -162,8 +163,8 @@ def measure(pairs: DataFrame, texts: DataFrame, k: int, percent: int, rest: bool
 
     A lead with many partners is dealt out in chunks, its text repeated per chunk.
     """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_CHUNK).alias("chunks"))
-    dealt = pairs.join(sizes, "a").select("a", "b", "c", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+    sizes = pairs.groupBy("a").agg(F.count("*").alias("__n")).withColumn("chunks", F.ceil(F.col("__n") / MEMBERS_PER_CHUNK))
+    dealt = spread_join(pairs, sizes, ["a"], "__n", ["b"]).select("a", "b", "c", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
     members = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "c", "text")
     none = F.lit(None).cast("long")
     leads = dealt.select("a", "chunk").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "chunk", none.alias("b"), none.alias("c"), "text")
@@ -195,10 +196,10 @@ def rarest(members: DataFrame, size: Column, length: Column) -> DataFrame:
     before all others and find nobody, so they are left out.
     """
     words = members.withColumn("__size", size.cast("long")).withColumn("__most", length.cast("long")).withColumn("h", F.explode("rest")).drop("rest")
-    often = words.groupBy("a", "h").agg(F.count("*").alias("__often")).where("__often > 1")
+    often = settle(words.groupBy("a", "h").agg(F.count("*").alias("__often")).where("__often > 1").withColumn("__n", F.col("__often")))
     each = Window.partitionBy("a", "b")
     place = F.col("__size") - F.count("*").over(each) + F.row_number().over(each.orderBy("__often", "h"))
-    return settle(words.join(often, ["a", "h"]).withColumn("__place", place).where("__place <= __most").drop("__place", "__often", "__size", "__most"))
+    return settle(spread_join(words, often, ["a", "h"], "__n", ["b"]).withColumn("__place", place).where("__place <= __most").drop("__place", "__often", "__size", "__most"))
 
 
 def possible_pairs(measured: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -208,8 +209,8 @@ def possible_pairs(measured: DataFrame, texts: DataFrame, k: int, percent: int)
     """
     needed = lambda n: F.ceil(percent * n / (100 + percent))
     far = (F.col("cx") != F.col("a")) & (F.col("cx") != F.col("cy"))
-    least = measured.groupBy("a").agg(F.min("n").alias("least"))
-    own = measured.join(least, "a").withColumn("lack", needed(F.col("n") + F.col("least")) - F.col("shared"))
+    least = measured.groupBy("a").agg(F.min("n").alias("least"), F.count("*").alias("__n"))
+    own = spread_join(measured, least, ["a"], "__n", ["b"]).withColumn("lack", needed(F.col("n") + F.col("least")) - F.col("shared"))
     index = rarest(own.select("a", "b", "c", "lack", "rest"), F.size("rest"), F.size("rest") - F.greatest("lack", F.lit(1)) + 1)
     x, y = (index.select("a", "h", F.col("b").alias(f"b{s}"), F.col("c").alias(f"c{s}")) for s in "xy")
     by_rest = x.where("cx <> a").join(y, ["a", "h"]).where(far)

@@ -208,7 +208,7 @@ def _profiled(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = settle(docs.mapInArrow(profile_texts(window), PROFILE))
     full = profile.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
-    reps = settle(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
+    reps = settle(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     seen = full.select("d1", F.explode("seeds").alias("seed"))
     repeated = settle(seen.groupBy("seed").agg(F.min("d1").alias("low"), F.max("d1").alias("high"), F.count("*").alias("n")).where("low <> high").select("seed", "n"))
     release(docs.sparkSession)
@@ -257,9 +257,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     marks = found.where("doc_id > low").groupBy("doc_id", "d1").agg(F.collect_list("start").alias("marks"))
     touched = settle(texts.drop("alive").join(marks, ["doc_id", "d1"]).mapInArrow(drop_words(window), "doc_id long, d1 long, n_removed long, kept_sha256 string"))
     release(docs.sparkSession)
-    rows = profile.select("doc_id", "n_words", "d1", "d2", "whole_sha256").join(reps, ["d1", "d2"], "left").join(touched.distinct(), ["doc_id", "d1"], "left")
     judged = (F.col("n_words") >= window) & F.col("doc_id").isNotNull()
-    copy = judged & (F.col("doc_id") != F.col("rep"))
+    # only classes of several documents are looked up, the large ones by many tasks; what has no class is dealt evenly
+    rows = profile.select("doc_id", "n_words", F.when(judged, F.col("d1")).otherwise(F.xxhash64("doc_id", "d1")).alias("c1"), F.when(judged, F.col("d2")).alias("c2"), "d1", "whole_sha256")
+    several = reps.where("copies > 1").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep", "copies")
+    rows = spread_join(rows, several, ["c1", "c2"], "copies", ["doc_id"], "left").join(touched.distinct(), ["doc_id", "d1"], "left")
+    copy = judged & F.coalesce(F.col("doc_id") != F.col("rep"), F.lit(False))
     return rows.select(
         "doc_id", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),

@@ -15,8 +15,8 @@ give code-point offsets. The sums run over rows (one per match, within its blob,
 where the scan has put them), so a text with very many matches costs in
 proportion.
 
-A blob on very many paths is spread: paths are dealt by blob and salt, and the
-few blobs with findings are repeated for each of the ``SALTS``.
+A blob on very many paths is spread: its paths are counted, and where findings
+meet paths those of such a blob go to as many tasks as they fill.
 
 Nulls and odd rows: a null text counts as empty and has no findings; null and
 repeated paths keep their rows; repeated ledger rows count once; extra columns
@@ -28,15 +28,17 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import shared_folder
+from .spread import spread_join
+from .storage import settle, shared_folder
 
 KINDS = ("assign", "access", "hex")
 #: The version of each rule; raise it with the rule.
 VERSIONS = {"assign": "1", "access": "1", "hex": "1"}
-SALTS = 8
+#: The session setting that names a ledger to keep between runs; without it a run has its own.
+LEDGER_SETTING = "spark.quillspark.secretLedger"
 
 # The patterns; {kind: (pattern, group whose length counts, least length)}.
 RULES = {
@@ -115,21 +117,31 @@ def scan_history(commits: list[DataFrame], folder: str) -> DataFrame:
     return read()
 
 
+def ledger_folder(spark: SparkSession) -> str:
+    """The ledger that the session names, or a new one beside the checkpoints."""
+    return spark.conf.get(LEDGER_SETTING, None) or f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}"
+
+
+def spread_findings(rows: DataFrame, findings: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` (with column blob) and the columns of ``findings`` (one row per blob), null where a blob has none."""
+    paths = rows.select("blob").groupBy("blob").agg(F.count("*").alias("__paths"))
+    return spread_join(rows, settle(findings.join(paths, "blob")), ["blob"], "__paths", by, "left")
+
+
 def findings_of(versions: DataFrame, ledger: DataFrame, *carried: str) -> DataFrame:
     """The carried columns, blob and findings (of all rules, by start, then kind as listed) for every version."""
     per_rule = _current(ledger).where(F.size("findings") > 0).groupBy("blob", "rule").agg(F.first("findings").alias("findings"))
     hits = per_rule.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
-    hits = hits.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    rows = versions.select(*carried, blob_of(F.col("text")).alias("blob")).withColumn("salt", F.pmod(F.xxhash64(*carried[:1]), F.lit(SALTS)).cast("int"))
+    rows = versions.select(*carried, blob_of(F.col("text")).alias("blob"))
     none = F.array().cast(f"array<{FINDING}>")
-    return rows.join(hits, ["blob", "salt"], "left").select(*carried, "blob", F.coalesce("findings", none).alias("findings"))
+    return spread_findings(rows, hits, list(carried[:1])).select(*carried, "blob", F.coalesce("findings", none).alias("findings"))
 
 
 def secret_report(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, blob per document; the ledger's findings are used, what it lacks is scanned."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     new = update_ledger(docs, ledger)
-    return report_from(docs, new if ledger is None else new.unionByName(ledger.select(*new.columns)))
+    return report_from(docs, settle(new if ledger is None else new.unionByName(ledger.select(*new.columns))))
 
 
 def report_from(docs: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -140,15 +152,20 @@ def report_from(docs: DataFrame, ledger: DataFrame) -> DataFrame:
     return found.select("doc_id", *map(count, KINDS), F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"), "blob")
 
 
-def history_report(docs: DataFrame, commits: int = 2, folder: str | None = None) -> DataFrame:
-    """The report of a corpus scanned as a history of ``commits`` parts, by hash of the text, over a written ledger.
+def history_report(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """The report of a corpus scanned as a history of two commits over a written ledger, with ``pairs_skipped``.
 
-    Copies of a text come with the commit that brings it first; without ``folder``
-    the ledger is a new one beside the checkpoints.
+    The first commit holds the documents of even doc_id, the second all of them, as
+    a later snapshot holds what an earlier one did. What the second commit shares
+    with the first is not scanned again: ``pairs_skipped`` tells how many of its pairs
+    of blob and rule the ledger held. Without ``folder`` the ledger is that of the session, or a new one.
     """
-    folder = folder or f"{shared_folder(docs.sparkSession)}/secret-ledger-{uuid.uuid4().hex}"
-    part = F.pmod(F.xxhash64("text"), F.lit(commits))
-    return report_from(docs, scan_history([docs.where(part == i) for i in range(commits)], folder))
+    folder = folder or ledger_folder(docs.sparkSession)
+    before = scan_history([docs.where("doc_id % 2 = 0")], folder).count()
+    ledger = scan_history([docs], folder)
+    asked = docs.select(blob_of(F.col("text")).alias("blob")).distinct().count() * len(KINDS)
+    skipped = asked - (ledger.count() - before)
+    return report_from(docs, ledger).withColumn("pairs_skipped", F.lit(skipped).cast("long"))
 
 
 def cleared(findings: DataFrame) -> DataFrame:
@@ -164,14 +181,17 @@ def cleared(findings: DataFrame) -> DataFrame:
     return opens.groupBy("blob").agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.max("end").alias("rest"))
 
 
-def redact_documents(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """The documents with every stretch of findings in ``text`` replaced by ``mask`` and, where present, ``n_chars`` kept true."""
+def redact_documents(docs: DataFrame, mask: str = "[SECRET]", folder: str | None = None) -> DataFrame:
+    """The documents with every stretch of findings in ``text`` replaced by ``mask`` and, where present, ``n_chars`` kept true.
+
+    Findings come from the ledger in ``folder`` (without it that of the session, or a
+    new one), in which what it lacks is scanned and written first.
+    """
     names = docs.columns
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), blob_of(F.col("text")).alias("blob"))
-    whole = whole.withColumn("salt", F.pmod(F.xxhash64("row.text", *(["row.doc_id"] if "doc_id" in names else [])), F.lit(SALTS)).cast("int"))
-    found = update_ledger(docs).where(F.size("findings") > 0).select("blob", "findings")
-    hits = cleared(found).withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    joined = whole.join(hits, ["blob", "salt"], "left")
+    ledger = _current(scan_history([docs], folder or ledger_folder(docs.sparkSession)))
+    found = ledger.where(F.size("findings") > 0).groupBy("blob", "rule").agg(F.first("findings").alias("findings"))
+    joined = spread_findings(whole, cleared(found), ["row.text", *(["row.doc_id"] if "doc_id" in names else [])])
     text = F.col("row.text")
     # each piece is cut from the text and all are joined once
     kept = F.transform("pieces", lambda p: F.substring(text, p["from"] + 1, p["size"]))
@@ -206,7 +226,8 @@ WITH marked AS (
   FROM kept GROUP BY doc_id
 )
 SELECT m.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(m.text) AS blob
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(m.text) AS blob,
+       3 * (SELECT count(DISTINCT text) FILTER (doc_id % 2 = 0) FROM marked) AS pairs_skipped
 FROM marked m LEFT JOIN listed l ON m.doc_id = l.doc_id
 """
 

@@ -72,7 +72,9 @@ def test_history_over_a_written_ledger(spark, tmp_path):
     assert secrets.scan_history(commits, folder).count() == 4 * 3  # what the run before wrote is not scanned again
     assert secrets.scan_history(commits, folder).count() == 4 * 3
     docs = commits[0].union(commits[1]).union(commits[2])
-    report = secrets.history_report(docs, 3, folder)
+    report = secrets.history_report(docs, folder)
+    assert report.first().pairs_skipped == 4 * 3  # all of them: the ledger held every blob
+    assert secrets.history_report(docs).first().pairs_skipped == 2 * 3  # a ledger of its own: the blobs of documents 2 and 4
     assert sorted((r.doc_id, r.spans) for r in report.collect()) == [(1, "assign:0:18"), (1, "assign:0:18"), (2, ""), (3, "assign:0:18"), (4, ""), (5, "")]
     rows = list(enumerate(texts(400)))
     docs = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
