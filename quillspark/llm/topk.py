@@ -47,6 +47,7 @@ BLOCK_BYTES = 16 << 20
 QUERY_ROWS = 2048
 CHUNK = 1024
 SEED_ROWS = 512
+PAIRS = 16384
 LONG = np.iinfo(np.int64)
 
 
@@ -146,10 +147,7 @@ class Search:
             if not len(i):
                 continue
             q = self.q[part]
-            if len(i) > 0.1 * left.size:
-                scores = (q @ x.T)[i, j]
-            else:
-                scores = np.concatenate([np.einsum("ij,ij->i", q[i[b : b + 65536]], x[j[b : b + 65536]]) for b in range(0, len(i), 65536)])
+            scores = np.concatenate([np.einsum("ij,ij->i", q[i[b : b + PAIRS]], x[j[b : b + PAIRS]]) for b in range(0, len(i), PAIRS)])
             good = scores >= floor[i, 0]
             i, j, scores = i[good], j[good], scores[good]
             order = np.lexsort((ids[j], -scores, i))
