@@ -90,6 +90,17 @@ def first_of_type(etype: str, entities: Column) -> Column:
     return F.when(F.size(entities) > 0, made)
 
 
+def first_of_any(etype: Column, entities: Column) -> Column:
+    """``first_of_type`` for a type that differs from row to row; the array of its entities is not empty."""
+    trimmed = F.transform(entities, lambda x: trim_bleed(etype, x["text"]))
+    merged = any_of(etype, MERGED)
+    head = clean_value(etype, trimmed[0])
+    text = F.when(merged, F.array_join(F.concat(F.array(head), F.slice(trimmed, 2, F.size(trimmed))), ", ")).otherwise(head)
+    first = F.get(entities, F.lit(0))
+    end = F.when(merged, F.element_at(entities, -1)["end"]).otherwise(first["end"])
+    return F.struct(first["ord"].alias("ord"), etype.alias("type"), text.alias("text"), first["start"].alias("start"), end.alias("end"), first["confidence"].alias("confidence"))
+
+
 def merge_fold(entities: DataFrame, *key: str, mergeable: tuple[str, ...] = FREE_TEXT) -> DataFrame:
     """The earlier policy: later texts of mergeable types are appended with a space unless already inside,
     the end is the largest, the confidence the pairwise mean in order; other types keep their first entity."""
