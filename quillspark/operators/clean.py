@@ -92,13 +92,17 @@ def first_of_type(etype: str, entities: Column) -> Column:
 
 def first_of_any(etype: Column, entities: Column) -> Column:
     """``first_of_type`` for a type that differs from row to row; the array of its entities is not empty."""
-    trimmed = F.transform(entities, lambda x: trim_bleed(etype, x["text"]))
     merged = any_of(etype, MERGED)
-    head = clean_value(etype, trimmed[0])
-    text = F.when(merged, F.array_join(F.concat(F.array(head), F.slice(trimmed, 2, F.size(trimmed))), ", ")).otherwise(head)
     first = F.get(entities, F.lit(0))
+    later = F.transform(F.slice(entities, 2, F.size(entities)), lambda x: trim_bleed(etype, x["text"]))
     end = F.when(merged, F.element_at(entities, -1)["end"]).otherwise(first["end"])
-    return F.struct(first["ord"].alias("ord"), etype.alias("type"), text.alias("text"), first["start"].alias("start"), end.alias("end"), first["confidence"].alias("confidence"))
+
+    def made(head: Column) -> Column:
+        text = F.when(merged, F.array_join(F.concat(F.array(head), later), ", ")).otherwise(head)
+        return F.struct(first["ord"].alias("ord"), etype.alias("type"), text.alias("text"), first["start"].alias("start"), end.alias("end"), first["confidence"].alias("confidence"))
+
+    # every text is trimmed once
+    return let(trim_bleed(etype, first["text"]), lambda x: let(clean_value(etype, x), made))
 
 
 def merge_fold(entities: DataFrame, *key: str, mergeable: tuple[str, ...] = FREE_TEXT) -> DataFrame:
