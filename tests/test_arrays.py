@@ -1,10 +1,13 @@
 import json
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.functions import portions
 from quillspark.operators import tokens
 from quillspark.sources import arrays, files
 
@@ -104,3 +107,23 @@ def test_many_entities_cost_in_proportion():
     starts = np.arange(n) * 2
     winner, opens = tokens.first_wins(starts, starts + 1, list(range(0, 2 * n, 2)), [2 * n] * n)  # every entity reaches to the end
     assert (winner == 0).all() and opens.sum() == 1
+
+
+def test_byte_ranges_are_scanned_in_short_stretches(monkeypatch):
+    """One batch with 8 MB of records and one record of 3 MB: no stretch is longer than the bound, and all come back."""
+    rows = [{"t": "x}\\" * 4000} for _ in range(500)] + [{"t": '\\"' * 700_000}]
+    text = json.dumps(rows).split("}")
+    batch = pa.RecordBatch.from_pydict({"value": text, "path": ["p"] * len(text), "block": [0] * len(text)})
+    seen, scan = [], arrays.scan
+    monkeypatch.setattr(arrays, "scan", lambda data, inside: (seen.append(len(data)), scan(data, inside))[1])
+    told = [SimpleNamespace(**(r | {"closed": dict(r["closed"])})) for b in arrays.summaries(iter([batch])) for r in b.to_pylist()]
+    assert len(told) == 2
+    out = [r for b in arrays.cut(arrays.states(told))(iter([batch])) for r in b.to_pylist()]
+    assert [json.loads(r["value"].lstrip("[, ")) for r in out if r["whole"]] == rows
+    assert max(seen) <= portions.MOST_BYTES + 100
+
+
+def test_what_is_no_whole_record_is_never_parsed(spark, tmp_path, small_splits):
+    (tmp_path / "a.json").write_text(json.dumps([{"text": "ab" * i} for i in range(90)]))
+    rows = arrays.read_json_array(spark, str(tmp_path / "a.json"), "text string")
+    assert rows.where(F.col("text").rlike("a")).count() == 89
