@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.portions import in_portions
 from ..functions.text import uniform
+from .decode import ENTITIES, decoded_spans, span_lists
+from .tokens import TOKENS, token_lists, tokens_with_offsets
+
+LABELLED = T.ArrayType(T.StructType([*TOKENS.elementType.fields, T.StructField("label", T.StringType()), T.StructField("conf", T.DoubleType())]))
 
 
 class TokenLabeler(Protocol):
@@ -29,6 +37,16 @@ def labelled(tokens: Column, label, conf) -> Column:
     return F.transform(named, lambda x, i: F.struct(x["token"].alias("token"), x["start"].alias("start"), x["end"].alias("end"), x["label"].alias("label"), conf(x, i).alias("conf")))
 
 
+def draws(heads: list[bytes], tails: list[bytes]) -> np.ndarray:
+    """``uniform`` for every head with the tail beside it: the MD5 of both, its first four bytes as a number in [0, 1)."""
+    return np.frombuffer(b"".join([md5(a + b).digest() for a, b in zip(heads, tails)]), ">u4")[::4] / 4294967296.0
+
+
+def head_of(*parts: object) -> bytes:
+    """The beginning of a key of ``uniform``, its nulls left out."""
+    return b"".join(str(p).encode() + b"|" for p in parts if p is not None)
+
+
 class HashLabeler:
     """Pseudo-labels from hashes, for plans and tests without a model."""
 
@@ -41,9 +59,27 @@ class HashLabeler:
         return tokens.withColumn("label", label).withColumn("conf", F.floor(uniform(self.seed, F.col(key), F.col("tok_idx"), "conf") * 64) / 64)
 
     def label_array(self, tokens: Column, key: str) -> Column:
-        names = F.array(*map(F.lit, self.labels))
-        pick = lambda x, i: F.element_at(names, (F.floor(uniform(self.seed, F.col(key), i, "label") * len(self.labels)) + 1).cast("int"))
-        return labelled(tokens, pick, lambda x, i: F.floor(uniform(self.seed, F.col(key), i, "conf") * 64) / 64)
+        return in_portions(self.label_lists, LABELLED)(tokens, F.col(key).cast("string"))
+
+    def label_lists(self, tokens: pa.Array, keys: pa.Array) -> pa.Array:
+        """The same of every document's list at once."""
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0), np.int64)
+        flat = tokens.flatten()
+        heads = [h for k, n in zip(keys.to_pylist(), sizes.tolist()) for h in [head_of(self.seed, k)] * n]
+        places = [b"%d|" % i for i in range(int(sizes.max(initial=0)))]
+        own = [p for n in sizes.tolist() for p in places[:n]]
+        at, share = (draws(heads, [p + slot for p in own]) for slot in (b"label", b"conf"))
+        label = pa.array(self.labels, pa.string()).take(pa.array((at * len(self.labels)).astype(np.int64)))
+        rows = pa.StructArray.from_arrays([*(flat.field(c) for c in ("token", "start", "end")), label, pa.array(np.floor(share * 64) / 64)], names=LABELLED.elementType.names)
+        at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at, mask=np.append(np.asarray(tokens.is_null()), False)), rows)
+
+
+def entity_spans(text: Column, key: str, labeler: TokenLabeler, value_only: bool = False) -> Column:
+    """A text's entities (see ``decoded_spans``). With a labeler of whole lists, tokens never leave the task's Python."""
+    if not hasattr(labeler, "label_lists"):
+        return decoded_spans(labeler.label_array(tokens_with_offsets(text), key), value_only)
+    return in_portions(lambda t, k: span_lists(labeler.label_lists(token_lists(t), k), value_only), ENTITIES)(text, F.col(key).cast("string"))
 
 
 class RuleLabeler:

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, let
 from ..operators.clean import first_of_any, is_valid
-from ..operators.decode import decode_rows, decoded_spans
+from ..operators.decode import decode_rows
 from ..operators.detect import BUILT_IN_RULES, detect, keyword_score_array
-from ..operators.labeler import RuleLabeler, TokenLabeler
+from ..operators.labeler import RuleLabeler, TokenLabeler, entity_spans
 from ..operators.mapping import DEFAULT_MAPPINGS
-from ..operators.tokens import tokens_with_offsets
 from .extract import GENERAL_RULES, decided, labelled_tokens
 
 #: Types are broadcast up to this many mapped types and fields together; beyond, they are joined by shuffle.
@@ -137,9 +136,8 @@ class Extractor:
     def extract(self, docs: DataFrame, types: str | None = None, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), with_confidence: bool = False, validate: bool = True, clean: bool = True) -> DataFrame:
         """key, ``keep``, doc_type, record of every document, by the type in its column ``types`` or else the one meant."""
         named = (F.col(types) if types else F.lit(self._named(None))).cast("string")
-        rows = docs.select(key, *keep, named.alias("doc_type"), tokens_with_offsets(text).alias("__t"))
-        labelled = (self.labeler or RuleLabeler(GENERAL_RULES)).label_array(F.col("__t"), key)
-        rows = rows.select(key, *keep, "doc_type", decoded_spans(labelled).alias("entities"))
+        found = entity_spans(F.col(text), key, self.labeler or RuleLabeler(GENERAL_RULES))
+        rows = docs.select(key, *keep, named.alias("doc_type"), found.alias("entities"))
         return typed_records(rows, type_table(self.mappings, self.fields), key, *keep, clean=clean, validate=validate, with_confidence=with_confidence)
 
     def extract_with_confidence(self, docs: DataFrame, types: str | None = None, **options: object) -> DataFrame:
