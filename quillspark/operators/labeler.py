@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.portions import in_portions
+from ..functions.portions import MOST_BYTES, in_portions
 from ..functions.text import uniform
 from .decode import ENTITIES, decoded_spans, span_lists
 from .tokens import TOKENS, token_lists, tokens_with_offsets
+from .windows import CONTENT, WINDOWS
 
 LABELLED = T.ArrayType(T.StructType([*TOKENS.elementType.fields, T.StructField("label", T.StringType()), T.StructField("conf", T.DoubleType())]))
 
@@ -105,6 +106,15 @@ class RuleLabeler:
         return labelled(tokens, named, lambda x, i: F.when(x["label"] == "O", 0.5).otherwise(1.0))
 
 
+def window_lists(windows: pa.Array, labels: pa.Array, confs: pa.Array) -> pa.Array:
+    """Windows (win, start, labels, confs) from windows (win, start, ids) and a label and confidence for every id."""
+    flat = windows.flatten()
+    upto = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(flat.field("ids")), 0), np.int64)))).astype(np.int32)
+    each = pa.StructArray.from_arrays([flat.field("win"), flat.field("start"), *(pa.ListArray.from_arrays(pa.array(upto), x) for x in (labels, confs))], names=WINDOWS.elementType.names)
+    at = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(windows), 0), np.int64)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), each)
+
+
 class IdLabeler:
     """Labels and confidences that follow from the sub-word id alone, in the place of a model."""
 
@@ -117,6 +127,16 @@ class IdLabeler:
         return rows.select(*key, "win", (F.col("start") + F.col("i")).alias("pos"), label.alias("label"), (F.col("id") % 64 / 64.0).cast("double").alias("conf"))
 
 
+    def label_window_lists(self, windows: Column) -> Column:
+        """The same on the document's row: an array of (win, start, labels, confs) from one of (win, start, ids)."""
+
+        def labelled(part: pa.Array) -> pa.Array:
+            ids = np.asarray(part.flatten().field("ids").flatten(), np.int64)
+            return window_lists(part, pa.array(self.labels, pa.string()).take(pa.array(ids % len(self.labels))), pa.array(ids % 64 / 64.0))
+
+        return in_portions(labelled, WINDOWS, MOST_BYTES // CONTENT)(windows)
+
+
 class ModelLabeler:
     """A model loaded once per Python worker: ``load()`` gives a function from lists of id windows to
     (labels, confidences) per position."""
@@ -139,6 +159,19 @@ class ModelLabeler:
         return windows.select(*key, "win", "start", "ids").mapInPandas(run, ", ".join([*(f"`{k}` {types[k]}" for k in key), "win long, pos long, label string, conf double"]))
 
 
+    def label_window_lists(self, windows: Column) -> Column:
+        """The same on the document's row: an array of (win, start, labels, confs) from one of (win, start, ids)."""
+        load, loaded = self.load, []
+
+        def labelled(part: pa.Array) -> pa.Array:
+            if not loaded:
+                loaded.append(load())
+            done = loaded[0](part.flatten().field("ids").to_pylist())
+            return window_lists(part, pa.array([x for own, _ in done for x in own], pa.string()), pa.array([c for _, own in done for c in own], pa.float64()))
+
+        return in_portions(labelled, WINDOWS, MOST_BYTES // CONTENT)(windows)
+
+
 class TaggerWeights:
     """A linear tagger of sub-words: a score per (bucket of id, label), softmax over labels.
 
@@ -178,6 +211,13 @@ class BatchLabeler:
 
     def label_windows(self, windows: DataFrame, *key: str) -> DataFrame:
         """key, win, pos, label, conf from (key, win, start, ids)."""
+        rows = self.label_window_rows(windows, *key)
+        each = rows.select(*key, "win", "start", F.posexplode(F.arrays_zip("labels", "confs")).alias("i", "o"))
+        names = F.array(*map(F.lit, self.model.labels))
+        return each.select(*key, "win", (F.col("start") + F.col("i")).alias("pos"), F.coalesce(F.get(names, F.col("o.labels")), F.lit("O")).alias("label"), F.col("o.confs").alias("conf"))
+
+    def label_window_rows(self, windows: DataFrame, *key: str) -> DataFrame:
+        """key, win, start, labels (their numbers), confs: a row stays a window."""
         model = self.model
 
         def make():
@@ -191,6 +231,5 @@ class BatchLabeler:
         call = predict_batch_udf(make, return_type=result, batch_size=self.batch_size, input_tensor_shapes=[[self.length]])
         padded = F.concat("ids", F.array_repeat(F.lit(-1), self.length - F.size("ids")))
         rows = windows.withColumn("__out", call(padded))
-        each = rows.select(*key, "win", "start", F.posexplode(F.slice(F.arrays_zip("__out.best", "__out.conf"), F.lit(1), F.size("ids"))).alias("i", "o"))
-        names = F.array(*map(F.lit, model.labels))
-        return each.select(*key, "win", (F.col("start") + F.col("i")).alias("pos"), F.coalesce(F.get(names, F.col("o.best")), F.lit("O")).alias("label"), F.col("o.conf").alias("conf"))
+        own = lambda c: F.slice(c, F.lit(1), F.size("ids"))
+        return rows.select(*key, "win", "start", own("__out.best").alias("labels"), own("__out.conf").alias("confs"))

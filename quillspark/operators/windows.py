@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+PLACES = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("conf", T.DoubleType())]))
+WINDOWS = T.ArrayType(T.StructType([T.StructField("win", T.LongType()), T.StructField("start", T.LongType()), T.StructField("labels", T.ArrayType(T.StringType())), T.StructField("confs", T.ArrayType(T.DoubleType()))]))
 CONTENT, INFER_STEP, TRAIN_STEP = 254, 128, 126
 
 
@@ -20,6 +26,61 @@ def window_spans(rows: DataFrame, n: str, content: int = CONTENT, step: int = IN
     return out.withColumn("start", F.col("win") * step).withColumn("end", F.least(F.col("win") * step + content, F.col(n)).cast("long"))
 
 
+def window_arrays(ids: Column, content: int = CONTENT, step: int = INFER_STEP) -> Column:
+    """The windows (win, start, ids) of a document's sub-words as an array on its row."""
+    numbers = F.sequence(F.lit(0).cast("long"), window_count(F.size(ids), content, step) - 1)
+    made = F.transform(numbers, lambda w: F.struct(w.alias("win"), (w * step).alias("start"), F.slice(ids, (w * step + 1).cast("int"), F.lit(content)).alias("ids")))
+    return F.when(F.size(ids) > 0, made).otherwise(F.array().cast("array<struct<win:bigint,start:bigint,ids:array<int>>>"))
+
+
+def merge_lists(windows: pa.Array, n: pa.Array, names: list[str] | None = None) -> pa.Array:
+    """``merge_overlaps`` and ``fill_gaps`` of whole documents: from every document's list of windows (win, start, labels, confs)
+    the (label, conf) of its n places. With ``names`` labels are numbers of them. Nothing leaves the document's row."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(windows), 0), np.int64)
+    counts = np.asarray(pc.fill_null(n, 0), np.int64)
+    base = np.concatenate(([0], np.cumsum(counts)))
+    flat = windows.flatten()
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(flat.field("labels")), 0), np.int64)
+    labels, conf = flat.field("labels").flatten(), np.asarray(flat.field("confs").flatten(), np.float64)
+    if names is None:
+        coded = labels.dictionary_encode()
+        labels, names = coded.indices, coded.dictionary.to_pylist()
+    names = [*names, "O"]
+    code = np.asarray(pc.fill_null(labels, len(names) - 1), np.int64)
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    pos = np.asarray(flat.field("start"), np.int64)[of] + np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    doc, win = np.repeat(np.arange(len(sizes)), sizes)[of], np.asarray(flat.field("win"), np.int64)[of]
+    some = np.flatnonzero((pos >= 0) & (pos < counts[doc]))
+    place, code, win, conf = (base[doc] + pos)[some], code[some], win[some], conf[some]
+    order = np.lexsort((win, code, place))
+    place, code, win, conf = place[order], code[order], win[order], conf[order]
+    new = np.concatenate(([True], (place[1:] != place[:-1]) | (code[1:] != code[:-1]))) if len(place) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    mean = np.bincount(group, conf, len(first)) / np.maximum(np.bincount(group, minlength=len(first)), 1)
+    place, code, win = place[first], code[first], win[first]
+    order = np.lexsort((win, -mean, place))
+    best = order[np.concatenate(([True], np.diff(place[order]) != 0))] if len(order) else order
+    label, score = np.full(int(base[-1]), len(names) - 1), np.zeros(int(base[-1]))
+    label[place[best]], score[place[best]] = code[best], mean[best]
+    rows = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(label)), pa.array(score)], names=["label", "conf"])
+    return pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), rows)
+
+
+def word_lists(places: pa.Array, sizes: pa.Array) -> pa.Array:
+    """``words_from_subwords`` of whole documents: (label, conf) of every word of ``sizes`` sub-words; (O, 0.0) of a word without any."""
+    upto, counts = (np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(x), 0), np.int64)))) for x in (sizes, places))
+    size = np.asarray(sizes.flatten(), np.int64)
+    ends = np.concatenate(([0], np.cumsum(size)))
+    if (ends[upto] != counts).any():
+        raise ValueError("the sub-words of a document's words are not as many as its places")
+    flat = places.flatten()
+    word = np.repeat(np.arange(len(size)), size)
+    conf = np.bincount(word, np.asarray(flat.field("conf")), len(size)) / np.maximum(size, 1)
+    label = pc.fill_null(flat.field("label").take(pa.array(ends[:-1], mask=size == 0)), "O")
+    return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.StructArray.from_arrays([label, pa.array(conf)], names=["label", "conf"]))
+
+
 def train_windows(rows: DataFrame, length: int = 256, overlap: int = 128, cls: int = 0, sep: int = 2, pad: int = 1) -> DataFrame:
     """input_ids, attention_mask, labels of fixed length from (ids, label_ids) arrays."""
     content = length - 2
@@ -53,7 +114,8 @@ def merge_overlaps(predictions: DataFrame, *key: str) -> DataFrame:
 def fill_gaps(merged: DataFrame, lengths: DataFrame, n: str, *key: str) -> DataFrame:
     """Positions no window covers become (O, 0.0)."""
     every = lengths.where(F.col(n) > 0).select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1)).alias("pos"))
-    return every.join(merged, [*key, "pos"], "left").select(*key, "pos", F.coalesce("label", F.lit("O")).alias("label"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
+    # Spark takes the rows of ``every`` for as few as the documents they come from, and would broadcast them
+    return every.join(merged.hint("merge"), [*key, "pos"], "left").select(*key, "pos", F.coalesce("label", F.lit("O")).alias("label"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
 
 
 def words_from_subwords(positions: DataFrame, *key: str, word: str = "word") -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.portions import MOST_BYTES, in_portions
 from ..functions.text import display_name
 from ..operators import detect, labels, metrics, registry, template, tokens
 from ..operators.labeler import BatchLabeler, TaggerWeights
-from ..operators.windows import CONTENT, fill_gaps, merge_overlaps, window_spans
+from ..operators.windows import CONTENT, PLACES, merge_lists, window_spans
 from ..sources import arrays, files, versions
 from ..sources.shared import shared_folder
 from ..streaming.clean import run_available, sessions
@@ -54,10 +55,13 @@ def model_serving(spark: SparkSession, sf: str) -> DataFrame:
     model = TaggerWeights.fit(tagged.select(F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("labels").alias("label")))), TAGS, BUCKETS)
     sized = rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n"))
     wins = window_spans(sized, "n")
-    wins = wins.select("doc_id", "win", "start", F.slice("ids", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("ids"))
-    merged = fill_gaps(merge_overlaps(BatchLabeler(model, CONTENT).label_windows(wins, "doc_id"), "doc_id"), sized.select("doc_id", "n"), "n", "doc_id")
-    counts = [F.count_if(F.col("label") == t).alias(c) for t, c in zip(TAGS, ("n_o", "n_b", "n_i"))]
-    return merged.groupBy("doc_id").agg(F.count("*").alias("n"), *counts, F.round(F.min("conf"), 4).alias("least_conf"), F.round(F.max("conf"), 4).alias("most_conf"))
+    wins = wins.select("doc_id", "n", "win", "start", F.slice("ids", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("ids"))
+    done = BatchLabeler(model, CONTENT).label_window_rows(wins, "doc_id", "n")
+    gathered = done.groupBy("doc_id", "n").agg(F.collect_list(F.struct("win", "start", "labels", "confs")).alias("w"))  # a document's windows, not its places
+    merged = gathered.select("doc_id", "n", in_portions(lambda w, n: merge_lists(w, n, list(TAGS)), PLACES, MOST_BYTES // CONTENT)("w", "n").alias("p"))
+    counts = [F.size(F.filter("p", lambda x: x["label"] == t)).cast("long").alias(c) for t, c in zip(TAGS, ("n_o", "n_b", "n_i"))]
+    conf = F.transform("p", lambda x: x["conf"])
+    return merged.select("doc_id", "n", *counts, F.round(F.array_min(conf), 4).alias("least_conf"), F.round(F.array_max(conf), 4).alias("most_conf"))
 
 
 def legacy_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,41 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.decode import decode_bio
-from ..operators.labeler import ModelLabeler
-from ..operators.tokens import tokens_with_offsets
-from ..operators.windows import CONTENT, INFER_STEP, fill_gaps, merge_overlaps, window_spans, words_from_subwords
+from ..functions.portions import in_portions
+from ..operators.decode import ENTITIES, span_lists
+from ..operators.labeler import IdLabeler, ModelLabeler
+from ..operators.tokens import TOKENS, token_lists
+from ..operators.windows import CONTENT, INFER_STEP, merge_lists, window_arrays, word_lists
+
+ENCODED = T.StructType([T.StructField("tokens", TOKENS), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("sizes", T.ArrayType(T.IntegerType()))])
 
 
 def encode_subwords(docs: DataFrame, encode: Callable[[str], list[int]], key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, tokens, ids (flat sub-word ids), sizes (sub-words per token; 0 for a token without any)."""
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def ids_of(tokens: pd.Series) -> pd.Series:
-        return tokens.map(lambda row: [list(encode(t)) for t in row])
+    def encoded(texts: pa.Array) -> pa.Array:
+        tokens = token_lists(texts)
+        each = [list(encode(t)) for t in tokens.flatten().field("token").to_pylist()]
+        sizes = np.array([len(x) for x in each], np.int32)
+        at = np.concatenate(([0], np.cumsum(sizes)))[np.asarray(tokens.offsets)].astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(at), pa.array([i for x in each for i in x], pa.int32()))
+        return pa.StructArray.from_arrays([tokens, ids, pa.ListArray.from_arrays(tokens.offsets, pa.array(sizes))], names=ENCODED.names)
 
-    rows = docs.select(key, tokens_with_offsets(text).alias("tokens")).withColumn("__ids", ids_of(F.transform("tokens", lambda t: t["token"])))
-    return rows.select(key, "tokens", F.flatten("__ids").alias("ids"), F.transform("__ids", F.size).alias("sizes"))
+    return docs.select(key, in_portions(encoded, ENCODED)(text).alias("__e")).select(key, "__e.tokens", "__e.ids", "__e.sizes")
 
 
-def predict(docs: DataFrame, encode: Callable[[str], list[int]], labeler: ModelLabeler, key: str = "doc_id", text: str = "text", content: int = CONTENT, step: int = INFER_STEP) -> DataFrame:
+def predict(docs: DataFrame, encode: Callable[[str], list[int]], labeler: ModelLabeler | IdLabeler, key: str = "doc_id", text: str = "text", content: int = CONTENT, step: int = INFER_STEP) -> DataFrame:
     """key, ord, type, text, start, end, label, confidence of the entities a model finds.
 
     Windows overlap; a position takes the label of the highest mean confidence,
     a token its first sub-word's label and the mean confidence of all of them, a
-    token without sub-words (O, 0.0). Everything after the model is keyed by document.
+    token without sub-words (O, 0.0). A document never leaves its row.
     """
-    rows = encode_subwords(docs, encode, key, text).withColumn("n", F.size("ids").cast("long"))
-    wins = window_spans(rows.select(key, "ids", "n"), "n", content, step)
-    wins = wins.select(key, "win", "start", F.slice("ids", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("ids"))
-    merged = fill_gaps(merge_overlaps(labeler.label_windows(wins, key), key), rows.select(key, "n"), "n", key)
-    word_at = rows.select(key, F.posexplode(F.flatten(F.transform("sizes", lambda n, i: F.array_repeat(i.cast("long"), n)))).alias("pos", "word")).withColumn("pos", F.col("pos").cast("long"))
-    words = words_from_subwords(merged.join(word_at, [key, "pos"]), key)
-    tokens = rows.select(key, F.posexplode("tokens").alias("word", "t")).select(key, F.col("word").cast("long").alias("word"), "t.token", F.col("t.start").cast("long").alias("start"), F.col("t.end").cast("long").alias("end"))
-    tagged = tokens.join(words, [key, "word"], "left").select(key, F.col("word").alias("tok_idx"), "token", "start", "end", F.coalesce("label", F.lit("O")).alias("label"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
-    return decode_bio(tagged, key)
+
+    def found(tokens: pa.Array, sizes: pa.Array, n: pa.Array, windows: pa.Array) -> pa.Array:
+        words = word_lists(merge_lists(windows, n), sizes).flatten()
+        flat = tokens.flatten()
+        rows = pa.StructArray.from_arrays([*(flat.field(c) for c in ("token", "start", "end")), words.field("label"), words.field("conf")], names=["token", "start", "end", "label", "conf"])
+        return span_lists(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.asarray(tokens.value_lengths(), np.int64)))).astype(np.int32)), rows))
+
+    rows = encode_subwords(docs, encode, key, text).select(key, "tokens", "sizes", F.size("ids").cast("long").alias("n"), window_arrays(F.col("ids"), content, step).alias("w"))
+    labelled = rows.withColumn("w", labeler.label_window_lists(F.col("w")))
+    return labelled.select(key, F.inline(in_portions(found, ENTITIES)("tokens", "sizes", "n", "w")))
