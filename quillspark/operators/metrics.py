@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+COUNTS = T.ArrayType(T.StructType([T.StructField("type", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("tp", "n_pred", "n_gold"))]))
 
 
 def chunks(tags: DataFrame, *key: str, label: str = "label") -> DataFrame:
@@ -21,6 +27,41 @@ def entity_scores(gold: DataFrame, predicted: DataFrame, *key: str) -> DataFrame
     on = [*key, "type", "start", "end"]
     both = chunks(gold, *key).withColumn("g", F.lit(1)).join(chunks(predicted, *key).withColumn("p", F.lit(1)), on, "full_outer")
     counts = both.groupBy("type").agg(F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count("p").alias("n_pred"), F.count("g").alias("n_gold"))
+    return scored(counts)
+
+
+def chunk_lists(labels: pa.Array, numbers: dict[str, int]) -> tuple[np.ndarray, ...]:
+    """Document, number of the type, first and last place (counted over all documents) of the chunks of lists of tags."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(labels), 0), np.int64)
+    coded = labels.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    kinds = np.array([*(-1 if x == "O" else numbers.setdefault(x[2:], len(numbers)) for x in names), -1])
+    begins = np.array([*(x.startswith("B-") for x in names), False])
+    code = np.asarray(pc.fill_null(coded.indices, len(names)), np.int64)
+    kind, doc = kinds[code], np.repeat(np.arange(len(sizes)), sizes)
+    before = np.concatenate(([-1], kind[:-1])) if len(kind) else kind
+    other = np.concatenate(([True], doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, bool)
+    new = (kind >= 0) & (begins[code] | (kind != before) | other)
+    first = np.flatnonzero(new)
+    edges = np.append(np.flatnonzero(new | (kind < 0) | other), len(kind))
+    return doc[first], kind[first], first, edges[np.searchsorted(edges, first, side="right")] - 1
+
+
+def count_lists(gold: pa.Array, predicted: pa.Array) -> pa.Array:
+    """(type, tp, n_pred, n_gold) of every document's two lists of tags of the same length."""
+    numbers: dict[str, int] = {}
+    (doc, kind, first, last), (doc2, kind2, first2, last2) = (chunk_lists(x, numbers) for x in (gold, predicted))
+    width = max(len(numbers), 1)
+    _, i, j = np.intersect1d(first, first2, assume_unique=True, return_indices=True)
+    hit = i[(kind[i] == kind2[j]) & (last[i] == last2[j])]
+    n_gold, n_pred, tp = (np.bincount(d * width + k, minlength=len(gold) * width) for d, k in ((doc, kind), (doc2, kind2), (doc[hit], kind[hit])))
+    some = np.flatnonzero(n_gold + n_pred)
+    rows = pa.StructArray.from_arrays([pa.array(list(numbers), pa.string()).take(pa.array(some % width)), *(pa.array(x[some].astype(np.int64)) for x in (tp, n_pred, n_gold))], names=["type", "tp", "n_pred", "n_gold"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(some, np.arange(len(gold) + 1) * width).astype(np.int32)), rows)
+
+
+def scored(counts: DataFrame) -> DataFrame:
+    """The scores of rows (type, tp, n_pred, n_gold), one for each type, and over all."""
     every = counts.agg(F.lit(None).cast("string").alias("type"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "n_pred", "n_gold")))
     rows = counts.unionByName(every)
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
