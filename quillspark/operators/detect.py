@@ -210,6 +210,27 @@ def register(rules: dict[str, dict[str, list[str]]], doc_type: str, strong: list
     return out | {doc_type: {"strong": list(strong), "weak": list(weak), "exclude": others}}
 
 
+def nearest(batches: Iterator[pa.RecordBatch], ids: np.ndarray, q: np.ndarray, k: int, queries: int = 256, vectors: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the k vectors of highest inner product for every query, over batches of (id, v); -inf where there are fewer.
+
+    At most ``queries`` times ``vectors`` products exist at once.
+    """
+    best, who = np.full((len(ids), k), -np.inf), np.zeros((len(ids), k), np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows if len(ids) else 0, vectors):
+            part = batch.slice(at, vectors)
+            own = np.asarray(part.column("id"))
+            x = np.asarray(part.column("v").flatten()).reshape(len(own), -1)
+            for low in range(0, len(ids), queries):
+                s = slice(low, low + queries)
+                scores = np.round(q[s] @ x.T, 6)
+                scores[ids[s, None] == own[None, :]] = -np.inf
+                every, names = np.hstack((best[s], scores)), np.hstack((who[s], np.broadcast_to(own, scores.shape)))
+                order = np.lexsort((names, -every), axis=1)[:, :k]
+                best[s], who[s] = np.take_along_axis(every, order, 1), np.take_along_axis(names, order, 1)
+    return best, who
+
+
 def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block_rows: int = 4096) -> DataFrame:
     """query_id, rank, key, score: the k vectors of highest inner product per query.
 
@@ -227,18 +248,7 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int, key: str =
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, q = shared.value
-            best = np.full((len(ids), 0), 0.0)
-            who = np.zeros((len(ids), 0), np.int64)
-            for batch in batches:
-                for at in range(0, batch.num_rows if len(ids) else 0, 2048):
-                    part = batch.slice(at, 2048)
-                    own = np.asarray(part.column("id"))
-                    x = np.asarray(part.column("v").flatten()).reshape(len(own), -1)
-                    scores = np.round(q @ x.T, 6)
-                    scores[ids[:, None] == own[None, :]] = -np.inf
-                    best, who = np.hstack((best, scores)), np.hstack((who, np.broadcast_to(own, scores.shape)))
-                    order = np.lexsort((who, -best), axis=1)[:, :k]
-                    best, who = np.take_along_axis(best, order, 1), np.take_along_axis(who, order, 1)
+            best, who = nearest(batches, ids, q, k)
             keep = np.isfinite(best)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(axis=1))), pa.array(who[keep]), pa.array(best[keep])], names=["query_id", key, "score"])
 
