@@ -78,8 +78,11 @@ def index_versions(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_folder(spark, "detector")
     rules = detect.rules_frame(spark, detect.BUILT_IN_RULES)
     corpora = _lang_corpora(spark, sf)
-    for part in (corpora.where(F.pmod(F.xxhash64("corpus"), F.lit(2)) == 0), corpora, corpora):  # the last write changes nothing
-        versions.commit_version(root, {"rules": rules, "index": detect.tfidf_index(part).select("doc_type", "term", F.round("weight", 4).alias("weight"), F.round("idf", 4).alias("idf"))})
+    index_of = lambda rows: detect.tfidf_index(rows).select("doc_type", "term", F.round("weight", 4).alias("weight"), F.round("idf", 4).alias("idf"))
+    whole = index_of(corpora).persist()  # the most frequent terms only: small, and written twice from one reading of the texts
+    for index in (index_of(corpora.where(F.pmod(F.xxhash64("corpus"), F.lit(2)) == 0)), whole, whole):  # the last write changes nothing
+        versions.commit_version(root, {"rules": rules, "index": index})
+    whole.unpersist()
     origin, _, index = detect.load_detector(spark, stores=[f"{root}-missing", root])
     number = versions.newest(spark, root)
     return index.select("doc_type", "term", "weight", "idf", F.lit(number).cast("long").alias("version"), F.lit(origin).alias("origin"))
