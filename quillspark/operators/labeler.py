@@ -180,14 +180,14 @@ class TaggerWeights:
     """
 
     def __init__(self, labels: list[str], scores: np.ndarray) -> None:
-        self.labels, self.scores = labels, scores
+        self.labels, self.scores, self._best = labels, scores, None
 
     @classmethod
     def fit(cls, rows: DataFrame, labels: list[str], buckets: int) -> TaggerWeights:
-        """From rows (id, label)."""
+        """From rows (id, label), or (id, label, n) that stand for n of them."""
         counts = np.zeros((buckets, len(labels)))
         place = {x: i for i, x in enumerate(labels)}
-        found = rows.where(F.col("label").isin(*labels)).groupBy(F.pmod("id", F.lit(buckets)).alias("bucket"), "label").agg(F.count("*").alias("n"))
+        found = rows.where(F.col("label").isin(*labels)).groupBy(F.pmod("id", F.lit(buckets)).alias("bucket"), "label").agg((F.sum("n") if "n" in rows.columns else F.count("*")).alias("n"))
         for r in found.collect():  # at most buckets times labels rows
             counts[r.bucket, place[r.label]] = r.n
         prior = np.log(counts.sum(axis=0) + 1)
@@ -195,12 +195,12 @@ class TaggerWeights:
 
     def predict(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best label's number and its probability for every id; a negative id (padding) has none."""
-        logits = self.scores[np.maximum(ids, 0) % len(self.scores)]
-        logits = logits - logits.max(axis=-1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=-1, keepdims=True)
-        best = p.argmax(axis=-1)
-        return best, np.take_along_axis(p, best[..., None], -1)[..., 0]
+        if self._best is None:  # a bucket's answer is the same wherever it is met
+            p = np.exp(self.scores - self.scores.max(axis=-1, keepdims=True))
+            p /= p.sum(axis=-1, keepdims=True)
+            self._best = p.argmax(axis=-1), p.max(axis=-1)
+        bucket = np.maximum(ids, 0) % len(self.scores)
+        return self._best[0][bucket], self._best[1][bucket]
 
 
 class BatchLabeler:
@@ -233,3 +233,17 @@ class BatchLabeler:
         rows = windows.withColumn("__out", call(padded))
         own = lambda c: F.slice(c, F.lit(1), F.size("ids"))
         return rows.select(*key, "win", "start", own("__out.best").alias("labels"), own("__out.conf").alias("confs"))
+
+    def label_flat(self, ids: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Labels (their numbers) and confidences of the places of windows, one window after the other, inside a task's Python:
+        ``ids`` of documents one after the other, of every window the first place among them and its length."""
+        best, conf = np.zeros(int(lengths.sum()), np.int64), np.zeros(int(lengths.sum()))
+        upto = np.concatenate(([0], np.cumsum(lengths)))
+        for a in range(0, len(first), self.batch_size):
+            b = min(a + self.batch_size, len(first))
+            own = np.arange(self.length) < lengths[a:b, None]
+            padded = np.full(own.shape, -1, np.int64)
+            padded[own] = ids[(first[a:b, None] + np.arange(self.length))[own]]
+            named, p = self.model.predict(padded)
+            best[upto[a] : upto[b]], conf[upto[a] : upto[b]] = named[own], p[own]
+        return best, conf

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 PLACES = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("conf", T.DoubleType())]))
 WINDOWS = T.ArrayType(T.StructType([T.StructField("win", T.LongType()), T.StructField("start", T.LongType()), T.StructField("labels", T.ArrayType(T.StringType())), T.StructField("confs", T.ArrayType(T.DoubleType()))]))
 CONTENT, INFER_STEP, TRAIN_STEP = 254, 128, 126
+#: Up to so many labels are added up in a table of places by labels; beyond, places are sorted.
+FEW_LABELS = 16
 
 
 def window_count(n: Column, content: int, step: int) -> Column:
@@ -33,6 +35,14 @@ def window_arrays(ids: Column, content: int = CONTENT, step: int = INFER_STEP) -
     return F.when(F.size(ids) > 0, made).otherwise(F.array().cast("array<struct<win:bigint,start:bigint,ids:array<int>>>"))
 
 
+def window_bounds(counts: np.ndarray, content: int = CONTENT, step: int = INFER_STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``window_spans`` of whole documents: row, win, start and length of every window, in order, of rows of so many sub-words."""
+    each = np.where(counts > 0, 1 + np.maximum(-((content - counts) // step), 0), 0)
+    row = np.repeat(np.arange(len(counts)), each)
+    win = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+    return row, win, win * step, np.minimum(content, counts[row] - win * step)
+
+
 def merge_lists(windows: pa.Array, n: pa.Array, names: list[str] | None = None) -> pa.Array:
     """``merge_overlaps`` and ``fill_gaps`` of whole documents: from every document's list of windows (win, start, labels, confs)
     the (label, conf) of its n places. With ``names`` labels are numbers of them. Nothing leaves the document's row."""
@@ -47,11 +57,40 @@ def merge_lists(windows: pa.Array, n: pa.Array, names: list[str] | None = None)
         labels, names = coded.indices, coded.dictionary.to_pylist()
     names = [*names, "O"]
     code = np.asarray(pc.fill_null(labels, len(names) - 1), np.int64)
-    of = np.repeat(np.arange(len(lengths)), lengths)
-    pos = np.asarray(flat.field("start"), np.int64)[of] + np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    doc, win = np.repeat(np.arange(len(sizes)), sizes)[of], np.asarray(flat.field("win"), np.int64)[of]
-    some = np.flatnonzero((pos >= 0) & (pos < counts[doc]))
-    place, code, win, conf = (base[doc] + pos)[some], code[some], win[some], conf[some]
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    label, score = merge_codes(counts, doc, *(np.asarray(flat.field(c), np.int64) for c in ("win", "start")), lengths, code, conf, len(names))
+    rows = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(label)), pa.array(score)], names=["label", "conf"])
+    return pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), rows)
+
+
+def merge_codes(counts: np.ndarray, doc: np.ndarray, win: np.ndarray, start: np.ndarray, lengths: np.ndarray, code: np.ndarray, conf: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Label and confidence of every place of documents of so many places; a place without any has the last of ``kinds`` labels and 0.0.
+
+    Windows are given by document, number, first place and length; labels and confidences of their places follow one another.
+    """
+    base = np.concatenate(([0], np.cumsum(counts)))
+    ordered = len(doc) < 2 or bool(((doc[1:] > doc[:-1]) | ((doc[1:] == doc[:-1]) & (win[1:] >= win[:-1]))).all())
+    place = np.repeat(start - np.cumsum(lengths) + lengths, lengths) + np.arange(len(code))
+    some = (place >= 0) & (place < np.repeat(counts[doc], lengths))
+    place += np.repeat(base[doc], lengths)
+    win = np.repeat(win, lengths)
+    if not some.all():
+        place, code, win, conf = place[some], code[some], win[some], conf[some]
+    label = np.full(int(base[-1]), kinds - 1)
+    if ordered and kinds <= FEW_LABELS:
+        size = len(label)
+        cell = code * size + place
+        n = np.bincount(cell, minlength=size * kinds)
+        mean = np.bincount(cell, conf, len(n)) / np.maximum(n, 1)
+        mean[n == 0] = -np.inf
+        early = np.zeros(len(n), np.int64)
+        early[cell[::-1]] = win[::-1]  # of several windows the first stays
+        top, first = np.full(size, -np.inf), np.zeros(size, np.int64)
+        for k in range(kinds):
+            own, since = mean[k * size : (k + 1) * size], early[k * size : (k + 1) * size]
+            better = np.flatnonzero((own > top) | ((own == top) & (since < first)))
+            label[better], top[better], first[better] = k, own[better], since[better]
+        return label, np.where(top > -np.inf, top, 0.0)
     order = np.lexsort((win, code, place))
     place, code, win, conf = place[order], code[order], win[order], conf[order]
     new = np.concatenate(([True], (place[1:] != place[:-1]) | (code[1:] != code[:-1]))) if len(place) else np.zeros(0, bool)
@@ -61,10 +100,9 @@ def merge_lists(windows: pa.Array, n: pa.Array, names: list[str] | None = None)
     place, code, win = place[first], code[first], win[first]
     order = np.lexsort((win, -mean, place))
     best = order[np.concatenate(([True], np.diff(place[order]) != 0))] if len(order) else order
-    label, score = np.full(int(base[-1]), len(names) - 1), np.zeros(int(base[-1]))
+    score = np.zeros(len(label))
     label[place[best]], score[place[best]] = code[best], mean[best]
-    rows = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(label)), pa.array(score)], names=["label", "conf"])
-    return pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), rows)
+    return label, score
 
 
 def word_lists(places: pa.Array, sizes: pa.Array) -> pa.Array:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.portions import MOST_BYTES, in_portions
 from ..functions.text import display_name
 from ..operators import detect, labels, metrics, registry, template, tokens
 from ..operators.labeler import BatchLabeler, TaggerWeights
-from ..operators.windows import CONTENT, PLACES, merge_lists, window_spans
+from ..operators.windows import CONTENT
 from ..sources import arrays, files, versions
 from ..sources.shared import shared_folder
 from ..streaming.clean import run_available, sessions
 from .catalogue import _lang_corpora, table
-from .parts import _encode, _samples
-from .predict import encode_subwords
+from .parts import _samples
+from .predict import label_counts, served_counts
 from .runs import run_types
 
 TAGS = ("O", "B-name", "I-name")
@@ -43,25 +45,30 @@ def annotation_files(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.explode("ner_tags").alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-def _subwords(spark: SparkSession, sf: str) -> DataFrame:
-    return encode_subwords(table(spark, sf, "documents").select("doc_id", "text"), _encode)
+def _encode_all(tokens: pa.Array) -> pa.Array:
+    """``_encode`` of every token at once: a list of ids each."""
+    _, offsets, data = tokens.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(tokens) + 1, tokens.offset * 4) if len(tokens) else np.zeros(1, np.int32)
+    points = np.frombuffer(bytes(data)[ends[0] : ends[-1]].decode().encode("utf-32-le") if ends[-1] > ends[0] else b"", np.uint32)
+    lengths = np.asarray(pc.utf8_length(tokens), np.int64)
+    sizes = -(-lengths // 3)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.repeat(np.cumsum(lengths) - lengths - 3 * at[:-1], sizes) + 3 * np.arange(at[-1])
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array((points[place] % 101).astype(np.int32)))
+
+
+def _first_letters(tokens: pa.Array) -> pa.Array:
+    """The label of every token, by its first letter."""
+    return pc.if_else(pc.match_substring_regex(tokens, "^[A-Z]"), "B-name", pc.if_else(pc.starts_with(tokens, "t"), "I-name", "O"))
 
 
 def model_serving(spark: SparkSession, sf: str) -> DataFrame:
     """A tagger counted from labelled sub-words of all documents, then served over their windows and merged."""
-    rows = _subwords(spark, sf)
-    label = lambda t: F.when(t["token"].rlike("^[A-Z]"), "B-name").when(F.startswith(t["token"], F.lit("t")), "I-name").otherwise("O")
-    tagged = rows.select("ids", F.flatten(F.zip_with("tokens", "sizes", lambda t, n: F.array_repeat(label(t), n))).alias("labels"))
-    model = TaggerWeights.fit(tagged.select(F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("labels").alias("label")))), TAGS, BUCKETS)
-    sized = rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n"))
-    wins = window_spans(sized, "n")
-    wins = wins.select("doc_id", "n", "win", "start", F.slice("ids", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("ids"))
-    done = BatchLabeler(model, CONTENT).label_window_rows(wins, "doc_id", "n")
-    gathered = done.groupBy("doc_id", "n").agg(F.collect_list(F.struct("win", "start", "labels", "confs")).alias("w"))  # a document's windows, not its places
-    merged = gathered.select("doc_id", "n", in_portions(lambda w, n: merge_lists(w, n, list(TAGS)), PLACES, MOST_BYTES // CONTENT)("w", "n").alias("p"))
-    counts = [F.size(F.filter("p", lambda x: x["label"] == t)).cast("long").alias(c) for t, c in zip(TAGS, ("n_o", "n_b", "n_i"))]
-    conf = F.transform("p", lambda x: x["conf"])
-    return merged.select("doc_id", "n", *counts, F.round(F.array_min(conf), 4).alias("least_conf"), F.round(F.array_max(conf), 4).alias("most_conf"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = TaggerWeights.fit(label_counts(docs, _encode_all, _first_letters), TAGS, BUCKETS)
+    rows = served_counts(docs, _encode_all, BatchLabeler(model, CONTENT))
+    counts = [F.col("counts")[i].alias(c) for i, c in enumerate(("n_o", "n_b", "n_i"))]
+    return rows.select("doc_id", "n", *counts, *(F.round(c, 4).alias(c) for c in ("least_conf", "most_conf")))
 
 
 def legacy_lines(spark: SparkSession, sf: str) -> DataFrame:
