@@ -5,11 +5,16 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .portions import in_portions
+
 #: The code points that Python's str.isspace accepts.
 WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 WS_NOT_NEWLINE = WS.replace(r"\n", "")
@@ -58,9 +63,22 @@ def tidy(text: Column) -> Column:
     return strip_ws(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
+#: Runs of white space but line ends that are not one space already.
+LOOSE = rf"{WS_NOT_NEWLINE.replace(r'\x1F ', r'\x1F')}{WS_NOT_NEWLINE}*| {WS_NOT_NEWLINE}+"
+
+
+def clean_texts(texts: pa.Array) -> pa.Array:
+    """``tidy`` of composed texts, many at once."""
+    if not pc.all(pc.string_is_ascii(texts)).as_py():
+        texts = pa.array([t if t is None or unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+    for pattern, by in ((LOOSE, " "), (r"[\x{200B}-\x{200D}\x{FEFF}]", ""), (r"\n{3,}", "\n\n"), (rf"^{WS}+", ""), (rf"{WS}+\z", "")):
+        texts = pc.replace_substring_regex(texts, pattern=pattern, replacement=by)
+    return texts
+
+
 def clean_text(text: Column) -> Column:
     """Composed and tidied text."""
-    return tidy(nfc(text))
+    return in_portions(clean_texts, T.StringType())(text)
 
 
 def segments(text: Column) -> Column:
@@ -113,10 +131,50 @@ def _accents() -> tuple[str, str]:
 ACCENTED, PLAIN = _accents()
 
 
+UNACCENTED = str.maketrans(ACCENTED, PLAIN)
+
+
+def _keyword_code(point: int) -> int:
+    """What a code point becomes in ``keyword_form``: a letter or digit, a blank, or nothing (0)."""
+    kept = [c for c in chr(point).lower().translate(UNACCENTED) if unicodedata.category(c) != "Mn"]
+    return 0 if not kept else ord(kept[0]) if len(kept) == 1 and kept[0].isascii() and kept[0].isalnum() else 32
+
+
+#: Of the code points that texts mostly consist of; others are looked at when they come.
+KEYWORD_CODES = np.array([_keyword_code(p) for p in range(0x2000)], np.uint8)
+
+
+def keyword_forms(texts: pa.Array) -> pa.Array:
+    """``keyword_form`` of many texts at once, a table look-up for every code point."""
+    filled = pc.fill_null(texts, "").cast(pa.string())
+    _, offsets, data = filled.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(filled) + 1, filled.offset * 4) if len(filled) else np.zeros(1, np.int32)
+    points = np.frombuffer(data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().decode().encode("utf-32-le") if ends[-1] > ends[0] else b"", np.uint32)
+    code = KEYWORD_CODES[np.minimum(points, len(KEYWORD_CODES) - 1)]
+    rare = np.flatnonzero(points >= len(KEYWORD_CODES))
+    if len(rare):
+        known, at = np.unique(points[rare], return_inverse=True)
+        code[rare] = np.array([_keyword_code(p) for p in known.tolist()], np.uint8)[at]
+    row = np.repeat(np.arange(len(filled), dtype=np.int32), np.asarray(pc.utf8_length(filled)))
+    some = np.flatnonzero(code)
+    code, row = code[some], row[some]
+    blank, first = code == 32, np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    after = first.copy()
+    after[1:] |= blank[:-1]
+    some = np.flatnonzero(~(blank & after))  # one blank of a run, none at the beginning
+    code, row = code[some], row[some]
+    last = np.ones(len(row), bool)
+    last[:-1] = row[1:] != row[:-1]
+    some = np.flatnonzero((code != 32) | ~last)
+    upto = np.concatenate(([0], np.cumsum(np.bincount(row[some], minlength=len(filled))))).astype(np.int32)
+    out = pa.StringArray.from_buffers(len(filled), pa.py_buffer(upto), pa.py_buffer(np.ascontiguousarray(code[some])))
+    return pc.if_else(texts.is_valid(), out, None)
+
+
 def keyword_form(text: Column) -> Column:
     """Lower case without accents, every other run of characters than a-z and 0-9 one space."""
-    text = F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\p{Mn}", "")
-    return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
+    return in_portions(keyword_forms, T.StringType())(text)
 
 
 def keyword_form_of(text: str) -> str:

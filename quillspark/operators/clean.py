@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import WS, capitalize_words, let, strip_ws, word_count
 
@@ -105,6 +110,83 @@ def first_of_any(etype: Column, entities: Column) -> Column:
     return let(trim_bleed(etype, first["text"]), lambda x: let(clean_value(etype, x), made))
 
 
+_LOOKAHEAD = r"(?![\p{L}\p{N}_])"
+_EDGES = " ,.;:-"
+_CLASS_VALUE = re.compile(re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: "\\u" + m[1].zfill(4), CLASS_VALUE.replace(_LOOKAHEAD, r"(?!\w)")))
+FIRSTS = T.ArrayType(T.StructType([T.StructField(n, k) for n, k in {"ord": T.LongType(), "type": T.StringType(), "text": T.StringType(), "later": T.StringType(), "start": T.LongType(), "end": T.LongType(), "confidence": T.DoubleType()}.items()]))
+
+
+def _where(texts: pa.Array, pattern: str, change, tested: pa.Array | None = None) -> pa.Array:
+    """``change`` of the texts that match (or whose ``tested`` does); most do not."""
+    hit = pc.match_substring_regex(texts if tested is None else tested, pattern)
+    return pc.replace_with_mask(texts, hit, change(texts.filter(hit))) if pc.any(hit).as_py() else texts
+
+
+def trim_bleed_texts(etype: str, texts: pa.Array) -> pa.Array:
+    """``trim_bleed`` of many texts of one type at once."""
+    gone = lambda pattern, by="": lambda t: pc.replace_substring_regex(t, pattern=pattern, replacement=by)
+    strip = lambda t: _where(_where(t, rf"^{WS}", gone(rf"^{WS}+")), rf"{WS}\z", gone(rf"{WS}+\z"))
+    each = lambda f: lambda t: pa.array([f(x) for x in t.to_pylist()], pa.string())
+    texts = strip(texts)
+    for label in LEADING_LABELS:
+        pattern = label.replace("(?iu)", "(?i)")
+        texts = _where(texts, pattern, gone(pattern))
+    address = "ADDRESS" in etype
+    if address:
+        # the library's expressions have no lookahead: they find candidates
+        texts = _where(texts, CLASS_VALUE.replace("(?iu)", "(?i)").replace(_LOOKAHEAD, ""), each(lambda x: _CLASS_VALUE.sub(" ", x)))
+        texts = pc.utf8_trim(_where(texts, rf"{WS}{{2}}", gone(rf"{WS}{{2,}}", " ")), characters=_EDGES)
+    if any(t in etype for t in FREE_TEXT):
+        markers = CUT_MARKERS if address else CLASS_MARKERS + CUT_MARKERS
+
+        def cut(x: str) -> str:
+            low = x.lower()
+            places = [p for p in map(low.find, markers) if p > 0]
+            return x[: min(places)].strip(_EDGES) if places else x
+
+        texts = _where(texts, "|".join(map(re.escape, markers)).replace("\\ ", " "), each(cut), pc.utf8_lower(texts))
+    return strip(texts)
+
+
+def first_lists(entities: pa.Array) -> pa.Array:
+    """``deduplicate`` of every document's list of entities, but for ``clean_value``: the first of each type with its text trimmed,
+    and in ``later`` the further texts of address, notes and diagnosis (null without any)."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(entities), 0), np.int64)
+    flat = entities.flatten()
+    coded = flat.field("type").dictionary_encode()
+    names, kind = coded.dictionary.to_pylist(), np.asarray(coded.indices, np.int64)
+    merged = np.array([any(m in t for m in MERGED) for t in names], bool)[kind] if names else np.zeros(0, bool)
+    group, first, of = np.unique(np.repeat(np.arange(len(sizes)), sizes) * max(len(names), 1) + kind, return_index=True, return_inverse=True)
+    heads = np.zeros(len(flat), bool)
+    heads[first] = True
+    own = [np.flatnonzero((heads | merged) & (kind == k)) for k in range(len(names))]
+    place = np.zeros(len(flat), np.int64)
+    place[np.concatenate(own) if own else []] = np.arange(sum(map(len, own)))
+    text = pa.concat_arrays([pa.array([], pa.string()), *(trim_bleed_texts(t, flat.field("text").take(pa.array(i))) for t, i in zip(names, own))])
+    # later members of a group, in order; a group is seen in the order of its first member
+    rank = np.empty(len(group), np.int64)
+    rank[np.argsort(first)] = np.arange(len(group))
+    first, of = np.sort(first), rank[of]
+    last = first.copy()
+    np.maximum.at(last, of[merged], np.flatnonzero(merged))
+    more = np.flatnonzero(merged & ~heads)
+    more = more[np.argsort(of[more], kind="stable")]
+    n = np.bincount(of[more], minlength=len(first))
+    upto = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+    later = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto), text.take(pa.array(place[more]))), ", ")
+    at = lambda c, i: flat.field(c).take(pa.array(i))
+    fields = [at("ord", first), at("type", first), text.take(pa.array(place[first])), pc.if_else(pa.array(n > 0), later, None), at("start", first), at("end", last), at("confidence", first)]
+    docs = np.searchsorted(first, np.concatenate(([0], np.cumsum(sizes)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(docs, mask=np.append(np.asarray(entities.is_null()), False)), pa.StructArray.from_arrays(fields, names=FIRSTS.elementType.names))
+
+
+def finished(x: Column) -> Column:
+    """An entity of ``first_lists`` with its whole text."""
+    head = clean_value(x["type"], x["text"])
+    text = F.when(x["later"].isNull(), head).otherwise(F.concat(head, F.lit(", "), x["later"]))
+    return F.struct(x["ord"].alias("ord"), x["type"].alias("type"), text.alias("text"), x["start"].alias("start"), x["end"].alias("end"), x["confidence"].alias("confidence"))
+
+
 def merge_fold(entities: DataFrame, *key: str, mergeable: tuple[str, ...] = FREE_TEXT) -> DataFrame:
     """The earlier policy: later texts of mergeable types are appended with a space unless already inside,
     the end is the largest, the confidence the pairwise mean in order; other types keep their first entity."""

@@ -31,9 +31,12 @@ def entity_type(name: str) -> str:
     return name.replace("_VALUE", "").upper()
 
 
-def span_lists(tokens: pa.Array, value_only: bool = False) -> pa.Array:
+def span_lists(tokens: pa.Array, value_only: bool = False, every: tuple[str, ...] | None = None) -> pa.Array:
     """The entities of every document's list of (token, start, end, label, conf); a null list stays null.
 
+    With ``every`` only types that contain one of its parts keep all their entities, the others the first of a
+    document: what ``clean.deduplicate`` takes. Their ``ord`` stays the one among all.
+
     All lists of a batch are walked at once: a label is read once for each batch, places
     that open or close are found by comparing neighbours.
     """
@@ -64,6 +67,14 @@ def span_lists(tokens: pa.Array, value_only: bool = False) -> pa.Array:
     edges = np.append(np.flatnonzero(opens | (kind < 0) | other), len(at))
     first = np.flatnonzero(opens)
     end = edges[np.searchsorted(edges, first, side="right")]
+    owner = doc[first]
+    number = np.arange(len(first)) - np.searchsorted(owner, owner) + 1
+    if every is not None:
+        all_of = np.array([any(p in t for p in every) for t in types], bool)[kind[first]] if len(first) else np.zeros(0, bool)
+        once = np.zeros(len(first), bool)
+        once[np.unique(owner * max(len(types), 1) + kind[first], return_index=True)[1]] = True
+        stays = all_of | once
+        first, end, owner, number = first[stays], end[stays], owner[stays], number[stays]
     n = end - first
     entity = np.repeat(np.arange(len(first)), n)
     member = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else first, n) + np.arange(int(n.sum()))
@@ -76,11 +87,10 @@ def span_lists(tokens: pa.Array, value_only: bool = False) -> pa.Array:
     bounds = np.concatenate(([0], np.cumsum(np.bincount(entity, shown, len(first))))).astype(np.int32)
     text = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), words.drop_null()), " ")
     head, last = pa.array(at[first]), pa.array(at[end - 1])
-    owner = doc[first]
     counts = np.bincount(owner, minlength=len(sizes))
     upto = np.concatenate(([0], np.cumsum(counts)))
     fields = [
-        pa.array(np.arange(len(first)) - upto[owner] + 1, pa.int64()), pa.array(list(types), pa.string()).take(pa.array(kind[first])), text,
+        pa.array(number, pa.int64()), pa.array(list(types), pa.string()).take(pa.array(kind[first])), text,
         flat.field("start").take(head).cast(pa.int64()), flat.field("end").take(last).cast(pa.int64()), pa.array([f"B-{x}" for x in names], pa.string()).take(pa.array(np.array(named)[code[first]])), pa.array(rounded(mean), mask=unknown),
     ]
     entities = pa.StructArray.from_arrays(fields, names=ENTITIES.elementType.names)

@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import keyword_form, keyword_form_of, let, strip_ws
+from ..functions.portions import in_portions
+from ..functions.text import keyword_form, keyword_form_of, keyword_forms, strip_ws
 from ..sources.versions import load_version
 
 # Weights, thresholds, boilerplate lines and the built-in rules.
@@ -26,6 +29,7 @@ BUILT_IN_RULES = {
     "gplx": {"strong": ["giấy phép lái xe", "giay phep lai xe"], "weak": ["hạng", "ngày cấp", "có giá trị đến", "quốc tịch"]},
     "vehicle_registration": {"strong": ["đăng ký xe", "giấy đăng ký xe", "dang ky xe"], "weak": ["biển số", "số máy", "số khung", "chủ xe", "nhãn hiệu"]},
 }
+SCORES = T.ArrayType(T.StructType([T.StructField("ord", T.LongType()), T.StructField("doc_type", T.StringType()), T.StructField("score", T.DoubleType())]))
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -129,23 +133,25 @@ def tfidf_scores(texts: DataFrame, key: str, text: str, index: DataFrame, doc_ty
     return dots.withColumn("norm", norm).where("doc_type IS NOT NULL").select(key, "doc_type", (F.col("dot") / F.col("norm")).alias("score"))
 
 
+def keyword_score_lists(texts: pa.Array, rules: dict[str, dict[str, list[str]]]) -> pa.Array:
+    """``keyword_score_array`` of many texts at once."""
+    norm = keyword_forms(texts)
+    scores = np.zeros((len(texts), len(rules)))
+    for i, kinds in enumerate(rules.values()):
+        for kind, weight in (("strong", STRONG), ("weak", WEAK), ("exclude", EXCLUDE)):
+            for word in kinds.get(kind, []):
+                scores[:, i] += weight * np.asarray(pc.fill_null(pc.match_substring(norm, keyword_form_of(word)), False))
+    n = len(texts)
+    rows = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(len(rules)), n), pa.int64()), pa.array(list(rules) * n, pa.string()), pa.array(np.maximum(scores, 0.0).ravel())], names=SCORES.elementType.names)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(rules)), rows)
+
+
 def keyword_score_array(text: Column, rules: dict[str, dict[str, list[str]]]) -> Column:
     """(ord, doc_type, score) of every type: 3, 1 and -10 per strong, weak and exclude keyword inside the text, at least 0.
 
-    The rules become one projection; texts never meet a rule table in a join.
+    The rules go to the tasks; texts never meet a rule table in a join.
     """
-
-    def scored(norm: Column) -> Column:
-        scores = []
-        for ord_, (doc_type, kinds) in enumerate(rules.items()):
-            score = F.lit(0.0)
-            for kind, weight in (("strong", STRONG), ("weak", WEAK), ("exclude", EXCLUDE)):
-                for word in kinds.get(kind, []):
-                    score = score + F.when(F.contains(norm, F.lit(keyword_form_of(word))), weight).otherwise(0.0)
-            scores.append(F.struct(F.lit(ord_).cast("long").alias("ord"), F.lit(doc_type).alias("doc_type"), F.greatest(score, F.lit(0.0)).alias("score")))
-        return F.array(*scores)
-
-    return let(keyword_form(text), scored)
+    return in_portions(lambda t: keyword_score_lists(t, rules), SCORES)(text)
 
 
 def keyword_scores(texts: DataFrame, key: str, text: str, rules: dict[str, dict[str, list[str]]]) -> DataFrame:

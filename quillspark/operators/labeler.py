@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.draws import place_draws
 from ..functions.portions import MOST_BYTES, in_portions
 from ..functions.text import uniform
+from .clean import FIRSTS, MERGED, first_lists
 from .decode import ENTITIES, decoded_spans, span_lists
 from .tokens import TOKENS, token_lists, tokens_with_offsets
 from .windows import CONTENT, WINDOWS
@@ -66,15 +68,28 @@ class HashLabeler:
         """The same of every document's list at once."""
         sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0), np.int64)
         flat = tokens.flatten()
-        heads = [h for k, n in zip(keys.to_pylist(), sizes.tolist()) for h in [head_of(self.seed, k)] * n]
-        places = [b"%d|" % i for i in range(int(sizes.max(initial=0)))]
-        own = [p for n in sizes.tolist() for p in places[:n]]
-        at, share = (draws(heads, [p + slot for p in own]) for slot in (b"label", b"conf"))
+        heads = [head_of(self.seed, k) for k in keys.to_pylist()]
+        at, share = (place_draws(heads, sizes, slot) for slot in (b"|label", b"|conf"))
         label = pa.array(self.labels, pa.string()).take(pa.array((at * len(self.labels)).astype(np.int64)))
         rows = pa.StructArray.from_arrays([*(flat.field(c) for c in ("token", "start", "end")), label, pa.array(np.floor(share * 64) / 64)], names=LABELLED.elementType.names)
         at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(at, mask=np.append(np.asarray(tokens.is_null()), False)), rows)
 
+    def label_sets(self, tokens: pa.Array, keys: pa.Array) -> pa.Array:
+        """The distinct labels of every document's list."""
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0), np.int64)
+        at = place_draws([head_of(self.seed, k) for k in keys.to_pylist()], sizes, b"|label")
+        names = list(dict.fromkeys(self.labels))
+        seen = np.zeros((len(sizes), len(names)), bool)
+        seen[np.repeat(np.arange(len(sizes)), sizes), np.array([names.index(x) for x in self.labels])[(at * len(self.labels)).astype(np.int64)]] = True
+        upto = np.concatenate(([0], np.cumsum(seen.sum(axis=1)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(upto), pa.array(names, pa.string()).take(pa.array(np.nonzero(seen)[1])))
+
+
+def label_sets(text: Column, key: str, labeler: HashLabeler) -> Column:
+    """The distinct labels of a text's tokens; tokens never leave the task's Python."""
+    return in_portions(lambda t, k: labeler.label_sets(token_lists(t), k), T.ArrayType(T.StringType()))(text, F.col(key).cast("string"))
+
 
 def entity_spans(text: Column, key: str, labeler: TokenLabeler, value_only: bool = False) -> Column:
     """A text's entities (see ``decoded_spans``). With a labeler of whole lists, tokens never leave the task's Python."""
@@ -83,6 +98,14 @@ def entity_spans(text: Column, key: str, labeler: TokenLabeler, value_only: bool
     return in_portions(lambda t, k: span_lists(labeler.label_lists(token_lists(t), k), value_only), ENTITIES)(text, F.col(key).cast("string"))
 
 
+def first_spans(text: Column, key: str, labeler: TokenLabeler) -> Column:
+    """The first of a text's entities of each type (see ``first_lists``), found and trimmed before they leave the task's Python."""
+    found = lambda labelled: first_lists(span_lists(labelled, every=MERGED))
+    if not hasattr(labeler, "label_lists"):
+        return in_portions(found, FIRSTS)(labeler.label_array(tokens_with_offsets(text), key))
+    return in_portions(lambda t, k: found(labeler.label_lists(token_lists(t), k)), FIRSTS)(text, F.col(key).cast("string"))
+
+
 class RuleLabeler:
     """(pattern, label) rules over single tokens; the first that matches wins, everything else is O."""
 

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, let
-from ..operators.clean import first_of_any, is_valid
+from ..operators.clean import finished, first_of_any, is_valid
 from ..operators.decode import decode_rows
 from ..operators.detect import BUILT_IN_RULES, detect, keyword_score_array
-from ..operators.labeler import RuleLabeler, TokenLabeler, entity_spans
+from ..operators.labeler import RuleLabeler, TokenLabeler, entity_spans, first_spans
 from ..operators.mapping import DEFAULT_MAPPINGS
 from .extract import GENERAL_RULES, decided, labelled_tokens
 
@@ -65,12 +65,13 @@ def type_table(mappings: DataFrame, fields: DataFrame) -> DataFrame:
     return maps.join(listed, "doc_type", "full")
 
 
-def typed_records(rows: DataFrame, types: DataFrame, *key: str, doc_type: str = "doc_type", entities: str = "entities", clean: bool = True, validate: bool = True, with_confidence: bool = False) -> DataFrame:
+def typed_records(rows: DataFrame, types: DataFrame, *key: str, doc_type: str = "doc_type", entities: str = "entities", clean: bool = True, validate: bool = True, with_confidence: bool = False, firsts: bool = False) -> DataFrame:
     """key, doc_type, record: a map of every expected field of the document's type to its last entity's text, "" where it has none.
 
     Entities of types that the mapping does not know, and fields that are not expected, do
     not count. A type that ``types`` does not hold has an empty record, a document without a type a null one.
     With confidence a value is a struct (value, confidence), 0.0 where there is no entity.
+    With ``firsts`` entities are those of ``first_spans``, which cleaning only finishes.
     Documents stay on their row; only a table of types above ``MOST_ENTRIES`` makes them move.
     """
     size = types.agg(F.sum(F.coalesce(F.size("mapping"), F.lit(0)) + F.coalesce(F.size("fields"), F.lit(0)))).first()[0] or 0
@@ -79,7 +80,9 @@ def typed_records(rows: DataFrame, types: DataFrame, *key: str, doc_type: str =
     joined = docs.join(F.broadcast(known) if size <= MOST_ENTRIES else known, F.col("doc_type") == F.col("__type"), "left")
     field_of = lambda x: F.try_element_at(F.col("__mapping"), x["type"])
     own = F.filter("__e", lambda x: F.array_contains("__fields", field_of(x)))
-    if clean:
+    if firsts:
+        own = F.transform(own, finished)
+    elif clean:
         own = let(own, lambda e: F.transform(F.array_distinct(F.transform(e, lambda x: x["type"])), lambda t: first_of_any(t, F.filter(e, lambda x: x["type"] == t))))
     if validate:
         own = F.filter(own, lambda x: is_valid(x["type"], x["text"]))
@@ -136,9 +139,9 @@ class Extractor:
     def extract(self, docs: DataFrame, types: str | None = None, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), with_confidence: bool = False, validate: bool = True, clean: bool = True) -> DataFrame:
         """key, ``keep``, doc_type, record of every document, by the type in its column ``types`` or else the one meant."""
         named = (F.col(types) if types else F.lit(self._named(None))).cast("string")
-        found = entity_spans(F.col(text), key, self.labeler or RuleLabeler(GENERAL_RULES))
+        found = (first_spans if clean else entity_spans)(F.col(text), key, self.labeler or RuleLabeler(GENERAL_RULES))
         rows = docs.select(key, *keep, named.alias("doc_type"), found.alias("entities"))
-        return typed_records(rows, type_table(self.mappings, self.fields), key, *keep, clean=clean, validate=validate, with_confidence=with_confidence)
+        return typed_records(rows, type_table(self.mappings, self.fields), key, *keep, clean=clean, firsts=clean, validate=validate, with_confidence=with_confidence)
 
     def extract_with_confidence(self, docs: DataFrame, types: str | None = None, **options: object) -> DataFrame:
         return self.extract(docs, types, with_confidence=True, **options)

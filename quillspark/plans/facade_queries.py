@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.labeler import HashLabeler
-from ..operators.tokens import tokens_with_offsets
+from ..operators.labeler import HashLabeler, label_sets
 from ..sources import models
 from ..sources.shared import shared_folder
 from .catalogue import LABELS, RULES, table
@@ -23,9 +22,8 @@ def _maps(spark: SparkSession, sf: str) -> DataFrame:
     The label_map.json of ``en`` has the B- labels as ids, that of ``fr`` moves label2id.
     """
     root = shared_folder(spark, "models")
-    docs = table(spark, sf, "documents").where("lang IS NOT NULL").select("doc_id", "lang", tokens_with_offsets("text").alias("t"))
-    tagged = docs.select(F.col("lang").alias("doc_type"), HashLabeler(LABELS).label_array(F.col("t"), "doc_id").alias("t"))
-    labels = tagged.select("doc_type", F.explode(F.array_distinct(F.transform("t", lambda x: x["label"]))).alias("label")).distinct()
+    docs = table(spark, sf, "documents").where("lang IS NOT NULL")
+    labels = docs.select(F.col("lang").alias("doc_type"), label_sets(F.col("text"), "doc_id", HashLabeler(LABELS)).alias("l")).select("doc_type", F.explode("l").alias("label")).distinct()
     own = labels.withColumn("id", F.row_number().over(Window.partitionBy("doc_type").orderBy("label")) - 1)
     listed = F.array_sort(F.collect_list(F.struct("id", "label")))
     rows = own.groupBy("doc_type").agg(listed.alias("own"))

@@ -49,7 +49,7 @@ def _encode_all(tokens: pa.Array) -> pa.Array:
     """``_encode`` of every token at once: a list of ids each."""
     _, offsets, data = tokens.buffers()
     ends = np.frombuffer(offsets, np.int32, len(tokens) + 1, tokens.offset * 4) if len(tokens) else np.zeros(1, np.int32)
-    points = np.frombuffer(bytes(data)[ends[0] : ends[-1]].decode().encode("utf-32-le") if ends[-1] > ends[0] else b"", np.uint32)
+    points = np.frombuffer(data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().decode().encode("utf-32-le") if ends[-1] > ends[0] else b"", np.uint32)
     lengths = np.asarray(pc.utf8_length(tokens), np.int64)
     sizes = -(-lengths // 3)
     at = np.concatenate(([0], np.cumsum(sizes)))
